@@ -1,0 +1,5 @@
+"""No streaming operators: the row-local ones apply to streams unchanged.
+
+Projections, filters, :mod:`corbel.functions` and :mod:`corbel.operators.nested`
+keep no state, so they take a frame of ``readStream`` as they take any other.
+"""
