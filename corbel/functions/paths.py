@@ -29,9 +29,9 @@ def field_at(column: Column, path: str) -> Column:
 def require_distinct(names: Iterable[str]) -> list[str]:
     """Return the names, or raise when two are equal but for case."""
     names = list(names)
-    seen: dict[str, str] = {}
+    seen: set[str] = set()
     for name in names:
-        other = seen.setdefault(name.lower(), name)
-        if other is not name:
+        if name.lower() in seen:
             raise ValueError(f"two output columns share the name {name!r}")
+        seen.add(name.lower())
     return names

@@ -72,18 +72,20 @@ def collect_groups(
 ) -> DataFrame:
     """Materialise the rows of each group as arrays of bounded size.
 
-    Returns the keys, ``chunk`` (0, 1, ...) and ``members``, an array of structs
-    of the member columns and ``copies``, sorted. A group of at most
-    ``chunk_rows`` distinct members is one chunk. A larger one is cut into as
-    many chunks as it needs, by ``spread`` (an integer expression over the
-    members, by default their hash), so that no row or task holds a hot group.
-    Equal members are counted, not repeated, before anything is shuffled.
+    Returns the keys, ``chunk`` (0, 1, ...) and ``members``, a sorted array of
+    structs of the member columns and ``copies``. A group of at most
+    ``chunk_rows`` rows is one chunk. A larger one is cut into as many chunks as
+    it needs, by ``spread`` (an integer expression over the members, by default
+    their hash), so that no row and no task holds a hot group. Equal members are
+    counted, not repeated, before anything is shuffled.
     """
     group = [column_at([key]) for key in keys]
     inner = [column_at([name]) for name in members]
     rows = df.groupBy(*group, *inner).agg(F.count(F.lit(1)).alias("copies"))
+    # Counted by key alone: reads no member column and shuffles one row per key
+    # and task. Counting copies too only makes the chunks smaller.
     large = (
-        rows.groupBy(*[column_at([key]).alias(f"__key{n}") for n, key in enumerate(keys)])
+        df.groupBy(*[column_at([key]).alias(f"__key{n}") for n, key in enumerate(keys)])
         .agg(F.count(F.lit(1)).alias("__rows"))
         .filter(F.col("__rows") > chunk_rows)
         .withColumn("__chunks", F.ceil(F.col("__rows") / chunk_rows))
@@ -93,8 +95,8 @@ def collect_groups(
     chunked = rows.join(large, same, "left").withColumn(
         "chunk", F.pmod(place, F.coalesce(F.col("__chunks"), F.lit(1))).cast("long")
     )
-    # The join is distributed by key alone, which would satisfy the grouping and
-    # bring a hot key into one task: shuffle by key and chunk instead.
+    # The join may be distributed by key alone, which would satisfy the grouping
+    # and bring a hot key into one task: shuffle by key and chunk instead.
     return (
         chunked.repartition(*group, F.col("chunk"))
         .groupBy(*group, "chunk")

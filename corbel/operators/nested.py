@@ -91,9 +91,14 @@ def explode_array(
     ``header`` maps output names to dotted paths. Documents whose array is null
     or empty disappear unless ``outer`` is set.
     """
-    explode = F.explode_outer if outer else F.explode
     kept = [column_at(path).alias(label) for label, path in header.items()]
-    return df.select(*kept, explode(column_at(array)).alias(name))
+    if outer:
+        return df.select(*kept, F.explode_outer(column_at(array)).alias(name))
+    # For a plain explode Spark infers a filter on the array, which computes the
+    # array again where it is no stored column (parsed from text, for instance).
+    # Only the row of an absent or empty array has no position.
+    rows = df.select(*kept, F.posexplode_outer(column_at(array)).alias("__position", name))
+    return rows.filter(F.col("__position").isNotNull()).drop("__position")
 
 
 def _has_map(kind: T.DataType) -> bool:
@@ -125,13 +130,15 @@ def pivot_arrays(df: DataFrame, specs: Iterable[ArraySpec]) -> DataFrame:
         if not isinstance(kind, T.ArrayType):
             raise ValueError(f"{spec.column} is not an array")
         consumed.add(spec.column)
-        if not isinstance(kind.elementType, T.StructType) or not spec.slots:
+        if not isinstance(kind.elementType, T.StructType) or not spec.names():
             continue
         helper = f"{spec.column}__sorted"
         ordered = sort_structs(
             column_at([spec.column]), spec.order, orderable=not _has_map(kind.elementType)
         )
-        helpers.append(ordered.alias(helper))
+        # No element past the last slot is carried to the next projection.
+        last = max(position for places in spec.slots.values() for position in places)
+        helpers.append(F.slice(ordered, 1, last + 1).alias(helper))
         names += spec.names()
         slots += [
             field_at(element(column_at([helper]), position), path).alias(name)

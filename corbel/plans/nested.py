@@ -22,7 +22,7 @@ from corbel.operators.nested import (
     select_accepted,
 )
 from corbel.plans.registry import query
-from corbel.plans.tables import table
+from corbel.plans.tables import table, texts
 
 SLOTS = 21
 HEADER = {
@@ -56,7 +56,7 @@ def nested_documents(spark, sf_dir):
     """``enriched.document`` structs with an array of paragraphs."""
     paragraphs = F.transform(F.split("text", "\n"), _paragraph)
     document = F.struct("doc_id", "source", "lang", paragraphs.alias("paragraphs"))
-    return table(spark, sf_dir, "documents").select(
+    return texts(spark, sf_dir, "doc_id", "source", "lang", "text").select(
         F.struct(document.alias("document")).alias("enriched")
     )
 

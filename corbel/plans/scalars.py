@@ -10,7 +10,7 @@ from corbel.functions.arrays import element, tokens
 from corbel.functions.dates import age_in_years, parse_dates
 from corbel.functions.predicates import extracts
 from corbel.plans.registry import query
-from corbel.plans.tables import nullable_events, table, with_evn
+from corbel.plans.tables import nullable_events, table, texts, with_evn
 
 
 @query(
@@ -52,7 +52,7 @@ def str_regex_replace(spark, sf_dir):
 )
 def arr_split(spark, sf_dir):
     words = tokens(F.col("text"))
-    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(words, "/").alias("joined"))
+    return texts(spark, sf_dir, "doc_id", "text").select("doc_id", F.array_join(words, "/").alias("joined"))
 
 
 @query(
@@ -73,7 +73,7 @@ def arr_size(spark, sf_dir):
 )
 def arr_contains(spark, sf_dir):
     found = F.array_contains(tokens(F.col("text")), "the")
-    return table(spark, sf_dir, "documents").select("doc_id", found.alias("has_the"))
+    return texts(spark, sf_dir, "doc_id", "text").select("doc_id", found.alias("has_the"))
 
 
 @query(

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corbel.operators.layout import spread_few
+
 _schemas: dict[str, T.StructType] = {}
 
 
@@ -19,6 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+def texts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Documents for queries that take whole texts apart, on all task slots."""
+    return spread_few(table(spark, sf_dir, "documents").select(*columns))
+
+
 # The test tables hold no nulls; this view of the events has them in three
 # columns. The same expressions in SQL, for the oracles.
 NULLABLE_EVENTS_SQL = """evn AS (
