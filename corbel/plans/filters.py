@@ -131,11 +131,11 @@ def flt_unprojected(spark, sf_dir):
 
 @query(
     "flt_null_default",
-    with_evn("SELECT count(*) AS powerful FROM evn WHERE coalesce(score, 0) > 100"),
+    with_evn("SELECT count(*) AS high_scores FROM evn WHERE coalesce(score, 0) > 100"),
 )
 def flt_null_default(spark, sf_dir):
     events = nullable_events(spark, sf_dir).filter(or_zero(F.col("score")) > 100)
-    return events.agg(F.count("*").alias("powerful"))
+    return events.agg(F.count("*").alias("high_scores"))
 
 
 @query(

@@ -23,13 +23,13 @@ def sql_view_filter(spark, sf_dir):
 
 @query(
     "sql_between_count",
-    f"""SELECT count(*) AS hired FROM orders
+    f"""SELECT count(*) AS placed FROM orders
        WHERE o_orderdate BETWEEN TIMESTAMP '{FIRST}' AND TIMESTAMP '{LAST}'""",
 )
 def sql_between_count(spark, sf_dir):
     views(spark, sf_dir, "orders")
     return spark.sql(
-        f"SELECT COUNT(*) hired FROM v_orders WHERE o_orderdate BETWEEN '{FIRST}' AND '{LAST}'"
+        f"SELECT count(*) AS placed FROM v_orders WHERE o_orderdate BETWEEN '{FIRST}' AND '{LAST}'"
     )
 
 

@@ -214,9 +214,12 @@ def sink_tsv(spark, sf_dir):
 )
 def sink_partitioned(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    # At least 30 and 15 files, and more where the input has more splits: a
+    # fixed number would leave a large table to as many tasks.
+    splits = orders.rdd.getNumPartitions()
     layouts = {
-        "shuffled": {"partitions": 30},
-        "merged": {"partitions": 15, "shuffle": False},
+        "shuffled": {"partitions": max(30, splits)},
+        "merged": {"partitions": max(15, splits // 2), "shuffle": False},
         "measured": {},
     }
     parts = []

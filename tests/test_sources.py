@@ -18,12 +18,14 @@ from corbel.sources.readers import (
     quarantine,
     read_csv,
     read_format,
+    read_jdbc,
     read_json,
     read_text,
     strict,
 )
 from corbel.sources.writers import (
     write_csv,
+    write_jdbc,
     write_json,
     write_parquet,
     write_partitions,
@@ -132,6 +134,46 @@ def test_jdbc_options():
         jdbc_options("jdbc:x", "t", "d", partitions=4)
 
 
+class Recorder:
+    """Stands for a reader or writer and keeps what it is told."""
+
+    def __init__(self):
+        self.seen = {}
+        self.read = self.write = self
+
+    def format(self, kind):
+        self.seen["format"] = kind
+        return self
+
+    def mode(self, mode):
+        self.seen["mode"] = mode
+        return self
+
+    def option(self, name, value):
+        self.seen[name] = value
+        return self
+
+    def options(self, **options):
+        self.seen |= options
+        return self
+
+    def load(self):
+        return self.seen
+
+    save = load
+
+
+def test_jdbc_calls():
+    # No database is at hand that executors could share, so only the calls are checked.
+    options = jdbc_options("jdbc:x", "t", "d", "u", "p")
+    assert read_jdbc(Recorder(), options) == {"format": "jdbc", **options}
+    target = Recorder()
+    write_jdbc(target, options, connections=4)
+    assert target.seen == {
+        "format": "jdbc", "mode": "error", **options, "batchsize": 10_000, "numPartitions": 4
+    }
+
+
 def test_local_rows(spark, capsys):
     tuples = [("a", 1), ("b", 2)]
     assert from_rows(spark, tuples).columns == ["_1", "_2"]
