@@ -14,11 +14,16 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def column_at(parts: str | Sequence[str]) -> Column:
-    """Column at a path; a string is split at dots, a sequence is taken as is."""
+def path_sql(parts: str | Sequence[str]) -> str:
+    """SQL text of a path; a string is split at dots, a sequence is taken as is."""
     if isinstance(parts, str):
         parts = parts.split(".")
-    return F.col(".".join(quoted(part) for part in parts))
+    return ".".join(quoted(part) for part in parts)
+
+
+def column_at(parts: str | Sequence[str]) -> Column:
+    """Column at a path, see :func:`path_sql`."""
+    return F.col(path_sql(parts))
 
 
 def field_at(column: Column, path: str) -> Column:

@@ -100,5 +100,5 @@ def collect_groups(
     return (
         chunked.repartition(*group, F.col("chunk"))
         .groupBy(*group, "chunk")
-        .agg(F.array_sort(F.collect_list(F.struct(*inner, "copies"))).alias("members"))
+        .agg(F.sort_array(F.collect_list(F.struct(*inner, "copies"))).alias("members"))
     )

@@ -2,7 +2,8 @@
 
 Every step is a function of the schema: it is planned on the driver without
 reading data and runs as projections (and one explode) inside the scan stage,
-so nothing here shuffles.
+so nothing here shuffles. Wide projections are written as SQL text: hundreds of
+column objects would each take several calls to the JVM.
 """
 
 from __future__ import annotations
@@ -14,8 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corbel.functions.arrays import Order, element, sort_structs
-from corbel.functions.paths import column_at, field_at, require_distinct
+from corbel.functions.arrays import Order, sort_structs
+from corbel.functions.paths import column_at, path_sql, quoted, require_distinct
 
 
 @dataclass(frozen=True)
@@ -80,35 +81,41 @@ def flatten_structs(df: DataFrame, separator: str = "_") -> DataFrame:
     names = require_distinct(
         separator.join(path).replace(".", separator) for path in paths
     )
-    return df.select(*[column_at(path).alias(name) for path, name in zip(paths, names)])
+    return df.selectExpr(
+        *[f"{path_sql(path)} AS {quoted(name)}" for path, name in zip(paths, names)]
+    )
 
 
 def explode_array(
-    df: DataFrame, header: Mapping[str, str], array: str, name: str, outer: bool = False
+    df: DataFrame,
+    header: Mapping[str, str],
+    array: str,
+    name: str,
+    outer: bool = False,
+    computed: bool = False,
 ) -> DataFrame:
     """One row per element of the array at a path, beside the header columns.
 
     ``header`` maps output names to dotted paths. Documents whose array is null
     or empty disappear unless ``outer`` is set.
+
+    Set ``computed`` where the array is made by the query, by parsing text for
+    instance. For an explode Spark infers a filter that the array is not empty:
+    on a stored column it is cheap and lets the scan read single fields of the
+    elements, but a computed array would be computed for it once more.
     """
     kept = [column_at(path).alias(label) for label, path in header.items()]
-    if outer:
-        return df.select(*kept, F.explode_outer(column_at(array)).alias(name))
-    # For a plain explode Spark infers a filter on the array, which computes the
-    # array again where it is no stored column (parsed from text, for instance).
+    # Narrowed first: a row of the explode must not carry the whole document.
+    narrow = df.select(*kept, column_at(array).alias("__array"))
+    labels = [column_at([label]) for label in header]
+    if outer or not computed:
+        explode = F.explode_outer if outer else F.explode
+        return narrow.select(*labels, explode("__array").alias(name))
     # Only the row of an absent or empty array has no position.
-    rows = df.select(*kept, F.posexplode_outer(column_at(array)).alias("__position", name))
+    rows = narrow.select(*labels, F.posexplode_outer("__array").alias("__position", name))
     return rows.filter(F.col("__position").isNotNull()).drop("__position")
 
 
-def _has_map(kind: T.DataType) -> bool:
-    if isinstance(kind, T.StructType):
-        return any(_has_map(item.dataType) for item in kind.fields)
-    if isinstance(kind, T.ArrayType):
-        return _has_map(kind.elementType)
-    return isinstance(kind, (T.MapType, T.VariantType))
-
-
 def pivot_arrays(df: DataFrame, specs: Iterable[ArraySpec]) -> DataFrame:
     """Sort each array and spread its elements over the columns of its spec.
 
@@ -121,7 +128,7 @@ def pivot_arrays(df: DataFrame, specs: Iterable[ArraySpec]) -> DataFrame:
     kinds = {item.name: item.dataType for item in df.schema.fields}
     consumed: set[str] = set()
     helpers: list[Column] = []
-    slots: list[Column] = []
+    slots: list[str] = []
     names: list[str] = []
     for spec in specs:
         kind = kinds.get(spec.column)
@@ -133,22 +140,21 @@ def pivot_arrays(df: DataFrame, specs: Iterable[ArraySpec]) -> DataFrame:
         if not isinstance(kind.elementType, T.StructType) or not spec.names():
             continue
         helper = f"{spec.column}__sorted"
-        ordered = sort_structs(
-            column_at([spec.column]), spec.order, orderable=not _has_map(kind.elementType)
-        )
+        ordered = sort_structs(column_at([spec.column]), spec.order, kind.elementType)
         # No element past the last slot is carried to the next projection.
         last = max(position for places in spec.slots.values() for position in places)
         helpers.append(F.slice(ordered, 1, last + 1).alias(helper))
         names += spec.names()
+        # get() is null past the end, also under ANSI mode.
         slots += [
-            field_at(element(column_at([helper]), position), path).alias(name)
+            f"get({quoted(helper)}, {position}).{path_sql(path)} AS {quoted(name)}"
             for path, places in spec.slots.items()
             for position, name in places.items()
         ]
     kept = [name for name in df.columns if name not in consumed]
     require_distinct([*kept, *names])
-    carried = [column_at([name]) for name in kept]
-    return df.select(*carried, *helpers).select(*carried, *slots)
+    carried = [quoted(name) for name in kept]
+    return df.select(*carried, *helpers).selectExpr(*carried, *slots)
 
 
 def flatten_documents(
@@ -158,9 +164,10 @@ def flatten_documents(
     name: str,
     specs: Iterable[ArraySpec],
     separator: str = "_",
+    computed: bool = False,
 ) -> DataFrame:
     """Documents to wide rows: explode one array, flatten structs, pivot the rest."""
-    base = explode_array(df, header, array, name)
+    base = explode_array(df, header, array, name, computed=computed)
     return pivot_arrays(flatten_structs(base, separator), specs)
 
 

@@ -61,6 +61,12 @@ def nested_documents(spark, sf_dir):
     )
 
 
+def exploded(spark, sf_dir):
+    """One row per paragraph."""
+    documents = nested_documents(spark, sf_dir)
+    return explode_array(documents, HEADER, PARAGRAPHS, "paragraph", computed=True)
+
+
 def nested_parts(spark, sf_dir):
     """Parts as a struct within a struct."""
     detail = F.struct("p_size", "p_type").alias("detail")
@@ -139,7 +145,7 @@ def nest_flatten_structs(spark, sf_dir):
        SELECT doc_id, source, lang, number, CAST(length(line) AS INTEGER) AS size FROM lines""",
 )
 def nest_explode_base(spark, sf_dir):
-    base = explode_array(nested_documents(spark, sf_dir), HEADER, PARAGRAPHS, "paragraph")
+    base = exploded(spark, sf_dir)
     return base.select("doc_id", "source", "lang", "paragraph.number", "paragraph.size")
 
 
@@ -150,14 +156,44 @@ def nest_explode_base(spark, sf_dir):
          AS words FROM sorted""",
 )
 def nest_array_sort(spark, sf_dir):
-    base = explode_array(nested_documents(spark, sf_dir), HEADER, PARAGRAPHS, "paragraph")
-    ordered = sort_structs(F.col("paragraph.words"), [("size", "ASC"), ("word", "ASC")])
+    base = exploded(spark, sf_dir)
+    item = base.schema["paragraph"].dataType["words"].dataType.elementType
+    ordered = sort_structs(F.col("paragraph.words"), [("size", "ASC"), ("word", "ASC")], item)
     words = F.array_join(F.transform(ordered, lambda item: item["word"]), " ", "?")
     return base.select("doc_id", "paragraph.number", words.alias("words"))
 
 
+@query(
+    "nest_array_comparator",
+    f"""WITH {LINES_SQL},
+ pieces_of AS (SELECT doc_id, number, w, unnest(range(1, len(w) + 1)) AS i FROM lines),
+ words AS (SELECT doc_id, number, i, CASE WHEN length(w[i]) > 1 THEN w[i] END AS word
+   FROM pieces_of WHERE w[i] <> '')
+       SELECT lines.doc_id, lines.number, coalesce(string_agg(coalesce(word, '?'), ' '
+           ORDER BY left(word, 1) ASC NULLS FIRST, word DESC NULLS LAST, i)
+         FILTER (WHERE i IS NOT NULL), '') AS words
+       FROM lines LEFT JOIN words ON lines.doc_id = words.doc_id AND lines.number = words.number
+       GROUP BY 1, 2""",
+)
+def nest_array_comparator(spark, sf_dir):
+    # Two text keys in opposite directions cannot be brought to one.
+    base = exploded(spark, sf_dir)
+    named = base.select(
+        "doc_id",
+        "paragraph.number",
+        F.transform(
+            F.array_compact("paragraph.words"),
+            lambda item: F.struct(F.left(item["word"], F.lit(1)).alias("initial"), item["word"]),
+        ).alias("words"),
+    )
+    order = [("initial", "ASC"), ("word", "DESC")]
+    ordered = sort_structs(F.col("words"), order, named.schema["words"].dataType.elementType)
+    words = F.array_join(F.transform(ordered, lambda item: item["word"]), " ", "?")
+    return named.select("doc_id", "number", words.alias("words"))
+
+
 def flat_paragraphs(spark, sf_dir):
-    base = explode_array(nested_documents(spark, sf_dir), HEADER, PARAGRAPHS, "paragraph")
+    base = exploded(spark, sf_dir)
     return flatten_structs(base)
 
 
@@ -225,5 +261,5 @@ def nest_documents(spark, sf_dir):
         words_spec("paragraph_words", BY_WORD),
     ]
     return flatten_documents(
-        nested_documents(spark, sf_dir), HEADER, PARAGRAPHS, "paragraph", specs
+        nested_documents(spark, sf_dir), HEADER, PARAGRAPHS, "paragraph", specs, computed=True
     )

@@ -1,5 +1,6 @@
 """The flattener: semantics, properties and the principals document."""
 
+import datetime as dt
 import json
 import random
 from functools import cmp_to_key
@@ -26,7 +27,7 @@ from corbel.plans.principals import complex_specs, flatten_principals, simple_sp
 from corbel.sources.readers import read_json
 from tests.conftest import plan_of
 
-ITEMS = "array<struct<k:string,d:string,n:int>>"
+ITEMS = "array<struct<k:string,d:string,n:int,day:date>>"
 
 
 def python_order(items, order):
@@ -50,7 +51,8 @@ element = st.none() | st.fixed_dictionaries(
     {
         "k": st.none() | st.sampled_from(["a", "b", "é", ""]),
         "d": st.none() | st.sampled_from(["2020", "2021", "2019"]),
-        "n": st.none() | st.integers(-3, 3),
+        "n": st.none() | st.integers(-3, 3) | st.sampled_from([2**31 - 1, -(2**31)]),
+        "day": st.none() | st.dates(dt.date(1969, 12, 30), dt.date(1970, 1, 2)),
     }
 )
 ORDERS = [
@@ -59,6 +61,9 @@ ORDERS = [
     [("k", "ASC"), ("n", "ASC")],
     [("k", "DESC"), ("d", "DESC")],
     [("n", "desc")],
+    [("n", "DESC"), ("k", "ASC")],
+    [("n", "ASC"), ("day", "DESC"), ("k", "DESC")],
+    [("day", "ASC"), ("n", "DESC")],
     [("k", "upwards")],
 ]
 
@@ -69,8 +74,8 @@ def test_sort_matches_python(spark, arrays):
     df = spark.createDataFrame(list(enumerate(arrays)), f"id int, items {ITEMS}")
     for order in ORDERS:
         upper = [(name, direction.upper()) for name, direction in order]
-        for orderable in (True, False):
-            result = df.select("id", sort_structs(F.col("items"), order, orderable).alias("s"))
+        for known in (df.schema["items"].dataType.elementType, None):
+            result = df.select("id", sort_structs(F.col("items"), order, known).alias("s"))
             for row in result.collect():
                 wanted = arrays[row.id]
                 if wanted is None:
@@ -83,7 +88,7 @@ def test_sort_matches_python(spark, arrays):
 def test_large_arrays_sort_without_error(spark, size):
     chance = random.Random(size)
     items = [
-        {"k": chance.choice("abcdef"), "d": str(chance.randrange(2000, 2030)), "n": n}
+        {"k": chance.choice("abcdef"), "d": str(chance.randrange(2000, 2030)), "n": n, "day": None}
         for n in range(size)
     ]
     order = [("k", "ASC"), ("d", "DESC")]
@@ -92,6 +97,12 @@ def test_large_arrays_sort_without_error(spark, size):
     assert [r.asDict() for r in found] == python_order(items, order)
 
 
+def test_unknown_sort_field_is_refused(spark):
+    df = spark.createDataFrame([(1, [])], f"id int, items {ITEMS}")
+    with pytest.raises(ValueError, match="no field 'x.y'"):
+        pivot_arrays(df, [ArraySpec("items", [("x.y", "ASC")], {"k": {0: "a"}})])
+
+
 def test_empty_order_keeps_order_and_removes_nulls(spark):
     items = [{"k": "b"}, None, {"k": "a"}]
     df = spark.createDataFrame([(items,)], f"items {ITEMS}")
@@ -186,12 +197,34 @@ def test_explode_drops_documents_without_elements(spark):
     df = spark.createDataFrame(
         [(1, ["x", None]), (2, []), (3, None)], "id int, items array<string>"
     )
-    plain = explode_array(df, {"id": "id"}, "items", "item")
-    assert sorted(map(tuple, plain.collect()), key=repr) == [(1, "x"), (1, None)]
+    for computed in (False, True):
+        plain = explode_array(df, {"id": "id"}, "items", "item", computed=computed)
+        assert sorted(map(tuple, plain.collect()), key=repr) == [(1, "x"), (1, None)]
     outer = explode_array(df, {"id": "id"}, "items", "item", outer=True)
     assert outer.count() == 4
 
 
+def test_explode_reads_only_what_is_used(spark, tmp_path):
+    path = str(tmp_path / "stored")
+    spark.sql(
+        """SELECT named_struct('id', 1, 'unused', 'u', 'items',
+             array(named_struct('k', 'a', 'long_text', 'b'))) AS doc"""
+    ).write.parquet(path)
+    stored = spark.read.parquet(path)
+    found = explode_array(stored, {"id": "doc.id"}, "doc.items", "item").select("id", "item.k")
+    assert "struct<doc:struct<id:int,items:array<struct<k:string>>>>" in plan_of(found)
+    assert tuple(found.first()) == (1, "a")
+
+
+def test_computed_arrays_are_computed_once(spark):
+    texts = spark.createDataFrame([("a b",)], "t string").select(F.split("t", " ").alias("words"))
+    plan = plan_of(explode_array(texts, {}, "words", "word", computed=True))
+    assert plan.count("split(") == 1
+    wide = explode_array(texts.select(F.struct("words", F.lit(1).alias("id")).alias("d")), {"id": "d.id"}, "d.words", "word")
+    # The rows carry the header alone.
+    assert "[id#" in plan_of(wide).split("explode(")[1]
+
+
 def test_mapping_helpers(spark):
     df = spark.sql("SELECT named_struct('b', named_struct('c', 7)) AS a, 'x' AS t")
     projected = project_paths(df, {"seven": "a.b.c", "text": "t"})
