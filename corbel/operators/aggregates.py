@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corbel.functions.paths import column_at
+from corbel.functions.paths import column_at, quoted
 from corbel.functions.predicates import or_zero
 
 
@@ -27,9 +27,9 @@ def exact_avg(column: Column, scale: int = 2) -> Column:
 
 
 def integer_mean(column: Column) -> Column:
-    """Integer mean that counts nulls as zero and truncates."""
+    """Integer mean that counts nulls as zero and truncates; null without rows."""
     total = F.sum(or_zero(column))
-    return F.call_function("div", total, F.count(F.lit(1)))
+    return F.call_function("div", total, F.nullif(F.count(F.lit(1)), F.lit(0)))
 
 
 def corr_with_zeros(left: Column, right: Column) -> Column:
@@ -90,7 +90,7 @@ def collect_groups(
         .filter(F.col("__rows") > chunk_rows)
         .withColumn("__chunks", F.ceil(F.col("__rows") / chunk_rows))
     )
-    same = [rows[key].eqNullSafe(large[f"__key{n}"]) for n, key in enumerate(keys)]
+    same = [rows[quoted(key)].eqNullSafe(large[f"__key{n}"]) for n, key in enumerate(keys)]
     place = F.xxhash64(*inner) if spread is None else spread
     chunked = rows.join(large, same, "left").withColumn(
         "chunk", F.pmod(place, F.coalesce(F.col("__chunks"), F.lit(1))).cast("long")

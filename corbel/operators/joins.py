@@ -10,11 +10,13 @@ broadcast unless the side is bounded by construction.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corbel.functions.paths import column_at, require_distinct
+from corbel.functions.paths import column_at, quoted, require_distinct
 
 # Largest top-k that is broadcast back to its detail rows.
 BROADCAST_ROWS = 10_000
@@ -26,6 +28,11 @@ def _pairs(on: On) -> list[tuple[str, str]]:
     return list(on.items()) if isinstance(on, Mapping) else [(name, name) for name in on]
 
 
+def _col(df: DataFrame, name: str) -> Column:
+    """Column of a frame by its literal name."""
+    return df[quoted(name)]
+
+
 def _keys(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Distinct keys, one row each: a hot key shrinks before it is shuffled."""
     return df.select(
@@ -36,7 +43,7 @@ def _keys(df: DataFrame, names: Sequence[str]) -> DataFrame:
 def _existence(left: DataFrame, right: DataFrame, on: On, how: str) -> DataFrame:
     pairs = _pairs(on)
     keys = _keys(right, [theirs for _, theirs in pairs])
-    matches = [left[mine] == keys[f"__key{n}"] for n, (mine, _) in enumerate(pairs)]
+    matches = [_col(left, mine) == keys[f"__key{n}"] for n, (mine, _) in enumerate(pairs)]
     return left.join(keys, matches, how)
 
 
@@ -50,25 +57,33 @@ def anti_join(left: DataFrame, right: DataFrame, on: On) -> DataFrame:
     return _existence(left, right, on, "left_anti")
 
 
+def _with_keys(df: DataFrame, names: Sequence[str], known: bool) -> DataFrame:
+    """Rows whose keys are all there, or those with a null key."""
+    complete = reduce(and_, (column_at([name]).isNotNull() for name in names))
+    return df.filter(complete if known else ~complete)
+
+
 def outer_join(left: DataFrame, right: DataFrame, on: Mapping[str, str], how: str) -> DataFrame:
     """Left, right or full outer join as the matches plus the unmatched rows.
 
     ``on`` maps left key columns to right ones. The two frames must not share
-    column names. Compared with Spark's own outer join this reads a preserved
-    side twice, but every part can be split whichever side holds the hot key.
+    column names. Unlike in Spark's own outer join every part can be split,
+    whichever side holds the hot key. The matches and the unmatched rows of a
+    side start from the same filtered rows, so its shuffle is done once and
+    reused; rows with a null key are not shuffled at all.
     """
     require_distinct([*left.columns, *right.columns])
     if how not in ("left", "right", "full"):
         raise ValueError(f"unknown outer join {how!r}")
-    joined = left.join(right, [left[mine] == right[theirs] for mine, theirs in on.items()])
-    rest = []
+    mine, theirs = list(on), list(on.values())
+    lefts, rights = _with_keys(left, mine, True), _with_keys(right, theirs, True)
+    parts = [lefts.join(rights, [_col(lefts, a) == _col(rights, b) for a, b in on.items()])]
     if how in ("left", "full"):
-        rest.append(anti_join(left, right, on))
+        parts += [anti_join(lefts, rights, on), _with_keys(left, mine, False)]
     if how in ("right", "full"):
-        rest.append(anti_join(right, left, {theirs: mine for mine, theirs in on.items()}))
-    for part in rest:
-        joined = joined.unionByName(part, allowMissingColumns=True)
-    return joined
+        back = dict(zip(theirs, mine))
+        parts += [anti_join(rights, lefts, back), _with_keys(right, theirs, False)]
+    return reduce(lambda all_, part: all_.unionByName(part, allowMissingColumns=True), parts)
 
 
 def using_join(left: DataFrame, right: DataFrame, on: Mapping[str, str]) -> DataFrame:
@@ -86,7 +101,10 @@ def suffixed_join(
     renamed = right.withColumnsRenamed(shared)
     return left.join(
         renamed,
-        [left[mine] == renamed[shared.get(theirs, theirs)] for mine, theirs in on.items()],
+        [
+            _col(left, mine) == _col(renamed, shared.get(theirs, theirs))
+            for mine, theirs in on.items()
+        ],
     )
 
 
@@ -137,12 +155,12 @@ def membership_join(
     if how in ("left", "full") and not left_key:
         raise ValueError("the rows left over on the left need a left_key")
     spread = left.withColumn("__member", F.explode(F.array_distinct(column_at([array]))))
-    joined = spread.join(right, spread["__member"] == right[member]).drop("__member")
+    joined = spread.join(right, spread["__member"] == _col(right, member)).drop("__member")
     if how in ("left", "full"):
         narrow = spread.select(*[column_at([key]) for key in left_key], "__member")
         found = semi_join(narrow, right, {"__member": member})
         keys = _keys(found, left_key)
-        same = [left[key].eqNullSafe(keys[f"__key{n}"]) for n, key in enumerate(left_key)]
+        same = [_col(left, key).eqNullSafe(keys[f"__key{n}"]) for n, key in enumerate(left_key)]
         joined = joined.unionByName(left.join(keys, same, "left_anti"), allowMissingColumns=True)
     if how in ("right", "full"):
         rest = anti_join(right, spread.select("__member"), {member: "__member"})

@@ -23,6 +23,7 @@ def test_integer_mean_truncates_and_counts_nulls(spark):
     df = spark.createDataFrame([(5,), (None,), (6,), (None,)], "x long")
     assert one(df, integer_mean(F.col("x"))) == (2,)
     assert one(df.selectExpr("-x AS x"), integer_mean(F.col("x"))) == (-2,)
+    assert one(df.filter("false"), integer_mean(F.col("x"))) == (None,)
 
 
 def test_exact_sum_and_average(spark):
@@ -80,6 +81,13 @@ def test_groups_are_whole_and_bounded(spark):
     assert all(found[f"k{n}"] == (1, 10) for n in range(500))
 
 
+def test_names_with_dots(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2)], "`k.x` string, `v.y` int")
+    groups = collect_groups(df, ["k.x"], ["v.y"], chunk_rows=1).select("chunk", F.size("members"))
+    assert sum(row[1] for row in groups.collect()) == 2
+    assert rows(latest_per_key(df, ["k.x"], ["v.y"], ["v.y"])) == [("a", 2)]
+
+
 def test_group_members_are_sorted(spark):
     df = spark.createDataFrame([(1, 3), (1, 1), (1, 2)], "k int, v int")
     assert [m.v for m in collect_groups(df, ["k"], ["v"]).first().members] == [1, 2, 3]

@@ -66,6 +66,26 @@ def test_existence_is_sparks(skewed, operator, how):
     assert rows(operator(left, right, {"lk": "rk"})) == rows(wanted)
 
 
+def test_outer_join_on_two_keys_with_nulls(spark):
+    left = spark.createDataFrame([(1, None, "a"), (1, 2, "b"), (3, 4, "c")], "`l.x` int, ly int, t string")
+    right = spark.createDataFrame([(1, 2, "B"), (None, 2, "N"), (1, None, "A")], "rx int, ry int, u string")
+    wanted = left.join(right, (left["`l.x`"] == right["rx"]) & (left["ly"] == right["ry"]), "full")
+    assert rows(outer_join(left, right, {"l.x": "rx", "ly": "ry"}, "full")) == rows(wanted)
+
+
+def test_outer_join_shuffles_each_side_once(spark, skewed):
+    left, right = skewed
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = outer_join(left, right, {"lk": "rk"}, "full")
+        executed = df._jdf.queryExecution().executedPlan()
+        executed.execute().count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    final = executed.toString().split("== Initial Plan ==")[0]
+    assert final.count("ReusedExchange") == 2
+
+
 def test_join_on_two_keys_by_name(spark):
     left = spark.createDataFrame([(1, 1, "a"), (1, 2, "b")], "x int, y int, t string")
     right = spark.createDataFrame([(1, 2)], "x int, y int")
