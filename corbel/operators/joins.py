@@ -21,9 +21,27 @@ from corbel.functions.paths import column_at, quoted, require_distinct
 # Largest top-k that is broadcast back to its detail rows.
 BROADCAST_ROWS = 10_000
 
+# Spark's own names of the join types.
+KINDS = {
+    "inner": "inner",
+    "left": "left",
+    "left_outer": "left",
+    "right": "right",
+    "right_outer": "right",
+    "outer": "full",
+    "full": "full",
+    "full_outer": "full",
+}
+
 On = Mapping[str, str] | Sequence[str]
 
 
+def _kind(how: str) -> str:
+    if how not in KINDS:
+        raise ValueError(f"unknown join type {how!r}")
+    return KINDS[how]
+
+
 def _pairs(on: On) -> list[tuple[str, str]]:
     return list(on.items()) if isinstance(on, Mapping) else [(name, name) for name in on]
 
@@ -64,7 +82,7 @@ def _with_keys(df: DataFrame, names: Sequence[str], known: bool) -> DataFrame:
 
 
 def outer_join(left: DataFrame, right: DataFrame, on: Mapping[str, str], how: str) -> DataFrame:
-    """Left, right or full outer join as the matches plus the unmatched rows.
+    """Outer join (or inner) as the matches plus the unmatched rows.
 
     ``on`` maps left key columns to right ones. The two frames must not share
     column names. Unlike in Spark's own outer join every part can be split,
@@ -73,8 +91,7 @@ def outer_join(left: DataFrame, right: DataFrame, on: Mapping[str, str], how: st
     reused; rows with a null key are not shuffled at all.
     """
     require_distinct([*left.columns, *right.columns])
-    if how not in ("left", "right", "full"):
-        raise ValueError(f"unknown outer join {how!r}")
+    how = _kind(how)
     mine, theirs = list(on), list(on.values())
     lefts, rights = _with_keys(left, mine, True), _with_keys(right, theirs, True)
     parts = [lefts.join(rights, [_col(lefts, a) == _col(rights, b) for a, b in on.items()])]
@@ -127,11 +144,7 @@ def pair_join(
     mine = _packed(left, "_1", {f"__left{n}": key for n, key in enumerate(on)})
     theirs = _packed(right, "_2", {f"__right{n}": key for n, key in enumerate(on.values())})
     keys = {f"__left{n}": f"__right{n}" for n in range(len(on))}
-    if how == "inner":
-        joined = mine.join(theirs, [mine[a] == theirs[b] for a, b in keys.items()])
-    else:
-        joined = outer_join(mine, theirs, keys, how)
-    return joined.select("_1", "_2")
+    return outer_join(mine, theirs, keys, how).select("_1", "_2")
 
 
 def membership_join(
@@ -150,8 +163,7 @@ def membership_join(
     the left side, ``left_key`` must name columns that identify a row.
     """
     require_distinct([*left.columns, *right.columns])
-    if how not in ("inner", "left", "right", "full"):
-        raise ValueError(f"unknown membership join {how!r}")
+    how = _kind(how)
     if how in ("left", "full") and not left_key:
         raise ValueError("the rows left over on the left need a left_key")
     spread = left.withColumn("__member", F.explode(F.array_distinct(column_at([array]))))

@@ -167,3 +167,17 @@ def date_parse_multi(spark, sf_dir):
 def date_age(spark, sf_dir):
     age = age_in_years(F.col("o_orderdate").cast("date"), dt.date(2002, 1, 1))
     return table(spark, sf_dir, "orders").select("o_orderkey", age.alias("age"))
+
+
+@query(
+    "date_now",
+    """SELECT o_orderkey, datediff('day', CAST(o_orderdate AS DATE), current_date) / 365 > 20 AS is_old,
+         o_orderdate < CAST(now() AS TIMESTAMP) AS is_past FROM orders""",
+)
+def date_now(spark, sf_dir):
+    day = F.col("o_orderdate")
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        (age_in_years(day.cast("date")) > 20).alias("is_old"),
+        (day < F.current_timestamp().cast("timestamp_ntz")).alias("is_past"),
+    )

@@ -15,12 +15,12 @@ def _local_root() -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path below the folder that the cluster shares.
+    """A new, empty folder below the one that the cluster shares; write with ``overwrite``.
 
     The folder is the session's ``spark.checkpoint.dir``. A temporary folder of
     this machine is used only in local mode; on a cluster executors could not
-    see it, so the setting is required there. Paths are removed when the session
-    ends.
+    see it, so the setting is required there. The folders are removed when the
+    driver's JVM ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
@@ -30,5 +30,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     files = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    # Only a path that exists can be marked for removal.
+    files.mkdirs(hadoop_path)
     files.deleteOnExit(hadoop_path)
     return path

@@ -22,7 +22,6 @@ def spark(tmp_path_factory):
             "spark.driver.memory": "8g",
             "spark.sql.shuffle.partitions": "8",
             "spark.sql.warehouse.dir": str(folder / "warehouse"),
-            "spark.checkpoint.dir": str(folder / "shared"),
         },
     ).getOrCreate()
     yield session

@@ -224,7 +224,8 @@ def test_databases_and_transfer(spark, tmp_path):
 
 def test_scratch_is_in_the_shared_folder(spark):
     path = scratch.scratch_path(spark, "x")
-    assert path.startswith(spark.conf.get("spark.checkpoint.dir") + "/x-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or scratch._local_root()
+    assert path.startswith(f"{root}/x-") and os.listdir(path) == []
     assert path != scratch.scratch_path(spark, "x")
 
 
