@@ -58,8 +58,9 @@ def _keys(df: DataFrame, names: Sequence[str]) -> DataFrame:
     ).distinct()
 
 
-def _existence(left: DataFrame, right: DataFrame, on: On, how: str) -> DataFrame:
-    pairs = _pairs(on)
+def _existence(
+    left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], how: str
+) -> DataFrame:
     keys = _keys(right, [theirs for _, theirs in pairs])
     matches = [_col(left, mine) == keys[f"__key{n}"] for n, (mine, _) in enumerate(pairs)]
     return left.join(keys, matches, how)
@@ -67,12 +68,12 @@ def _existence(left: DataFrame, right: DataFrame, on: On, how: str) -> DataFrame
 
 def semi_join(left: DataFrame, right: DataFrame, on: On) -> DataFrame:
     """Rows of ``left`` with at least one partner in ``right``."""
-    return _existence(left, right, on, "left_semi")
+    return _existence(left, right, _pairs(on), "left_semi")
 
 
 def anti_join(left: DataFrame, right: DataFrame, on: On) -> DataFrame:
     """Rows of ``left`` without a partner; rows with a null key have none."""
-    return _existence(left, right, on, "left_anti")
+    return _existence(left, right, _pairs(on), "left_anti")
 
 
 def _with_keys(df: DataFrame, names: Sequence[str], known: bool) -> DataFrame:
@@ -98,9 +99,9 @@ def outer_join(left: DataFrame, right: DataFrame, on: Mapping[str, str], how: st
     if how in ("left", "full"):
         parts += [anti_join(lefts, rights, on), _with_keys(left, mine, False)]
     if how in ("right", "full"):
-        back = dict(zip(theirs, mine))
-        parts += [anti_join(rights, lefts, back), _with_keys(right, theirs, False)]
-    return reduce(lambda all_, part: all_.unionByName(part, allowMissingColumns=True), parts)
+        unmatched = _existence(rights, lefts, list(zip(theirs, mine)), "left_anti")
+        parts += [unmatched, _with_keys(right, theirs, False)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def using_join(left: DataFrame, right: DataFrame, on: Mapping[str, str]) -> DataFrame:

@@ -132,14 +132,18 @@ def pivot_arrays(df: DataFrame, specs: Iterable[ArraySpec]) -> DataFrame:
     names: list[str] = []
     for spec in specs:
         kind = kinds.get(spec.column)
-        if kind is None or spec.column in consumed:
+        if kind is None:
             continue
+        if spec.column in consumed:
+            raise ValueError(f"two specifications for {spec.column!r}")
         if not isinstance(kind, T.ArrayType):
             raise ValueError(f"{spec.column} is not an array")
         consumed.add(spec.column)
         if not isinstance(kind.elementType, T.StructType) or not spec.names():
             continue
         helper = f"{spec.column}__sorted"
+        while helper in kinds:
+            helper += "_"
         ordered = sort_structs(column_at([spec.column]), spec.order, kind.elementType)
         # No element past the last slot is carried to the next projection.
         last = max(position for places in spec.slots.values() for position in places)

@@ -73,6 +73,31 @@ def test_outer_join_on_two_keys_with_nulls(spark):
     assert rows(outer_join(left, right, {"l.x": "rx", "ly": "ry"}, "full")) == rows(wanted)
 
 
+def test_outer_join_of_a_frame_with_itself(spark):
+    staff = spark.createDataFrame([(1, None), (2, 1), (3, 1), (4, 9)], "id int, boss int")
+    chiefs = staff.select(F.col("id").alias("chief"), F.col("boss").alias("chief_boss"))
+    found = rows(outer_join(staff, chiefs, {"boss": "chief"}, "full"))
+    assert found == sorted(
+        [
+            (2, 1, 1, None),
+            (3, 1, 1, None),
+            (1, None, None, None),
+            (4, 9, None, None),
+            (None, None, 2, 1),
+            (None, None, 3, 1),
+            (None, None, 4, 9),
+        ],
+        key=repr,
+    )
+
+
+def test_outer_join_of_two_keys_with_one(spark):
+    left = spark.createDataFrame([(1, 1), (1, 2)], "a int, b int")
+    right = spark.createDataFrame([(1,), (2,)], "x int")
+    wanted = left.join(right, (left["a"] == right["x"]) & (left["b"] == right["x"]), "full")
+    assert rows(outer_join(left, right, {"a": "x", "b": "x"}, "full")) == rows(wanted)
+
+
 def test_outer_join_shuffles_each_side_once(spark, skewed):
     left, right = skewed
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

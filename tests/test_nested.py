@@ -146,6 +146,11 @@ def test_pivot_guards(spark):
         pivot_arrays(df, [ArraySpec("id", order)])
     with pytest.raises(ValueError, match="share the name"):
         pivot_arrays(df, [ArraySpec("items", order, {"k": {0: "ID"}})])
+    with pytest.raises(ValueError, match="two specifications"):
+        pivot_arrays(df, [ArraySpec("items", order), ArraySpec("items", order)])
+    taken = df.withColumn("items__sorted", F.lit(5))
+    found = pivot_arrays(taken, [ArraySpec("items", order, {"k": {0: "first"}})]).first()
+    assert (found["items__sorted"], found["first"]) == (5, "a")
 
 
 def test_spec_validation():
