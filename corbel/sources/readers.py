@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import types as T
 
 Schema = T.StructType | str
+Loader = Callable[[str], DataFrame]
 
 
 def _reader(spark: SparkSession, schema: Schema | None, options: Mapping[str, object]) -> DataFrameReader:
@@ -97,6 +98,18 @@ def read_jdbc(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
     return spark.read.format("jdbc").options(**options).load()
 
 
+def jdbc_tables(spark: SparkSession, options: Mapping[str, str], schema: str) -> Loader:
+    """Loader of the tables of one database schema, for a table transfer.
+
+    ``options`` are those of :func:`jdbc_options`; their table is replaced.
+    """
+
+    def load(name: str) -> DataFrame:
+        return read_jdbc(spark, {**options, "dbtable": f"{schema}.{name}"})
+
+    return load
+
+
 def from_rows(
     spark: SparkSession, rows: Iterable[Sequence], names: Sequence[str] | Schema | None = None
 ) -> DataFrame:
@@ -117,6 +130,3 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     otherwise, is an error.
     """
     return df.to(schema)
-
-
-Loader = Callable[[str], DataFrame]

@@ -14,6 +14,7 @@ from corbel.sources.readers import (
     conform,
     from_rows,
     jdbc_options,
+    jdbc_tables,
     number_range,
     quarantine,
     read_csv,
@@ -167,6 +168,7 @@ def test_jdbc_calls():
     # No database is at hand that executors could share, so only the calls are checked.
     options = jdbc_options("jdbc:x", "t", "d", "u", "p")
     assert read_jdbc(Recorder(), options) == {"format": "jdbc", **options}
+    assert jdbc_tables(Recorder(), options, "public")("staff")["dbtable"] == "public.staff"
     target = Recorder()
     write_jdbc(target, options, connections=4)
     assert target.seen == {
