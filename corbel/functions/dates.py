@@ -3,12 +3,40 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Pattern letters of fields written in digits; M is one unless it is a name.
+DIGIT_FIELDS = "ydHhkKmsSM"
+
+
+def _shape(fmt: str) -> str | None:
+    """Regular expression that all texts of a date format match, if it is a plain one."""
+    if re.search(r"['\[\]]", fmt):
+        return None
+    shape = ""
+    for run in re.finditer(r"([A-Za-z])\1*|[^A-Za-z]+", fmt):
+        letter, text = run.group(1), run.group()
+        if letter is None:
+            shape += re.escape(text)
+        elif letter in DIGIT_FIELDS and not (letter == "M" and len(text) > 2):
+            shape += r"[+-]?\d+"
+        else:
+            shape += ".+"
+    return rf"^\s*{shape}\s*$"
+
+
+def _parsed(column: Column, fmt: str) -> Column:
+    """Date or null. A failing parse costs three times a good one, so texts of
+    another shape are not tried."""
+    parsed, shape = F.try_to_date(column, fmt), _shape(fmt)
+    return parsed if shape is None else F.when(column.rlike(shape), parsed)
+
+
 def parse_dates(
     column: Column, formats: str | Sequence[str], pivot: int | None = None
 ) -> Column:
@@ -19,7 +47,7 @@ def parse_dates(
     """
     if isinstance(formats, str):
         formats = [formats]
-    parsed = F.coalesce(*[F.try_to_date(column, fmt) for fmt in formats])
+    parsed = F.coalesce(*[_parsed(column, fmt) for fmt in formats])
     if pivot is None:
         return parsed
     return F.when(F.year(parsed) > pivot, F.add_months(parsed, -1200)).otherwise(parsed)

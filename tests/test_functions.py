@@ -76,6 +76,18 @@ def test_several_formats(spark):
     ]
 
 
+@pytest.mark.parametrize(
+    "fmt", ["yyyy-MM-dd", "MMM d yyyy", "dd-MMM-yy", "d/M/y", "yyyyMMdd", "d MMMM yyyy", "yyyy[-MM-dd]", "dd.MM.yyyy", "'on' yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss"]
+)
+def test_shapes_reject_nothing_that_parses(spark, fmt):
+    days = [dt.date(1999, 1, 31), dt.date(2024, 2, 29), dt.date(10000 - 1, 12, 1)]
+    df = spark.createDataFrame([(day,) for day in days], "day date")
+    written = [row[0] for row in df.select(F.date_format("day", fmt)).collect()]
+    odd = [" " + written[0], written[0] + " ", "+" + written[0], "", "x", written[0].upper(), "1-2-3", None]
+    texts = written + odd + ["2000-1-1", "Jan 1 2000", "12-Jun-98", "19990131", "1/2/2000"]
+    assert values(spark, texts, parse_dates(X, fmt)) == values(spark, texts, F.try_to_date(X, fmt))
+
+
 def test_age(spark):
     days = [dt.date(2001, 1, 1), None]
     assert values(spark, days, age_in_years(X, dt.date(2002, 1, 1)), "date") == [1.0, None]
