@@ -9,7 +9,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-
 # Pattern letters of fields written in digits; M is one unless it is a name.
 DIGIT_FIELDS = "ydHhkKmsSM"
 
@@ -31,8 +30,11 @@ def _shape(fmt: str) -> str | None:
 
 
 def _parsed(column: Column, fmt: str) -> Column:
-    """Date or null. A failing parse costs three times a good one, so texts of
-    another shape are not tried."""
+    """Date or null.
+
+    A failing parse costs three times a good one, so texts of another shape are
+    not tried.
+    """
     parsed, shape = F.try_to_date(column, fmt), _shape(fmt)
     return parsed if shape is None else F.when(column.rlike(shape), parsed)
 
