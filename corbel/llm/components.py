@@ -11,9 +11,9 @@ from corbel.llm.common import settle
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``component`` (its smallest node) of all nodes of ``links`` (``a``, ``b``).
 
-    In each round every node takes the smallest label among its neighbours'
-    labels, the root it hung under follows it, and labels are shortened by one
-    step; it ends when no link joins two labels. Each round is written, so the
+    In each round every label hangs onto the smallest label that a link joins it
+    to, chains of labels are followed to their ends, and links are rewritten
+    between the labels left; it ends when no link joins two labels. Each round is written, so the
     plan stays small and a lost executor costs one round. Minima are partly
     taken before each shuffle, and adaptive execution can split joins at nodes
     with very many links. Links that are loops or null are left out.
@@ -41,14 +41,14 @@ def components(links: DataFrame) -> DataFrame:
         if edges.isEmpty():
             return labels
         hung = edges.groupBy(F.col("b").alias("component")).agg(F.min("a").alias("onto"))
-        # A label hangs onto a smaller one; follow the chain twice, the rest comes next round.
-        next_ = hung.select(F.col("component").alias("onto"), F.col("onto").alias("further"))
-        hung = settle(
-            hung.join(next_, "onto", "left").select(
-                "component", F.coalesce("further", "onto").alias("onto")
-            ),
-            "hung",
-        )
+        hung = settle(hung, "hung")
+        while True:  # each label to the end of its chain, in doubling steps
+            next_ = hung.select(F.col("component").alias("onto"), F.col("onto").alias("further"))
+            hung = settle(hung.join(next_, "onto", "left"), "hung")
+            moved = not hung.where("further IS NOT NULL").isEmpty()
+            hung = hung.select("component", F.coalesce("further", "onto").alias("onto"))
+            if not moved:
+                break
         labels = settle(
             labels.join(hung, "component", "left").select(
                 "node", F.coalesce("onto", "component").alias("component")

@@ -1,0 +1,344 @@
+"""Mixing, sharding, chat, toxicity and quality against plain versions."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from corbel.llm import mixing, outliers, queries, sharding, snapshots, toxicity
+
+SF_DIR = "/root/testdata/sf0.01"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    return queries.read(spark, SF_DIR, "documents").collect()
+
+
+# Mixing
+
+
+def divided(amount, children):
+    """Water level: children are (name, capacity, weight); shares of an amount."""
+    order = sorted(children, key=lambda c: (c[1] / c[2], c[0]))
+    given, left = {}, sum(c[2] for c in order)
+    for n, (name, capacity, weight) in enumerate(order):
+        if capacity * left > weight * amount:
+            upto = 0
+            for name, _, weight in order[n:]:
+                given[name] = amount * (upto + weight) // left - amount * upto // left
+                upto += weight
+            return given
+        given[name] = capacity
+        amount, left = amount - capacity, left - weight
+    return given
+
+
+def tree(amount, leaves, epochs, weights):
+    if not weights:
+        return {(): amount}
+    children = defaultdict(dict)
+    for path, tokens in leaves.items():
+        children[path[0]][path[1:]] = tokens
+    shares = divided(
+        amount,
+        [(k, epochs * sum(v.values()), weights[0].get(k[1:], 1)) for k, v in children.items()],
+    )
+    return {
+        (k, *rest): n
+        for k, own in children.items()
+        for rest, n in tree(shares[k], own, epochs, weights[1:]).items()
+    }
+
+
+def mixed(rows, share, epochs, seed, weights):
+    """rows: (path, doc_id, text). Tokens taken by path, document and epoch."""
+    leaves, own = Counter(), defaultdict(list)
+    for path, key, text in rows:
+        n = len(WORD.findall(text or ""))
+        if n:
+            leaves[path] += n
+            own[path].append((key, n, text))
+    budget = int(Fraction(*share) * sum(leaves.values()))
+    given = tree(min(budget, epochs * sum(leaves.values())), leaves, epochs, weights)
+    taken = []
+    for path, amount in given.items():
+        rounds, rest = divmod(amount, leaves[path])
+
+        def at(row):
+            tie = hashlib.md5(row[2].encode()).hexdigest()
+            key = "" if row[0] is None else str(row[0])
+            word = ":".join([str(seed), str(rounds), key, tie]).encode()
+            return int(hashlib.md5(word).hexdigest()[:13], 16), row[0] or -1, tie
+
+        for key, n, _ in own[path]:
+            taken += [(path, key, e, n) for e in range(rounds)]
+        for row in sorted(own[path], key=at):
+            n = min(row[1], rest)
+            rest -= n
+            if n:
+                taken.append((path, row[0], rounds, n))
+    return taken, given
+
+
+def path_of(row):
+    number = int(row.source[3:])
+    return f"=d{number % queries.DOMAINS}", f"={row.lang}", f"={row.source}"
+
+
+@pytest.mark.parametrize("epochs,share", [(2, (3, 5)), (1, (3, 5)), (3, (7, 4)), (2, (5, 1))])
+def test_mixture(spark, documents, epochs, share):
+    df = queries.mix_documents(queries.read(spark, SF_DIR, "documents"), epochs, share)
+    found = df.collect()
+    rows = [(path_of(r), r.doc_id, r.text) for r in documents]
+    weights = [queries.MIX_WEIGHTS[x] for x in ("domain", "lang", "source")]
+    wanted, _ = mixed(rows, share, epochs, queries.MIX_SEED, weights)
+    named = lambda r: (f"={r.mix_domain}", f"={r.mix_lang}", f"={r.mix_source}")
+    assert Counter((named(r), r.doc_id, r.epoch, r.taken_tokens) for r in found) == Counter(wanted)
+    whole = {r.doc_id: r.text for r in documents}
+    for r in found:
+        assert whole[r.doc_id].startswith(r.text)
+        assert len(WORD.findall(r.text)) == r.taken_tokens
+
+
+def test_shortages_go_to_siblings_first(spark):
+    rows = [("a", "x", 10), ("a", "y", 1000), ("b", "z", 1000)]
+    df = spark.createDataFrame(
+        [(i, " ".join(["w"] * n), d, s) for i, (d, s, n) in enumerate(rows)],
+        "doc_id bigint, text string, top string, source string",
+    )
+    levels = {"top": F.col("top"), "source": F.col("source")}
+    taken = Counter()
+    for r in mixing.mix(df, levels, {}, (200, 2010), 1, 3).collect():
+        taken[r.source] += r.taken_tokens
+    assert taken == {"x": 10, "y": 90, "z": 100}
+
+
+def test_odd_mixtures(spark):
+    rows = [(1, "a b c", None), (1, "a b c", None), (None, "d e", "s1"), (3, None, "s1"), (4, " ", "s2")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string").select(
+        "*", F.lit(1).alias("epoch"), F.lit(2).alias("mix_source")
+    )
+    levels = {"source": F.col("source")}
+    everything = mixing.mix(df, levels, {}, (2, 1), 2, 3)
+    assert everything.columns.count("epoch") == 1
+    assert Counter((r.doc_id, r.epoch) for r in everything.collect()) == {
+        (1, 0): 2, (1, 1): 2, (None, 0): 1, (None, 1): 1,
+    }
+    assert mixing.mix(df.where("false"), levels, {}, (1, 2)).count() == 0
+    assert mixing.mix(df, levels, {}, (0, 1)).count() == 0
+    with pytest.raises(ValueError):
+        mixing.mix(df, levels, {"source": {"s1": 0}}, (1, 2))
+
+
+# Sharding
+
+
+def sharded(rows, shards, tolerance):
+    """Rows by shard; each shard's slots are gapless and in order."""
+    by_shard = defaultdict(list)
+    for row in rows:
+        by_shard[row.shard].append(row)
+    total = sum(r.size for r in rows)
+    for own in by_shard.values():
+        assert sorted(r.slot for r in own) == list(range(len(own)))
+        assert abs(sum(r.size for r in own) - total / shards) <= 2 * tolerance * total / shards
+    return by_shard
+
+
+def test_shards(spark, documents):
+    rows = queries.op10_histogram_shards(spark, SF_DIR).collect()
+    biggest = max(r.size for r in rows)
+    total = sum(r.size for r in rows)
+    assert len(sharded(rows, 8, 0.01 + 8 * biggest / total)) == 8
+    texts = {r.doc_id: r.text for r in documents}
+    found = defaultdict(set)
+    for r in rows:
+        data = texts[r.doc_id].encode()
+        assert (r.size, r.text_crc32) == (len(data) + 1, zlib.crc32(data))
+        found[texts[r.doc_id]].add(r.shard)
+    assert len({r.doc_id for r in rows}) == len(rows) == len(texts)
+    assert sum(len(x) > 1 for x in found.values()) <= 7
+
+
+@pytest.mark.parametrize("parts", [8, 40])
+def test_a_text_too_common_is_divided(spark, parts):
+    rows = [(i, "same text") for i in range(3000)] + [(10**12 + i, f"t{i}" * 3) for i in range(3000)]
+    rows += [(None, None), (None, None), (5, "")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("part", F.lit(3))
+    found = sharding.shard(df.withColumn("shard", F.lit(9)), 8, 0.02, parts).collect()
+    assert len(found) == len(rows)
+    by_shard = sharded(found, 8, 0.03)
+    assert len(by_shard) == 8
+    order = [(r.doc_id, r.text) for s in range(8) for r in sorted(by_shard[s], key=lambda r: r.slot)]
+    same = [k for k, t in order if t == "same text"]
+    assert same == sorted(same)
+
+
+def test_empty_and_tiny_shards(spark):
+    df = spark.createDataFrame([(1, "a")], "doc_id bigint, text string")
+    assert [r.slot for r in sharding.shard(df).collect()] == [0]
+    assert sharding.shard(df.where("false")).count() == 0
+
+
+# Chat
+
+
+def collapsed(rows):
+    own = defaultdict(list)
+    for conv, turn, role, text in rows:
+        own[conv].append((turn is not None, turn or 0, role or "", text or "", role, text))
+    lists = {k: [x[4:] for x in sorted(v)] for k, v in own.items()}
+    kept = {}
+    for key in sorted(lists, key=lambda k: (k is not None, k or 0)):
+        turns = lists[key]
+        longer = any(len(o) > len(turns) and o[: len(turns)] == turns for o in lists.values())
+        if not longer and turns not in kept.values():
+            kept[key] = turns
+    return {
+        k: "".join(f"<|im_start|>{r or 'unknown'}\n{t or ''}<|im_end|>\n" for r, t in turns)
+        for k, turns in kept.items()
+    }
+
+
+def test_snapshots(spark):
+    rows = [tuple(r) for r in queries.read(spark, SF_DIR, "conversations")
+            .select("conv_id", "turn", "role", "text").collect()]
+    found = queries.op6_snapshot_collapse(spark, SF_DIR).collect()
+    assert {r.conv_id: r.rendered for r in found} == collapsed(rows)
+
+
+def test_odd_conversations(spark, monkeypatch):
+    monkeypatch.setattr(snapshots, "CHUNK", 2)
+    monkeypatch.setattr(snapshots, "SEGMENT", 3)
+    talk = [("user", "hi"), ("bot", None), (None, ""), ("user", "x"), ("bot", "y"), ("user", "z")]
+    rows = [(1, i, *t) for i, t in enumerate(talk)]
+    rows += [(2, 10 * i, *t) for i, t in enumerate(talk[:4])]
+    rows += [(3, i, *t) for i, t in enumerate(talk)]
+    rows += [(4, None, "user", "hi"), (None, 0, "user", "hi"), (None, 0, "user", "hi"), (5, 0, "user", "")]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    parts = defaultdict(list)
+    for r in snapshots.collapse(df.withColumn("place", F.lit(1))).collect():
+        parts[r.conv_id].append((r.segment, r.rendered))
+    assert {k: "".join(t for _, t in sorted(v)) for k, v in parts.items()} == collapsed(rows)
+    assert len(parts[1]) == 2
+    assert snapshots.collapse(df.where("false")).count() == 0
+
+
+# Toxicity
+
+
+def test_toxicity_on_held_out_labels(spark):
+    labels = {r.doc_id: r.toxic for r in queries.read(spark, SF_DIR, "labels").collect()}
+    rows = queries.op7_ngram_toxicity(spark, SF_DIR).collect()
+    assert len(rows) == 1000
+    for r in rows:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+        assert 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5)
+    tested = [(labels[r.doc_id], r.score) for r in rows if r.held_out and r.doc_id in labels]
+    ones, zeros = ([s for y, s in tested if y == v] for v in (1, 0))
+    order = np.mean([[(a > b) + 0.5 * (a == b) for b in zeros] for a in ones])
+    assert order > 0.95
+
+
+def test_odd_texts_and_labels(spark):
+    rows = [(i, f"good words number {i}") for i in range(40)] + [(100 + i, f"vile scum {i}") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    marks = [(i, int(i >= 100)) for i, _ in rows] + [(1, 1), (2, None), (None, 1), (3, 7), (999, 1)]
+    labels = spark.createDataFrame(marks, "doc_id bigint, toxic int")
+    model = toxicity.train(df, labels)
+    odd = spark.createDataFrame([(1, None), (2, ""), (3, "scum " * 300_000), (3, "vile scum")],
+                                "doc_id bigint, text string").withColumn("score", F.lit("x"))
+    found = toxicity.classify(odd, model).collect()
+    assert [r.predicted for r in found][2:] == [1, 1] and found[0].score == found[1].score
+    none = toxicity.classify(odd, toxicity.train(df, labels.where("false"))).collect()
+    assert [r.predicted for r in none] == [0, 0, 0, 0]
+    assert toxicity.classify(odd.where("false"), model).count() == 0
+
+
+# Quality
+
+
+def plain_statistics(text):
+    text = text or ""
+    words = WORD.findall(text)
+    windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    often = Counter(windows)
+    covered = {i + k for i, w in enumerate(windows) if often[w] > 1 for k in range(5)}
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    return (
+        len(words),
+        sum(map(len, words)),
+        sum(c in "#*$%&|<>" for c in text),
+        len(lines) - len(set(lines)),
+        len(covered),
+    )
+
+
+def concentrated(vectors):
+    """Centre and inverse of scatter after concentration steps, and squared distances."""
+    vectors = np.array(vectors)
+    centre = np.sort(vectors, axis=0)[(len(vectors) - 1) // 2]
+    mad = np.sort(np.abs(vectors - centre), axis=0)[(len(vectors) - 1) // 2]
+    floors = np.array(outliers.FLOORS)
+    inverse = np.diag(1 / ((mad / 0.6745) ** 2 + floors**2))
+    factor = outliers.SUPPORT / outliers._cdf(outliers._quantile(outliers.SUPPORT, 4), 6)
+
+    def distances():
+        apart = vectors - centre
+        return np.einsum("ni,ij,nj->n", apart, inverse, apart)
+
+    for _ in range(outliers.STEPS):
+        d = distances()
+        near = vectors[d <= np.sort(d)[int(np.ceil(outliers.SUPPORT * len(d))) - 1]]
+        centre = near.mean(axis=0)
+        scatter = factor * np.cov(near.T, bias=True) + np.diag(floors**2)
+        inverse = np.linalg.inv(scatter)
+    return distances()
+
+
+def test_quality(spark, documents):
+    stats = {r.doc_id: plain_statistics(r.text) for r in documents}
+    found = {r.doc_id: r for r in queries.op9_robust_outliers(spark, SF_DIR).collect()}
+    good, vectors = [], []
+    for key, (n, chars, symbols, lines, repeats) in stats.items():
+        row = found[key]
+        assert tuple(row)[1:6] == (n, chars, symbols, lines, repeats)
+        assert row.base_failed == (n < 10 or 100 * repeats > 20 * n)
+        if not row.base_failed:
+            good.append(key)
+            rates = [np.log1p(100 * x / (n + 1)) for x in (symbols, lines, repeats)]
+            vectors.append([np.log((chars + 1) / (n + 1)), *rates])
+        else:
+            assert not row.kept
+    # No group has enough rows here, so all share one estimate.
+    cutoff = outliers._quantile(1 - 1 / outliers.ODDS, 4)
+    assert [found[k].kept for k in good] == (concentrated(vectors) <= cutoff).tolist()
+    assert len(documents) * 0.75 < sum(r.kept for r in found.values()) < len(documents)
+
+
+def test_quality_by_group_and_odd_rows(spark):
+    chance = np.random.default_rng(3)
+    rows = []
+    for group in ("a", None):
+        for i in range(150):
+            sizes = chance.integers(3, 9, 40) if group else chance.integers(9, 20, 40)
+            rows.append((len(rows), " ".join("x" * n + str(k) for k, n in enumerate(sizes)), group))
+    rows += [(900, "### " * 3 + " ".join(f"#{i}$" for i in range(50)), "a"), (901, None, "a"),
+             (902, "", None), (903, " ".join(f"w{i}" for i in range(30)), "rare")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").withColumn("x", F.lit(1))
+    stats = outliers.statistics(df)
+    judged = outliers.judge(stats, outliers.estimate(stats, ["lang"]), ["lang"])
+    kept = {r.doc_id: r.kept for r in judged.collect()}
+    assert len(kept) == len(rows)
+    assert all(kept[i] for i in range(300)) and kept[903]
+    assert not kept[900] and not kept[901] and not kept[902]
+    none = stats.where("false")
+    assert outliers.judge(none, outliers.estimate(none, ["lang"]), ["lang"]).count() == 0
+    assert outliers.judge(stats, outliers.estimate(none, ["lang"]), ["lang"]).where("kept").count() == 302
