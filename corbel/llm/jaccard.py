@@ -14,8 +14,8 @@ its single shingles. So no pair is missed, and each found pair is verified on
 the texts themselves.
 
 Equal sets are one node from the start. Pairs need not all be verified to know
-the components: members of a key's group are first compared with the smallest
-one, and afterwards only pairs that no chain of links connects yet.
+the components: nodes are first compared with the smallest one of their keys'
+groups, and afterwards only pairs that no chain of links connects yet.
 """
 
 from __future__ import annotations
@@ -41,6 +41,8 @@ COMMON_SHARE, COMMON_LEAST = 0.01, 8
 COMMON_KNOWN = 1 << 18
 #: A key in more sets of one run than this is grouped there before the shuffle.
 CROWD = 32
+#: Rounds in which each node is compared with one other before all pairs left are.
+STARS = 2
 
 
 def band(sizes: np.ndarray) -> np.ndarray:
@@ -178,8 +180,8 @@ def _entries(documents: DataFrame, common: np.ndarray, parts: int) -> DataFrame:
     A row holds the keys of one run of documents within one range, ``part``: the
     upper 48 bits of each key in ``high`` and ``low``, its node's place in
     ``dictionary`` in ``index``. Keys alike by chance only add a pair to verify.
-    A key that a crowd of one run shows is left with one of them, and the crowd
-    goes out as a group of its own, numbered from ``parts`` on.
+    A key that a crowd of one run shows is left with one of them, ``crowded``,
+    and the crowd goes out as a group of its own, numbered from ``parts`` on.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,11 +190,13 @@ def _entries(documents: DataFrame, common: np.ndarray, parts: int) -> DataFrame:
                 rows = _packed(elements, bounds, common, parts)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0] for r in rows], pa.int64())]
-                    + [pa.array([r[i].tobytes() for r in rows], pa.binary()) for i in range(1, 5)],
-                    names=["part", "high", "low", "index", "dictionary"],
+                    + [pa.array([r[i].tobytes() for r in rows], pa.binary()) for i in range(1, 6)],
+                    names=["part", "high", "low", "index", "crowded", "dictionary"],
                 )
 
-    schema = "part bigint, high binary, low binary, index binary, dictionary binary"
+    schema = (
+        "part bigint, high binary, low binary, index binary, crowded binary, dictionary binary"
+    )
     return documents.select("text").mapInArrow(run, schema)
 
 
@@ -215,44 +219,60 @@ def _packed(elements, bounds, common, parts) -> list[tuple]:
     sizes = np.diff(np.append(begins, len(keys)))
     crowded = np.repeat(sizes > CROWD, sizes)
 
-    def row(part: int, keys, index) -> tuple:
+    def row(part: int, keys, index, crowded) -> tuple:
         own, index = np.unique(index, return_inverse=True)
         high, low = (keys >> U64(16)).astype("<u4"), (keys & U64(0xFFFF)).astype("<u2")
-        return part, high, low, index.astype("<u2"), names[own]
+        return part, high, low, index.astype("<u2"), crowded, names[own]
 
     rows = []
     if crowded.any():
         spread = parts + int(mix(keys[crowded][:1])[0] & U64(0xFFFFFFFF))
-        rows.append(row(spread, keys[crowded], index[crowded]))
-    keys, index = keys[~crowded | leads], index[~crowded | leads]
+        rows.append(row(spread, keys[crowded], index[crowded], crowded[crowded]))
+    left = ~crowded | leads
+    keys, index, crowded = keys[left], index[left], crowded[left]
     # Keys are sorted, so each range of them is a slice.
     edges = np.searchsorted(keys >> U64(16), (np.arange(parts + 1, dtype=U64) << U64(32)) // U64(parts))
     for part in range(parts):
         a, b = edges[part], edges[part + 1]
         if b > a:
-            rows.append(row(part, keys[a:b], index[a:b]))
+            rows.append(row(part, keys[a:b], index[a:b], crowded[a:b]))
     return rows
 
 
-def _shared(entries: DataFrame, parts: int) -> DataFrame:
-    """``key`` and ``node`` of all keys that more than one node shows."""
+def _shared(entries: DataFrame) -> DataFrame:
+    """``key`` and ``node`` of all keys that more than one node shows.
+
+    Keys of the same nodes are one: it is named by them. Only a key with a crowd
+    somewhere keeps its own name, under which its groups meet.
+    """
 
     def group(table: pa.Table) -> pa.Table:
-        keys, nodes = [], []
+        keys, nodes, crowds = [], [], []
         for batch in table.to_batches():
-            for high, low, index, names in zip(
-                *(column(batch, c) for c in ("high", "low", "index", "dictionary"))
+            for high, low, index, crowded, names in zip(
+                *(column(batch, c) for c in ("high", "low", "index", "crowded", "dictionary"))
             ):
                 upper = np.frombuffer(high.as_buffer(), "<u4").astype(U64) << U64(16)
                 keys.append(upper | np.frombuffer(low.as_buffer(), "<u2"))
                 nodes.append(np.frombuffer(names.as_buffer(), U64)[np.frombuffer(index.as_buffer(), "<u2")])
-        keys, nodes = np.concatenate(keys), np.concatenate(nodes)
+                crowds.append(np.frombuffer(crowded.as_buffer(), bool))
+        keys, nodes, crowds = (np.concatenate(x) for x in (keys, nodes, crowds))
         order = np.argsort(keys, kind="stable")
-        keys, nodes = keys[order], nodes[order]
+        keys, nodes, crowds = keys[order], nodes[order], crowds[order]
         same = keys[1:] == keys[:-1]
-        shared = np.append(False, same) | np.append(same, False)
+        shared = np.append(False, same) | np.append(same, False) | crowds
+        keys, nodes, crowds = keys[shared], nodes[shared], crowds[shared]
+        if len(keys):
+            begins = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+            sizes = np.diff(np.append(begins, len(keys)))
+            named = mix(np.add.reduceat(mix(nodes), begins))
+            named = np.where(np.logical_or.reduceat(crowds, begins), keys[begins], named)
+            _, first = np.unique(named, return_index=True)
+            kept = np.zeros(len(begins), bool)
+            kept[first] = True
+            nodes, keys = nodes[np.repeat(kept, sizes)], np.repeat(named[kept], sizes[kept])
         return pa.table(
-            [pa.array(x[shared].view(np.int64)) for x in (keys, nodes)], names=["key", "node"]
+            [pa.array(x.view(np.int64)) for x in (keys, nodes)], names=["key", "node"]
         )
 
     return entries.groupBy("part").applyInArrow(group, "key bigint, node bigint").distinct()
@@ -301,7 +321,7 @@ def group_documents(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     named = df.select(quoted(key).cast("bigint").alias("key"), quoted(text).alias("text"))
 
     documents = settle(_described(named).drop("text"), "jaccard-documents")
-    shared = settle(_shared(_entries(named, _common(named), parts), parts), "jaccard-shared")
+    shared = settle(_shared(_entries(named, _common(named), parts)), "jaccard-shared")
     found = settle(_links(named, documents, shared), "jaccard-links")
     component = components(found).select("node", "component")
     nodes = documents.groupBy("node").agg(F.min("key").alias("smallest"))
@@ -338,6 +358,23 @@ def _described(named: DataFrame) -> DataFrame:
     return map_batches(named, fields, describe)
 
 
+def _torn(shared: DataFrame, component: DataFrame) -> DataFrame:
+    """Groups that are not connected yet: ``key``, ``node``, ``component``."""
+    placed = settle(
+        shared.join(component, "node", "left").select(
+            "key", "node", F.coalesce("component", "node").alias("component")
+        ),
+        "jaccard-placed",
+    )
+    torn = (
+        placed.groupBy("key")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .where("low < high")
+        .select("key")
+    )
+    return placed.join(torn, "key")
+
+
 def _links(named: DataFrame, documents: DataFrame, shared: DataFrame) -> DataFrame:
     """Links between nodes, enough to connect all that any links connect."""
     candidates = shared.select("node").distinct()
@@ -349,26 +386,24 @@ def _links(named: DataFrame, documents: DataFrame, shared: DataFrame) -> DataFra
         _described(held).join(candidates, "node").dropDuplicates(["node"]).select("node", "text"),
         "jaccard-texts",
     )
-    # First each member of a key's group with the smallest one.
-    least = shared.groupBy("key").agg(F.min("node").alias("a"))
-    star = shared.join(least, "key").where("a < node").select("a", F.col("node").alias("b"))
-    tried = settle(star.distinct(), "jaccard-tried")
-    first = settle(_verified(tried, texts), "jaccard-links")
+    first = tried = None
+    rest = shared.select("key", "node", F.col("node").alias("component"))
+    for _ in range(STARS):
+        # Each node with the smallest of its groups that it isn't connected with yet.
+        least = rest.groupBy("key").agg(F.min_by(F.struct("node", "component"), "node").alias("x"))
+        star = (
+            rest.join(least.select("key", "x.*").toDF("key", "a", "other"), "key")
+            .where("component != other")
+            .groupBy(F.col("node").alias("b"))
+            .agg(F.min("a").alias("a"))
+            .select("a", "b")
+        )
+        star = settle(star, "jaccard-star")
+        linked = settle(_verified(star, texts), "jaccard-links")
+        tried = star if tried is None else tried.unionByName(star)
+        first = linked if first is None else first.unionByName(linked)
+        rest = settle(_torn(shared, components(first)), "jaccard-torn")
     # Then the pairs of each group that are not connected yet.
-    component = components(first)
-    placed = settle(
-        shared.join(component, "node", "left").withColumn(
-            "component", F.coalesce("component", "node")
-        ),
-        "jaccard-placed",
-    )
-    torn = (
-        placed.groupBy("key")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low < high")
-        .select("key")
-    )
-    rest = settle(placed.join(torn, "key"), "jaccard-torn")
     other = rest.select("key", F.col("node").alias("b"), F.col("component").alias("other"))
     pairs = (
         rest.withColumnRenamed("node", "a")
