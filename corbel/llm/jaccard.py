@@ -13,9 +13,11 @@ find subsets that differ in one element; and if even these cannot reach H + 1,
 its single shingles. So no pair is missed, and each found pair is verified on
 the texts themselves.
 
-Equal sets are one node from the start. Pairs need not all be verified to know
-the components: nodes are first compared with the smallest one of their keys'
-groups, and afterwards only pairs that no chain of links connects yet.
+Equal sets are one node from the start. Most pairs that share a key only share
+a passage; sizes and bit sketches, which bound how far two sets are apart from
+below, rule these out within the groups, and only pairs left are verified. They
+need not all be: enough pairs to connect what all would connect come first, and
+the others only where one of these failed.
 """
 
 from __future__ import annotations
@@ -41,8 +43,8 @@ COMMON_SHARE, COMMON_LEAST = 0.01, 8
 COMMON_KNOWN = 1 << 18
 #: A key in more sets of one run than this is grouped there before the shuffle.
 CROWD = 32
-#: Rounds in which each node is compared with one other before all pairs left are.
-STARS = 2
+#: Members of a group that are compared at once.
+BLOCK = 1 << 10
 
 
 def band(sizes: np.ndarray) -> np.ndarray:
@@ -322,7 +324,7 @@ def group_documents(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
 
     documents = settle(_described(named).drop("text"), "jaccard-documents")
     shared = settle(_shared(_entries(named, _common(named), parts)), "jaccard-shared")
-    found = settle(_links(named, documents, shared), "jaccard-links")
+    found = settle(_links(named, documents, shared, parts), "jaccard-links")
     component = components(found).select("node", "component")
     nodes = documents.groupBy("node").agg(F.min("key").alias("smallest"))
     joined = nodes.join(component, "node", "left").withColumn(
@@ -344,73 +346,170 @@ def group_documents(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     )
 
 
+def sketch(elements: np.ndarray, size: int) -> bytes:
+    """Parities of how many elements fall into each of some bins, a power of two by size band.
+
+    Each element in one of two sets alone changes one bit at most, so sets never
+    differ in fewer elements than their sketches do in bits. Folding a sketch in
+    half gives the one with half as many bins.
+    """
+    bins = max(64, 1 << (max(size, 1).bit_length()))
+    place = mix(elements ^ U64(0xE7037ED1A0B428DB)) & U64(bins - 1)
+    return np.packbits(np.bincount(place.astype(np.int64), minlength=bins) & 1).tobytes()
+
+
 def _described(named: DataFrame) -> DataFrame:
-    """Add ``n_shingles`` and ``node``."""
+    """Add ``n_shingles``, ``node`` and ``sketch``."""
 
     def describe(batch: pa.RecordBatch) -> list[pa.Array]:
-        sizes, nodes = [], []
+        sizes, nodes, sketches = [], [], []
         for elements, bounds in _sets(column(batch, "text")):
             sizes.append(np.diff(bounds))
             nodes.append(_nodes(elements, bounds).view(np.int64))
-        return [pa.array(np.concatenate(sizes)), pa.array(np.concatenate(nodes))]
-
-    fields = [T.StructField("n_shingles", T.LongType()), T.StructField("node", T.LongType())]
+            sketches += [
+                sketch(elements[a:b], b - a) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())
+            ]
+        return [
+            pa.array(np.concatenate(sizes)),
+            pa.array(np.concatenate(nodes)),
+            pa.array(sketches, pa.binary()),
+        ]
+
+    fields = [
+        T.StructField("n_shingles", T.LongType()),
+        T.StructField("node", T.LongType()),
+        T.StructField("sketch", T.BinaryType()),
+    ]
     return map_batches(named, fields, describe)
 
 
-def _torn(shared: DataFrame, component: DataFrame) -> DataFrame:
-    """Groups that are not connected yet: ``key``, ``node``, ``component``."""
-    placed = settle(
-        shared.join(component, "node", "left").select(
-            "key", "node", F.coalesce("component", "node").alias("component")
-        ),
-        "jaccard-placed",
-    )
-    torn = (
-        placed.groupBy("key")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low < high")
-        .select("key")
+def _folded(sketches: np.ndarray) -> np.ndarray:
+    half = sketches.shape[1] // 2
+    return sketches[:, :half] ^ sketches[:, half:]
+
+
+def possible(sizes: np.ndarray, sketches: list[bytes]) -> np.ndarray:
+    """Table of which pairs of sets may link, by their sizes and sketches."""
+    count = len(sizes)
+    table = np.zeros((count, count), bool)
+    lengths = np.array([len(x) for x in sketches])
+    allowed = (SIMILAR_OF - SIMILAR) * (sizes[:, None] + sizes[None, :]) // (SIMILAR + SIMILAR_OF)
+    for length in np.unique(lengths):
+        rows = np.flatnonzero(lengths == length)
+        own = np.frombuffer(b"".join(sketches[i] for i in rows), U64).reshape(len(rows), -1)
+        larger = np.flatnonzero(lengths == 2 * length)
+        other, both = own, rows
+        if len(larger):
+            wide = np.frombuffer(b"".join(sketches[i] for i in larger), np.uint8)
+            wide = np.ascontiguousarray(_folded(wide.reshape(len(larger), -1))).view(U64)
+            other, both = np.concatenate([own, wide]), np.concatenate([rows, larger])
+        step = max(1, (1 << 20) // max(1, other.size))
+        for first in range(0, len(rows), step):
+            part = rows[first : first + step]
+            bits = np.bitwise_count(own[first : first + step, None, :] ^ other[None, :, :])
+            apart = bits.sum(axis=2, dtype=np.int64)
+            table[np.ix_(part, both)] = apart <= allowed[np.ix_(part, both)]
+    table |= table.T
+    small = np.minimum(sizes[:, None], sizes[None, :])
+    large = np.maximum(sizes[:, None], sizes[None, :])
+    table &= SIMILAR_OF * small >= SIMILAR * large
+    np.fill_diagonal(table, False)
+    return table
+
+
+def spanning(table: np.ndarray) -> list[tuple[int, int]]:
+    """Links of ``table`` that connect all it connects."""
+    fresh, links = np.ones(len(table), bool), []
+    for start in np.flatnonzero(table.any(axis=1)):
+        frontier = np.array([start] if fresh[start] else [], np.int64)
+        fresh[start] = False
+        while len(frontier):
+            near = table[frontier] & fresh
+            reached = np.flatnonzero(near.any(axis=0))
+            links += zip(frontier[np.argmax(near[:, reached], axis=0)].tolist(), reached.tolist())
+            fresh[reached] = False
+            frontier = reached
+    return links
+
+
+def _candidates(members: DataFrame, parts: int, everything: bool) -> DataFrame:
+    """Pairs ``a`` < ``b`` of members of a group (``key``) that may link and are not connected yet.
+
+    ``members`` have ``key``, ``node``, ``component``, ``n_shingles``, ``sketch``. A large
+    group is dealt into blocks and each two of these meet. Unless ``everything`` is
+    asked for, only enough pairs are given to connect what all would connect.
+    """
+    sizes = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    met = (
+        members.join(sizes, "key")
+        .withColumn("block", block)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("cell"),
+            F.when(F.col("blocks") == 1, -1).when(F.col("block") == F.col("other"), -1)
+            .otherwise(F.col("block")).alias("side"),
+            "node", "component", "n_shingles", "sketch",
+        )
     )
-    return placed.join(torn, "key")
 
+    def cell(rows: pa.Table) -> list[tuple[int, int]]:
+        node, component, size, side = (
+            rows.column(c).to_numpy() for c in ("node", "component", "n_shingles", "side")
+        )
+        if component.min() == component.max():
+            return []
+        table = possible(size, rows.column("sketch").to_pylist())
+        table &= component[:, None] != component[None, :]
+        if (side >= 0).any():
+            table &= side[:, None] != side[None, :]
+        found = zip(*np.nonzero(np.triu(table))) if everything else spanning(table)
+        return [(int(node[i]), int(node[j])) for i, j in found]
 
-def _links(named: DataFrame, documents: DataFrame, shared: DataFrame) -> DataFrame:
+    def group(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks().sort_by("cell")
+        cells = table.column("cell").to_numpy()
+        edges = np.flatnonzero(np.append(True, cells[1:] != cells[:-1]))
+        pairs = []
+        for first, last in zip(edges, np.append(edges[1:], len(cells))):
+            pairs += cell(table.slice(first, last - first))
+        pairs = np.sort(np.array(pairs, np.int64).reshape(-1, 2), axis=1)
+        return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    dealt = met.groupBy(F.pmod("cell", F.lit(4 * parts)).alias("part"))
+    return dealt.applyInArrow(group, "a bigint, b bigint").distinct()
+
+
+def _links(named: DataFrame, documents: DataFrame, shared: DataFrame, parts: int) -> DataFrame:
     """Links between nodes, enough to connect all that any links connect."""
-    candidates = shared.select("node").distinct()
-    holders = documents.join(candidates, "node").groupBy("node").agg(F.min("key").alias("holder"))
+    nodes = documents.select("node", "n_shingles", "sketch").dropDuplicates(["node"])
+    members = settle(
+        shared.join(nodes, "node").withColumn("component", F.col("node")), "jaccard-members"
+    )
+    tried = settle(_candidates(members, parts, everything=False), "jaccard-candidates")
+    first = settle(_verified(tried, _texts(named, documents, tried)), "jaccard-links")
+    # Where a candidate failed, any other pair of its group may still link.
+    members = (
+        members.drop("component")
+        .join(components(first), "node", "left")
+        .withColumn("component", F.coalesce("component", "node"))
+    )
+    failed = tried.join(first, ["a", "b"], "left_anti").select(F.explode(F.array("a", "b")).alias("node"))
+    keys = members.join(failed.distinct(), "node", "left_semi").select("key").distinct()
+    torn = settle(members.join(keys, "key", "left_semi"), "jaccard-torn")
+    rest = _candidates(torn, parts, everything=True).join(tried, ["a", "b"], "left_anti")
+    rest = settle(rest, "jaccard-candidates")
+    return first.unionByName(_verified(rest, _texts(named, documents, rest)))
+
+
+def _texts(named: DataFrame, documents: DataFrame, pairs: DataFrame) -> DataFrame:
+    """A text of each node of ``pairs``."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    holders = documents.join(wanted, "node").groupBy("node").agg(F.min("key").alias("holder"))
     holding = holders.select("holder").distinct()
     # A key may be null or on several rows: the node is taken from the text again.
     held = named.join(holding, F.col("key").eqNullSafe(F.col("holder")), "left_semi")
-    texts = settle(
-        _described(held).join(candidates, "node").dropDuplicates(["node"]).select("node", "text"),
+    return settle(
+        _described(held).join(wanted, "node").dropDuplicates(["node"]).select("node", "text"),
         "jaccard-texts",
     )
-    first = tried = None
-    rest = shared.select("key", "node", F.col("node").alias("component"))
-    for _ in range(STARS):
-        # Each node with the smallest of its groups that it isn't connected with yet.
-        least = rest.groupBy("key").agg(F.min_by(F.struct("node", "component"), "node").alias("x"))
-        star = (
-            rest.join(least.select("key", "x.*").toDF("key", "a", "other"), "key")
-            .where("component != other")
-            .groupBy(F.col("node").alias("b"))
-            .agg(F.min("a").alias("a"))
-            .select("a", "b")
-        )
-        star = settle(star, "jaccard-star")
-        linked = settle(_verified(star, texts), "jaccard-links")
-        tried = star if tried is None else tried.unionByName(star)
-        first = linked if first is None else first.unionByName(linked)
-        rest = settle(_torn(shared, components(first)), "jaccard-torn")
-    # Then the pairs of each group that are not connected yet.
-    other = rest.select("key", F.col("node").alias("b"), F.col("component").alias("other"))
-    pairs = (
-        rest.withColumnRenamed("node", "a")
-        .join(other, "key")
-        .where("a < b AND component != other")
-        .select("a", "b")
-        .distinct()
-        .join(tried, ["a", "b"], "left_anti")
-    )
-    return first.unionByName(_verified(pairs, texts))

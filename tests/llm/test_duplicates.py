@@ -113,8 +113,30 @@ def test_no_pair_is_missed():
     assert tried > 500
 
 
+def test_sketches_rule_out_no_pair_that_links():
+    chance = np.random.default_rng(8)
+    for size in (1, 5, 7, 8, 30, 63, 64, 200, 511, 512, 2000):
+        base = chance.integers(0, 2**63, size).astype(U64)
+        sets = [np.unique(base)]
+        for _ in range(12):
+            own = base[chance.random(size) > chance.random() * 0.3]
+            sets.append(np.unique(np.append(own, chance.integers(0, 2**63, size // 7).astype(U64))))
+        sizes = np.array([len(x) for x in sets])
+        table = jaccard.possible(sizes, [jaccard.sketch(x, len(x)) for x in sets])
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets[:i]):
+                both = len(np.intersect1d(a, b))
+                if both and 100 * both >= 75 * (len(a) + len(b) - both):
+                    assert table[i, j] and table[j, i]
+        links = jaccard.spanning(table)
+        assert all(table[i, j] for i, j in links)
+        named = components_of(range(len(sets)), zip(*np.nonzero(table)))
+        assert named == components_of(range(len(sets)), links)
+
+
 def test_crowds_and_repeated_ids(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "CROWD", 2)
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
     words = [f"w{i}" for i in range(80)]
     chance = random.Random(9)
     rows = [(i % 12, edited(words, 2, chance)) for i in range(24)]
