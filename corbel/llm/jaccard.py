@@ -16,8 +16,8 @@ the texts themselves.
 Equal sets are one node from the start. Most pairs that share a key only share
 a passage; sizes and bit sketches, which bound how far two sets are apart from
 below, rule these out within the groups, and only pairs left are verified. They
-need not all be: enough pairs to connect what all would connect come first, and
-the others only where one of these failed.
+need not all be: each node is compared with one other first, twice, and all pairs
+of a group only where that has not connected what may be connected.
 """
 
 from __future__ import annotations
@@ -43,6 +43,8 @@ COMMON_SHARE, COMMON_LEAST = 0.01, 8
 COMMON_KNOWN = 1 << 18
 #: A key in more sets of one run than this is grouped there before the shuffle.
 CROWD = 32
+#: Rounds of comparing: each node with one other, again, then every pair that is left.
+ROUNDS = (False, False, True)
 #: Members of a group that are compared at once.
 BLOCK = 1 << 10
 
@@ -474,6 +476,7 @@ def _candidates(members: DataFrame, parts: int, everything: bool) -> DataFrame:
         for first, last in zip(edges, np.append(edges[1:], len(cells))):
             pairs += cell(table.slice(first, last - first))
         pairs = np.sort(np.array(pairs, np.int64).reshape(-1, 2), axis=1)
+        pairs = np.unique(pairs, axis=0)
         return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
     dealt = met.groupBy(F.pmod("cell", F.lit(4 * parts)).alias("part"))
@@ -486,20 +489,41 @@ def _links(named: DataFrame, documents: DataFrame, shared: DataFrame, parts: int
     members = settle(
         shared.join(nodes, "node").withColumn("component", F.col("node")), "jaccard-members"
     )
-    tried = settle(_candidates(members, parts, everything=False), "jaccard-candidates")
-    first = settle(_verified(tried, _texts(named, documents, tried)), "jaccard-links")
-    # Where a candidate failed, any other pair of its group may still link.
-    members = (
+    tried = links = None
+    for everything in ROUNDS:
+        found = settle(_candidates(members, parts, everything), "jaccard-candidates")
+        pairs = found if everything else found.groupBy("b").agg(F.min("a").alias("a"))
+        pairs = pairs.select("a", "b")
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = settle(pairs, "jaccard-pairs")
+        linked = settle(_verified(pairs, _texts(named, documents, pairs)), "jaccard-links")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        links = linked if links is None else links.unionByName(linked)
+        if not everything:
+            members = settle(_open(members, found, components(links)), "jaccard-members")
+    return links
+
+
+def _open(members: DataFrame, found: DataFrame, component: DataFrame) -> DataFrame:
+    """Members, with their components, of the groups that have pairs not yet connected."""
+    ends = [
+        component.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}")) for x in "ab"
+    ]
+    apart = (
+        found.join(ends[0], "a", "left")
+        .join(ends[1], "b", "left")
+        .where("coalesce(of_a, a) != coalesce(of_b, b)")
+        .select(F.explode(F.array("a", "b")).alias("node"))
+        .distinct()
+    )
+    keys = members.join(apart, "node", "left_semi").select("key").distinct()
+    return (
         members.drop("component")
-        .join(components(first), "node", "left")
+        .join(keys, "key", "left_semi")
+        .join(component, "node", "left")
         .withColumn("component", F.coalesce("component", "node"))
     )
-    failed = tried.join(first, ["a", "b"], "left_anti").select(F.explode(F.array("a", "b")).alias("node"))
-    keys = members.join(failed.distinct(), "node", "left_semi").select("key").distinct()
-    torn = settle(members.join(keys, "key", "left_semi"), "jaccard-torn")
-    rest = _candidates(torn, parts, everything=True).join(tried, ["a", "b"], "left_anti")
-    rest = settle(rest, "jaccard-candidates")
-    return first.unionByName(_verified(rest, _texts(named, documents, rest)))
 
 
 def _texts(named: DataFrame, documents: DataFrame, pairs: DataFrame) -> DataFrame:
