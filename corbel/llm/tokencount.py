@@ -14,7 +14,7 @@ a character.
 from __future__ import annotations
 
 import functools
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +29,10 @@ from corbel.llm.tokens import BYTE_PATTERN, CACHED_LENGTH, CACHED_PIECES, tokeni
 #: White space goes with what follows it; an apostrophe ending belongs to white
 #: space only if that ends in something other than a space.
 UNITS = (
-    r"(?:\s*[^\S ])?'(?:s|t|re|ve|m|ll|d)|\s*\p{L}+|\s*\p{N}+|\s*[^\s\p{L}\p{N}]+|\s+"
+    r" ?\p{L}+|(?:\s*[^\S ])?'(?:s|t|re|ve|m|ll|d)|\s*\p{L}+|\s*\p{N}+|\s*[^\s\p{L}\p{N}]+|\s+"
 )
+#: Texts whose units are made together.
+TEXTS = 1000
 #: No apostrophe ending is longer.
 LONGEST_ENDING = 3
 
@@ -54,6 +56,7 @@ class PrefixCounter:
         ]
         self._pairs: dict[tuple[int, int], bool] = {}
         self._tables: dict[str, bytes] = {}
+        self._data, self._last, self._count = b"", [-1], [0]
 
     def _alone(self, data: bytes) -> list[int]:
         letters = "".join(self._letters[b] for b in data)
@@ -72,14 +75,22 @@ class PrefixCounter:
 
     def piece(self, piece: str) -> list[int]:
         """Tokens of each prefix, character by character, of text that no cut divides."""
-        data = piece.encode()
-        last, count = [-1] * (len(data) + 1), [0] * (len(data) + 1)
-        for end in range(1, len(data) + 1):
+        data, before = piece.encode(), self._data
+        alike, least = 0, min(len(data), len(before))
+        while alike < least and data[alike] == before[alike]:
+            alike += 1
+        # What the piece begins with like the one before is known.
+        last, count = self._last[: alike + 1], self._count[: alike + 1]
+        for end in range(alike + 1, len(data) + 1):
             for start in range(max(0, end - self._longest), end):
                 token = self._ids.get(data[start:end])
                 if token is not None and self._fits(last[start], token):
-                    last[end], count[end] = token, count[start] + 1
+                    last.append(token)
+                    count.append(count[start] + 1)
                     break
+        self._data, self._last, self._count = data, last, count
+        if len(data) == len(piece):
+            return count[1:]
         ends = accumulate(len(c.encode()) for c in piece)
         return [count[end] for end in ends]
 
@@ -101,16 +112,30 @@ class PrefixCounter:
     def _table(self, unit: str) -> bytes:
         table = self._tables.get(unit)
         if table is None:
-            counts = np.array(self.unit(unit), dtype=np.int64)
-            table = np.diff(counts, prepend=0).astype(np.int8).tobytes()
+            counts = self.unit(unit)
+            # Two's complement: a step may be negative.
+            table = bytes((x - y) & 255 for x, y in zip(counts, [0, *counts]))
             if len(unit) <= CACHED_LENGTH:
                 if len(self._tables) >= CACHED_PIECES:
                     self._tables.clear()
                 self._tables[unit] = table
         return table
 
+    def all_steps(self, texts: list[str | None]) -> list[bytes]:
+        """Steps of each text. New units are met in order, as neighbours share their beginnings."""
+        units = [self._units(text or "") for text in texts]
+        for unit in sorted(set(chain.from_iterable(units)) - self._tables.keys()):
+            self._table(unit)
+        special = [text is not None and any(x in text for x in self._specials) for text in texts]
+        return [
+            self.steps(text) if odd else self._joined(own)
+            for text, own, odd in zip(texts, units, special)
+        ]
+
     def _steps(self, text: str) -> bytes:
-        units = self._units(text)
+        return self._joined(self._units(text))
+
+    def _joined(self, units: list[str]) -> bytes:
         try:
             return b"".join(map(self._tables.__getitem__, units))
         except KeyError:
@@ -160,8 +185,10 @@ def prefix_counts(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     """
 
     def compute(batch: pa.RecordBatch) -> list[pa.Array]:
-        steps = counter(path).steps
-        tables = [steps(x.as_py()) for x in column(batch, text)]
+        known, texts = counter(path), column(batch, text).to_pylist()
+        tables = []
+        for first in range(0, len(texts), TEXTS):
+            tables += known.all_steps(texts[first : first + TEXTS])
         sizes = [len(x.as_buffer()) if x.is_valid else 0 for x in column(batch, text)]
         totals = [int(np.frombuffer(x, np.int8).sum(dtype=np.int64)) for x in tables]
         return [

@@ -129,7 +129,8 @@ def test_files_of_odd_tables(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("key", F.lit(1))
     read = rangecoder.read_ids(rangecoder.write_ids(df, BYTES)).orderBy("start").collect()
     assert [r.key for r in read] == [None, None, -1, 5, 5, 5]
-    assert [r.n_tokens for r in read] == [1, 2, 1, 2, 2, 2]
-    assert [r.start for r in read] == [0, 1, 3, 4, 6, 8]
+    sizes = [r.n_tokens for r in read]
+    assert sorted(sizes[:2]) == [1, 2] and sizes[2:] == [1, 2, 2, 2]
+    assert [r.start for r in read] == [sum(sizes[:i]) for i in range(6)]
     empty = df.where("false")
     assert rangecoder.read_ids(rangecoder.write_ids(empty, BYTES)).count() == 0
