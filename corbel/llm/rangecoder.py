@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corbel.llm.common import column, settle
+from corbel.llm.common import column, quoted, settle
 from corbel.llm.tokens import byte_encoder
 
 MAGIC = b"CMR1"
@@ -250,13 +250,15 @@ def write_ids(
     """Write the token ids of every text, in ascending order of ``key``, as coded blocks.
 
     Rows are dealt out by ranges of the key, null first; rows with equal keys
-    follow by text. Each text's ids end with ``end``; a null or empty text is
+    follow by a hash of the text. Each text's ids end with ``end``; a null or empty text is
     that one id. A block holds whole documents, 2**18 ids and what the last one
     adds. Returns the written table: ``part`` (its place among the ranges),
     ``part_start`` (ids before the block within the part), ``n_ids``, ``block``.
     """
-    narrow = df.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
-    ordered = narrow.repartitionByRange("key", "text").sortWithinPartitions("key", "text")
+    narrow = df.select(quoted(key).cast("bigint").alias("key"), quoted(text).alias("text"))
+    # The second column divides a key that very many rows share.
+    narrow = narrow.withColumn("tie", F.xxhash64("text"))
+    ordered = narrow.repartitionByRange("key", "tie").sortWithinPartitions("key", "tie").drop("tie")
     last = np.uint16(end).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
