@@ -16,8 +16,8 @@ the texts themselves.
 Equal sets are one node from the start. Most pairs that share a key only share
 a passage; sizes and bit sketches, which bound how far two sets are apart from
 below, rule these out within the groups, and only pairs left are verified. They
-need not all be: each node is compared with one other first, twice, and all pairs
-of a group only where that has not connected what may be connected.
+need not all be: each node is compared with its nearest first, twice, and all pairs of a
+group only where that has not connected what may be connected.
 """
 
 from __future__ import annotations
@@ -43,7 +43,7 @@ COMMON_SHARE, COMMON_LEAST = 0.01, 8
 COMMON_KNOWN = 1 << 18
 #: A key in more sets of one run than this is grouped there before the shuffle.
 CROWD = 32
-#: Rounds of comparing: each node with one other, again, then every pair that is left.
+#: Rounds of comparing: each node with its nearest, again, then every pair that is left.
 ROUNDS = (False, False, True)
 #: Members of a group that are compared at once.
 BLOCK = 1 << 10
@@ -355,7 +355,7 @@ def sketch(elements: np.ndarray, size: int) -> bytes:
     differ in fewer elements than their sketches do in bits. Folding a sketch in
     half gives the one with half as many bins.
     """
-    bins = max(64, 1 << (max(size, 1).bit_length()))
+    bins = max(64, 1 << (max(size, 1).bit_length() + 2))
     place = mix(elements ^ U64(0xE7037ED1A0B428DB)) & U64(bins - 1)
     return np.packbits(np.bincount(place.astype(np.int64), minlength=bins) & 1).tobytes()
 
@@ -390,10 +390,11 @@ def _folded(sketches: np.ndarray) -> np.ndarray:
     return sketches[:, :half] ^ sketches[:, half:]
 
 
-def possible(sizes: np.ndarray, sketches: list[bytes]) -> np.ndarray:
-    """Table of which pairs of sets may link, by their sizes and sketches."""
+def possible(sizes: np.ndarray, sketches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs of sets may link, by their sizes and sketches, and how many bits are apart."""
     count = len(sizes)
     table = np.zeros((count, count), bool)
+    bits_apart = np.zeros((count, count), np.int64)
     lengths = np.array([len(x) for x in sketches])
     allowed = (SIMILAR_OF - SIMILAR) * (sizes[:, None] + sizes[None, :]) // (SIMILAR + SIMILAR_OF)
     for length in np.unique(lengths):
@@ -411,35 +412,23 @@ def possible(sizes: np.ndarray, sketches: list[bytes]) -> np.ndarray:
             bits = np.bitwise_count(own[first : first + step, None, :] ^ other[None, :, :])
             apart = bits.sum(axis=2, dtype=np.int64)
             table[np.ix_(part, both)] = apart <= allowed[np.ix_(part, both)]
+            bits_apart[np.ix_(part, both)] = apart
     table |= table.T
+    bits_apart = np.maximum(bits_apart, bits_apart.T)
     small = np.minimum(sizes[:, None], sizes[None, :])
     large = np.maximum(sizes[:, None], sizes[None, :])
     table &= SIMILAR_OF * small >= SIMILAR * large
     np.fill_diagonal(table, False)
-    return table
-
-
-def spanning(table: np.ndarray) -> list[tuple[int, int]]:
-    """Links of ``table`` that connect all it connects."""
-    fresh, links = np.ones(len(table), bool), []
-    for start in np.flatnonzero(table.any(axis=1)):
-        frontier = np.array([start] if fresh[start] else [], np.int64)
-        fresh[start] = False
-        while len(frontier):
-            near = table[frontier] & fresh
-            reached = np.flatnonzero(near.any(axis=0))
-            links += zip(frontier[np.argmax(near[:, reached], axis=0)].tolist(), reached.tolist())
-            fresh[reached] = False
-            frontier = reached
-    return links
+    return table, bits_apart
 
 
 def _candidates(members: DataFrame, parts: int, everything: bool) -> DataFrame:
     """Pairs ``a`` < ``b`` of members of a group (``key``) that may link and are not connected yet.
 
     ``members`` have ``key``, ``node``, ``component``, ``n_shingles``, ``sketch``. A large
-    group is dealt into blocks and each two of these meet. Unless ``everything`` is
-    asked for, only enough pairs are given to connect what all would connect.
+    group is dealt into blocks and each two of these meet. ``apart`` is a bound on how far
+    the pair's sets are apart. Unless ``everything`` is asked for, each member is
+    only given with the nearest.
     """
     sizes = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
@@ -455,32 +444,45 @@ def _candidates(members: DataFrame, parts: int, everything: bool) -> DataFrame:
         )
     )
 
-    def cell(rows: pa.Table) -> list[tuple[int, int]]:
+    def cell(rows: pa.Table) -> np.ndarray:
         node, component, size, side = (
             rows.column(c).to_numpy() for c in ("node", "component", "n_shingles", "side")
         )
         if component.min() == component.max():
-            return []
-        table = possible(size, rows.column("sketch").to_pylist())
+            return np.zeros((0, 3), np.int64)
+        table, apart = possible(size, rows.column("sketch").to_pylist())
         table &= component[:, None] != component[None, :]
         if (side >= 0).any():
             table &= side[:, None] != side[None, :]
-        found = zip(*np.nonzero(np.triu(table))) if everything else spanning(table)
-        return [(int(node[i]), int(node[j])) for i, j in found]
+        if everything:
+            i, j = np.nonzero(np.triu(table))
+        else:
+            i = np.flatnonzero(table.any(axis=1))
+            j = np.argmin(np.where(table[i], apart[i], 1 << 40), axis=1)
+        pair = np.minimum(node[i], node[j]), np.maximum(node[i], node[j]), apart[i, j]
+        return np.stack(pair, axis=1)
 
     def group(table: pa.Table) -> pa.Table:
         table = table.combine_chunks().sort_by("cell")
         cells = table.column("cell").to_numpy()
         edges = np.flatnonzero(np.append(True, cells[1:] != cells[:-1]))
-        pairs = []
-        for first, last in zip(edges, np.append(edges[1:], len(cells))):
-            pairs += cell(table.slice(first, last - first))
-        pairs = np.sort(np.array(pairs, np.int64).reshape(-1, 2), axis=1)
-        pairs = np.unique(pairs, axis=0)
-        return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+        pairs = [
+            cell(table.slice(first, last - first))
+            for first, last in zip(edges, np.append(edges[1:], len(cells)))
+        ]
+        pairs = np.unique(np.concatenate(pairs), axis=0)
+        return pa.table([pa.array(pairs[:, i]) for i in range(3)], names=["a", "b", "apart"])
 
     dealt = met.groupBy(F.pmod("cell", F.lit(4 * parts)).alias("part"))
-    return dealt.applyInArrow(group, "a bigint, b bigint").distinct()
+    return dealt.applyInArrow(group, "a bigint, b bigint, apart bigint").distinct()
+
+
+def _nearest(found: DataFrame) -> DataFrame:
+    """Of the pairs of each node the one least apart."""
+    pair = F.struct("apart", "a", "b")
+    ends = [found.groupBy(F.col(x).alias("node")).agg(F.min(pair).alias("pair")) for x in "ab"]
+    least = ends[0].unionByName(ends[1]).groupBy("node").agg(F.min("pair").alias("pair"))
+    return least.select("pair.a", "pair.b").distinct()
 
 
 def _links(named: DataFrame, documents: DataFrame, shared: DataFrame, parts: int) -> DataFrame:
@@ -492,8 +494,7 @@ def _links(named: DataFrame, documents: DataFrame, shared: DataFrame, parts: int
     tried = links = None
     for everything in ROUNDS:
         found = settle(_candidates(members, parts, everything), "jaccard-candidates")
-        pairs = found if everything else found.groupBy("b").agg(F.min("a").alias("a"))
-        pairs = pairs.select("a", "b")
+        pairs = found.select("a", "b") if everything else _nearest(found)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = settle(pairs, "jaccard-pairs")
@@ -501,29 +502,25 @@ def _links(named: DataFrame, documents: DataFrame, shared: DataFrame, parts: int
         tried = pairs if tried is None else tried.unionByName(pairs)
         links = linked if links is None else links.unionByName(linked)
         if not everything:
-            members = settle(_open(members, found, components(links)), "jaccard-members")
+            members = settle(_open(members, components(links)), "jaccard-members")
     return links
 
 
-def _open(members: DataFrame, found: DataFrame, component: DataFrame) -> DataFrame:
-    """Members, with their components, of the groups that have pairs not yet connected."""
-    ends = [
-        component.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}")) for x in "ab"
-    ]
-    apart = (
-        found.join(ends[0], "a", "left")
-        .join(ends[1], "b", "left")
-        .where("coalesce(of_a, a) != coalesce(of_b, b)")
-        .select(F.explode(F.array("a", "b")).alias("node"))
-        .distinct()
-    )
-    keys = members.join(apart, "node", "left_semi").select("key").distinct()
-    return (
+def _open(members: DataFrame, component: DataFrame) -> DataFrame:
+    """Members, with their components, of the groups that are not connected yet."""
+    placed = settle(
         members.drop("component")
-        .join(keys, "key", "left_semi")
         .join(component, "node", "left")
-        .withColumn("component", F.coalesce("component", "node"))
+        .withColumn("component", F.coalesce("component", "node")),
+        "jaccard-placed",
+    )
+    torn = (
+        placed.groupBy("key")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .where("low < high")
+        .select("key")
     )
+    return placed.join(torn, "key", "left_semi")
 
 
 def _texts(named: DataFrame, documents: DataFrame, pairs: DataFrame) -> DataFrame:
