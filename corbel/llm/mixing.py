@@ -79,20 +79,26 @@ def share_out(nodes: DataFrame, parents: list[str]) -> DataFrame:
 
 
 def budgets(
-    leaves: DataFrame, levels: list[str], weights: list[dict[str, int]], budget: Column, epochs: int
+    leaves: DataFrame,
+    levels: list[str],
+    weights: list[dict[str, int]],
+    share: tuple[int, int],
+    epochs: int,
 ) -> DataFrame:
     """Tokens that each leaf gives: ``leaves`` (level names, ``tokens``) and ``given``."""
     able = leaves.withColumn("capacity", F.col("tokens") * epochs)
-    whole = able.agg(
-        F.coalesce(F.least(budget, F.sum("capacity")), F.lit(0)).cast("bigint").alias("amount")
-    )
+    everything = Window.partitionBy(F.lit(0))
+    total = F.sum("capacity").over(everything)
+    wanted = F.call_function("div", total * share[0], F.lit(share[1] * epochs).cast("bigint"))
     parents: list[str] = []
-    amounts = whole
+    amounts = None
     for level, weight in zip(levels, weights):
         keys = [*parents, level]
         nodes = able.groupBy(*keys).agg(F.sum("capacity").alias("capacity"))
-        # The first level has one parent, and one row of it.
-        nodes = nodes.join(amounts, parents) if parents else nodes.join(F.broadcast(amounts))
+        if amounts is None:
+            nodes = nodes.withColumn("amount", F.least(wanted, total))
+        else:
+            nodes = nodes.join(amounts, parents)
         shared = share_out(
             nodes.select(
                 *keys,
@@ -144,9 +150,8 @@ def mix(
         "mix-rows",
     )
     leaves = settle(narrow.groupBy(*names).agg(F.sum("n_tokens").alias("tokens")), "mix-leaves")
-    wanted = F.floor(F.sum("tokens") * share[0] / share[1])
     plan = settle(
-        budgets(leaves, names, [weights.get(x, {}) for x in levels], wanted, epochs).select(
+        budgets(leaves, names, [weights.get(x, {}) for x in levels], share, epochs).select(
             *names,
             F.expr("given div tokens").alias("rounds"),
             F.expr("given % tokens").alias("rest"),

@@ -228,15 +228,21 @@ def judge(stats: DataFrame, estimates: DataFrame, groups: list[str]) -> DataFram
         F.col("group").alias("outlier_group"), "centre", "inverse"
     )
     every = estimates.where("group = '\x1e'").select(
-        F.col("centre").alias("centre_all"), F.col("inverse").alias("inverse_all")
+        F.col("group").alias("stand_in"),
+        F.col("centre").alias("centre_all"),
+        F.col("inverse").alias("inverse_all"),
     )
     made = {"base_failed", "distance", "kept"}
     names = [c for c in stats.columns if c.lower() not in made]
     joined = (
-        stats.select(*[quoted(c) for c in names], group_name(groups).alias("outlier_group"))
+        stats.select(
+            *[quoted(c) for c in names],
+            group_name(groups).alias("outlier_group"),
+        )
         .join(own, "outlier_group", "left")
+        .withColumn("stand_in", F.when(F.col("centre").isNull(), F.lit("\x1e")))
         # One row at most.
-        .join(F.broadcast(every), F.lit(True), "left")
+        .join(F.broadcast(every), "stand_in", "left")
         .withColumn("centre", F.coalesce("centre", "centre_all"))
         .withColumn("inverse", F.coalesce("inverse", "inverse_all"))
         .withColumn("x", F.array(*vector()))
