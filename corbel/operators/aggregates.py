@@ -11,21 +11,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corbel.functions.paths import column_at, quoted
+from corbel.functions.paths import column_at
 from corbel.functions.predicates import or_zero
 
 
-def exact_sum(column: Column, scale: int = 2) -> Column:
-    """Sum of doubles with ``scale`` decimals, the same in any order of rows."""
-    return F.sum(column.cast(f"decimal(18,{scale})")).cast("double")
-
-
-def exact_avg(column: Column, scale: int = 2) -> Column:
-    """Mean of the non-null values on top of :func:`exact_sum`."""
-    # try_divide gives null, not an error, where every value is null.
-    return F.try_divide(exact_sum(column, scale), F.count(column))
-
-
 def integer_mean(column: Column) -> Column:
     """Integer mean that counts nulls as zero and truncates; null without rows."""
     total = F.sum(or_zero(column))
@@ -67,38 +56,25 @@ def collect_groups(
     df: DataFrame,
     keys: Sequence[str],
     members: Sequence[str],
-    chunk_rows: int = 100_000,
-    spread: Column | None = None,
+    spread: Column,
+    width: int = 100_000,
+    fold: bool = False,
 ) -> DataFrame:
     """Materialise the rows of each group as arrays of bounded size.
 
-    Returns the keys, ``chunk`` (0, 1, ...) and ``members``, a sorted array of
-    structs of the member columns and ``copies``. A group of at most
-    ``chunk_rows`` rows is one chunk. A larger one is cut into as many chunks as
-    it needs, by ``spread`` (an integer expression over the members, by default
-    their hash), so that no row and no task holds a hot group. Equal members are
-    counted, not repeated, before anything is shuffled.
+    Returns the keys, ``chunk`` and ``members``, a sorted array of structs of the
+    member columns. ``chunk`` is ``spread div width``, whatever the size of the
+    group: an array holds the rows of at most ``width`` values of ``spread``, an
+    integer expression that should be unique to a row or nearly so. There is one
+    shuffle, by keys and chunk. With ``fold`` equal members are counted
+    (``copies``) before it and not repeated.
     """
     group = [column_at([key]) for key in keys]
     inner = [column_at([name]) for name in members]
-    rows = df.groupBy(*group, *inner).agg(F.count(F.lit(1)).alias("copies"))
-    # Counted by key alone: reads no member column and shuffles one row per key
-    # and task. Counting copies too only makes the chunks smaller.
-    large = (
-        df.groupBy(*[column_at([key]).alias(f"__key{n}") for n, key in enumerate(keys)])
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .filter(F.col("__rows") > chunk_rows)
-        .withColumn("__chunks", F.ceil(F.col("__rows") / chunk_rows))
-    )
-    same = [rows[quoted(key)].eqNullSafe(large[f"__key{n}"]) for n, key in enumerate(keys)]
-    place = F.xxhash64(*inner) if spread is None else spread
-    chunked = rows.join(large, same, "left").withColumn(
-        "chunk", F.pmod(place, F.coalesce(F.col("__chunks"), F.lit(1))).cast("long")
-    )
-    # The join may be distributed by key alone, which would satisfy the grouping
-    # and bring a hot key into one task: shuffle by key and chunk instead.
-    return (
-        chunked.repartition(*group, F.col("chunk"))
-        .groupBy(*group, "chunk")
-        .agg(F.sort_array(F.collect_list(F.struct(*inner, "copies"))).alias("members"))
+    chunked = df.withColumn("chunk", F.call_function("div", spread.cast("long"), F.lit(width)))
+    if fold:
+        chunked = chunked.groupBy(*group, "chunk", *inner).agg(F.count(F.lit(1)).alias("copies"))
+        inner = [*inner, F.col("copies")]
+    return chunked.groupBy(*group, "chunk").agg(
+        F.sort_array(F.collect_list(F.struct(*inner))).alias("members")
     )

@@ -4,7 +4,9 @@ Plain inner joins are ``left.join(right, ...)``: adaptive execution splits a hot
 partition of either side. It can split only the preserved side of an outer join
 and neither side of a full one, and only the left side of a semi or anti join,
 so those are composed here from parts that it can split. No function hints a
-broadcast unless the side is bounded by construction.
+broadcast; Spark decides by the measured size. The splitting relies on
+``spark.sql.adaptive.skewJoin.enabled`` and, where it costs another shuffle, on
+``spark.sql.adaptive.forceOptimizeSkewedJoin`` (:data:`corbel.session.SETTINGS`).
 """
 
 from __future__ import annotations
@@ -18,9 +20,6 @@ from pyspark.sql import functions as F
 
 from corbel.functions.paths import column_at, quoted, require_distinct
 
-# Largest top-k that is broadcast back to its detail rows.
-BROADCAST_ROWS = 10_000
-
 # Spark's own names of the join types.
 KINDS = {
     "inner": "inner",
@@ -89,7 +88,8 @@ def outer_join(left: DataFrame, right: DataFrame, on: Mapping[str, str], how: st
     column names. Unlike in Spark's own outer join every part can be split,
     whichever side holds the hot key. The matches and the unmatched rows of a
     side start from the same filtered rows, so its shuffle is done once and
-    reused; rows with a null key are not shuffled at all.
+    reused; rows with a null key are not shuffled at all. Each part reads its side
+    again, so store a side first that is costly to derive.
     """
     require_distinct([*left.columns, *right.columns])
     how = _kind(how)
@@ -207,9 +207,6 @@ def top_rows(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
 def top_detail(detail: DataFrame, top: DataFrame, k: int, on: Sequence[str]) -> DataFrame:
     """Detail rows of a top-k, to be aggregated afterwards.
 
-    ``top`` is limited to ``k`` rows, which bounds its size: up to
-    :data:`BROADCAST_ROWS` it is broadcast and the detail side is filtered in its
-    scan stage, above that Spark picks the join.
+    ``top`` is limited to ``k`` rows; Spark picks the join by their size.
     """
-    top = top.limit(k)
-    return detail.join(F.broadcast(top) if k <= BROADCAST_ROWS else top, list(on))
+    return detail.join(top.limit(k), list(on))

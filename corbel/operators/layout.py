@@ -28,14 +28,3 @@ def rebalanced(df: DataFrame, *columns: str) -> DataFrame:
     small ones: the layout to write files from.
     """
     return df.hint("rebalance", *columns)
-
-
-def spread_few(df: DataFrame) -> DataFrame:
-    """Use all task slots for costly row-local work on an input of few splits.
-
-    An input with at least as many splits as there are slots is returned as it
-    is. So what is shuffled is bounded: fewer splits than slots, each of at most
-    the session's ``spark.sql.files.maxPartitionBytes``.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df

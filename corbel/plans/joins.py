@@ -26,10 +26,18 @@ def customers(spark, sf_dir):
     return table(spark, sf_dir, "customer").select("c_custkey", "c_name")
 
 
-def dear_orders(spark, sf_dir, floor):
-    """Orders above a price; below it customers are left without one."""
-    orders = table(spark, sf_dir, "orders").filter(F.col("o_totalprice") > floor)
-    return orders.select("o_custkey", "o_orderkey", "o_totalprice")
+def clicks(spark, sf_dir):
+    """Events with the customer they belong to; most customers have none."""
+    return table(spark, sf_dir, "events").select("user_id", "event_id", "event_type")
+
+
+# Every second order has such an event, and every second event such an order.
+MATCHED_SQL = "(SELECT event_id * 2 AS event_key, event_id, event_type FROM events)"
+
+
+def matched_events(spark, sf_dir):
+    key = (F.col("event_id") * 2).alias("event_key")
+    return table(spark, sf_dir, "events").select(key, "event_id", "event_type")
 
 
 @query(
@@ -45,55 +53,52 @@ def join_inner(spark, sf_dir):
 
 @query(
     "join_left",
-    """SELECT c_custkey, c_name, o_custkey, o_orderkey, o_totalprice FROM customer
-       LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 490000) ON c_custkey = o_custkey""",
+    """SELECT c_custkey, c_name, user_id, event_id, event_type FROM customer
+       LEFT JOIN events ON c_custkey = user_id""",
 )
 def join_left(spark, sf_dir):
-    right = dear_orders(spark, sf_dir, 490000)
-    return outer_join(customers(spark, sf_dir), right, {"c_custkey": "o_custkey"}, "left")
+    return outer_join(
+        customers(spark, sf_dir), clicks(spark, sf_dir), {"c_custkey": "user_id"}, "left"
+    )
 
 
 @query(
     "join_right",
-    """SELECT o_custkey, o_orderkey, o_totalprice, c_custkey, c_name
-       FROM (SELECT * FROM orders WHERE o_totalprice > 490000)
-       RIGHT JOIN customer ON o_custkey = c_custkey""",
+    """SELECT user_id, event_id, event_type, c_custkey, c_name FROM events
+       RIGHT JOIN customer ON user_id = c_custkey""",
 )
 def join_right(spark, sf_dir):
-    left = dear_orders(spark, sf_dir, 490000)
-    return outer_join(left, customers(spark, sf_dir), {"o_custkey": "c_custkey"}, "right")
+    return outer_join(
+        clicks(spark, sf_dir), customers(spark, sf_dir), {"user_id": "c_custkey"}, "right"
+    )
 
 
 @query(
     "join_full",
-    """SELECT c_custkey, c_name, o_custkey, o_orderkey, o_totalprice
-       FROM (SELECT * FROM customer WHERE c_acctbal > 5000)
-       FULL JOIN (SELECT * FROM orders WHERE o_totalprice > 490000) ON c_custkey = o_custkey""",
+    f"""SELECT o_orderkey, o_totalprice, event_key, event_id, event_type FROM orders
+       FULL JOIN {MATCHED_SQL} ON o_orderkey = event_key""",
 )
 def join_full(spark, sf_dir):
-    left = table(spark, sf_dir, "customer").filter(F.col("c_acctbal") > 5000)
-    right = dear_orders(spark, sf_dir, 490000)
-    return outer_join(left.select("c_custkey", "c_name"), right, {"c_custkey": "o_custkey"}, "full")
+    left = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return outer_join(left, matched_events(spark, sf_dir), {"o_orderkey": "event_key"}, "full")
 
 
 @query(
     "join_semi",
-    """SELECT c_custkey, c_name FROM customer WHERE EXISTS (
-         SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 300000)""",
+    """SELECT c_custkey, c_name FROM customer
+       WHERE EXISTS (SELECT 1 FROM events WHERE user_id = c_custkey)""",
 )
 def join_semi(spark, sf_dir):
-    right = dear_orders(spark, sf_dir, 300000)
-    return semi_join(customers(spark, sf_dir), right, {"c_custkey": "o_custkey"})
+    return semi_join(customers(spark, sf_dir), clicks(spark, sf_dir), {"c_custkey": "user_id"})
 
 
 @query(
     "join_anti",
-    """SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (
-         SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 300000)""",
+    """SELECT c_custkey, c_name FROM customer
+       WHERE NOT EXISTS (SELECT 1 FROM events WHERE user_id = c_custkey)""",
 )
 def join_anti(spark, sf_dir):
-    right = dear_orders(spark, sf_dir, 300000)
-    return anti_join(customers(spark, sf_dir), right, {"c_custkey": "o_custkey"})
+    return anti_join(customers(spark, sf_dir), clicks(spark, sf_dir), {"c_custkey": "user_id"})
 
 
 @query(
@@ -189,40 +194,40 @@ def join_array_outer(spark, sf_dir):
     return pairs.select("_1.p_partkey", count.alias("tag_count"), "_2.tag", "_2.parts")
 
 
-PAIRS_SQL = """SELECT s_suppkey IS NULL AS left_absent, n_nationkey IS NULL AS right_absent,
-         s_suppkey, s_name, n_nationkey, n_name
-       FROM (SELECT * FROM supplier WHERE s_nationkey < {low})
-       {how} JOIN (SELECT * FROM nation WHERE n_nationkey > {high}) ON s_nationkey = n_nationkey"""
+PAIRS_SQL = f"""SELECT o_orderkey IS NULL AS left_absent, event_id IS NULL AS right_absent,
+         o_orderkey, o_orderstatus, event_id, event_type
+       FROM orders {{how}} JOIN {MATCHED_SQL} ON o_orderkey = event_key"""
 
 
-def supplier_pairs(spark, sf_dir, how):
-    left = table(spark, sf_dir, "supplier").filter(F.col("s_nationkey") < 15)
-    right = table(spark, sf_dir, "nation").filter(F.col("n_nationkey") > 10)
-    return pair_join(left, right, {"s_nationkey": "n_nationkey"}, how).select(
+def order_pairs(spark, sf_dir, how):
+    left = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    right = matched_events(spark, sf_dir)
+    return pair_join(left, right, {"o_orderkey": "event_key"}, how).select(
         F.col("_1").isNull().alias("left_absent"),
         F.col("_2").isNull().alias("right_absent"),
-        "_1.s_suppkey",
-        "_1.s_name",
-        "_2.n_nationkey",
-        "_2.n_name",
+        "_1.o_orderkey",
+        "_1.o_orderstatus",
+        "_2.event_id",
+        "_2.event_type",
     )
 
 
-@query("join_pairs", PAIRS_SQL.format(how="INNER", low=15, high=10))
+@query("join_pairs", PAIRS_SQL.format(how="INNER"))
 def join_pairs(spark, sf_dir):
-    return supplier_pairs(spark, sf_dir, "inner")
+    return order_pairs(spark, sf_dir, "inner")
 
 
-@query("join_pairs_outer", PAIRS_SQL.format(how="FULL", low=15, high=10))
+@query("join_pairs_outer", PAIRS_SQL.format(how="FULL"))
 def join_pairs_outer(spark, sf_dir):
-    return supplier_pairs(spark, sf_dir, "full")
+    return order_pairs(spark, sf_dir, "full")
 
 
 def dearest_order(spark, sf_dir):
     """Each customer with the price of the dearest order.
 
     The orders are reduced to one row per customer before they meet the
-    customers, so the join moves no order rows and has no hot key.
+    customers, so the join moves no order rows and has no hot key. Right because
+    a customer's key is unique: the result has one row for each.
     """
     dearest = (
         table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.max("o_totalprice").alias("dearest"))

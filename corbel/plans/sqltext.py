@@ -33,38 +33,40 @@ def sql_between_count(spark, sf_dir):
     )
 
 
-# Orders are summed per customer before they are joined: what is shuffled is
-# one row per customer and task, whatever the number of orders of a customer.
-SPENDING = f"""
-  WITH spending AS (
-    SELECT o_custkey, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS spent, COUNT(o_totalprice) AS orders
-    FROM v_orders WHERE o_orderdate BETWEEN '{FIRST}' AND '{LAST}' GROUP BY o_custkey)
-"""
-
-AVERAGES_SQL = f"""SELECT CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE)
-           / COUNT(o_totalprice) AS avg_price, n_nationkey, n_name
+@query(
+    "sql_join_group_avg",
+    f"""SELECT round(avg(o_totalprice), 4) AS avg_price, n_name
        FROM customer JOIN orders ON o_custkey = c_custkey JOIN nation ON n_nationkey = c_nationkey
-       WHERE o_orderdate BETWEEN TIMESTAMP '{FIRST}' AND TIMESTAMP '{LAST}'
-       GROUP BY n_nationkey, n_name"""
-
-
-@query("sql_join_group_avg", f"SELECT avg_price, n_nationkey FROM ({AVERAGES_SQL})")
+       WHERE o_orderdate BETWEEN TIMESTAMP '{FIRST}' AND TIMESTAMP '{LAST}' GROUP BY n_name""",
+)
 def sql_join_group_avg(spark, sf_dir):
-    views(spark, sf_dir, "orders", "customer")
-    return spark.sql(SPENDING + """
-      SELECT CAST(SUM(spent) AS DOUBLE) / SUM(orders) AS avg_price, c_nationkey AS n_nationkey
-      FROM spending INNER JOIN v_customer ON o_custkey = c_custkey
-      GROUP BY c_nationkey""")
+    views(spark, sf_dir, "orders", "customer", "nation")
+    return spark.sql(f"""
+      SELECT ROUND(AVG(o_totalprice), 4) AS avg_price, n_name
+      FROM v_orders
+      INNER JOIN v_customer ON o_custkey = c_custkey
+      INNER JOIN v_nation ON c_nationkey = n_nationkey
+      WHERE o_orderdate BETWEEN '{FIRST}' AND '{LAST}'
+      GROUP BY n_name""")
 
 
-@query("sql_join_top1", f"{AVERAGES_SQL} ORDER BY avg_price DESC, n_nationkey LIMIT 1")
+@query(
+    "sql_join_top1",
+    f"""SELECT round(avg(o_totalprice), 4) AS avg_price, n_name, r_name
+       FROM customer JOIN orders ON o_custkey = c_custkey JOIN nation ON n_nationkey = c_nationkey
+       JOIN region ON r_regionkey = n_regionkey
+       WHERE o_orderdate BETWEEN TIMESTAMP '{FIRST}' AND TIMESTAMP '{LAST}'
+       GROUP BY n_name, r_name ORDER BY avg_price DESC, n_name LIMIT 1""",
+)
 def sql_join_top1(spark, sf_dir):
-    views(spark, sf_dir, "orders", "customer", "nation")
-    return spark.sql(SPENDING + """
-      SELECT CAST(SUM(spent) AS DOUBLE) / SUM(orders) AS avg_price, n_nationkey, n_name
-      FROM spending
+    views(spark, sf_dir, "orders", "customer", "nation", "region")
+    return spark.sql(f"""
+      SELECT ROUND(AVG(o_totalprice), 4) AS avg_price, n_name, r_name
+      FROM v_orders
       INNER JOIN v_customer ON o_custkey = c_custkey
       INNER JOIN v_nation ON c_nationkey = n_nationkey
-      GROUP BY n_nationkey, n_name
-      ORDER BY avg_price DESC, n_nationkey
+      INNER JOIN v_region ON n_regionkey = r_regionkey
+      WHERE o_orderdate BETWEEN '{FIRST}' AND '{LAST}'
+      GROUP BY n_name, r_name
+      ORDER BY avg_price DESC, n_name
       LIMIT 1""")

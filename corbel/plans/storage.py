@@ -8,11 +8,13 @@ the option builders and the transfer are tested apart.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corbel.operators.joins import anti_join
+from corbel.operators.layout import rebalanced
 from corbel.plans.registry import query
 from corbel.plans.tables import nullable_events, table, with_evn
 from corbel.sources.catalog import create_database, database, save_table, transfer_tables
@@ -65,21 +67,16 @@ def src_json_flags(spark, sf_dir):
     return read_json(spark, path, "o_orderkey BIGINT, day DATE", **flags)
 
 
-ROWS_PER_FILE = 1000
-
-
 @query("src_json_multiline", CUSTOMER_SQL)
 def src_json_multiline(spark, sf_dir):
-    # One indented JSON array per file. Row numbers within a task bound the
-    # size of an array, whatever the values of the rows.
+    # One indented JSON array per file, each of the rows that one task holds
+    # once these are dealt out by bytes (``advisoryPartitionSizeInBytes``).
     path = scratch_path(spark, "json-multiline")
     customer = table(spark, sf_dir, "customer")
-    place = F.monotonically_increasing_id()
+    items = F.to_json(F.struct(*customer.columns), {"pretty": "true"}).alias("item")
     arrays = (
-        customer.select(
-            F.floor(place / ROWS_PER_FILE).alias("file"),
-            F.to_json(F.struct(*customer.columns), {"pretty": "true"}).alias("item"),
-        )
+        rebalanced(customer.select(items))
+        .withColumn("file", F.spark_partition_id())
         .groupBy("file")
         .agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("item"), ",\n"), F.lit("\n]")).alias("value"))
         .select("value")
@@ -214,12 +211,10 @@ def sink_tsv(spark, sf_dir):
 )
 def sink_partitioned(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    # At least 30 and 15 files, and more where the input has more splits: a
-    # fixed number would leave a large table to as many tasks.
-    splits = orders.rdd.getNumPartitions()
+    # Numbers of files that the caller sets, and files of the advisory size.
     layouts = {
-        "shuffled": {"partitions": max(30, splits)},
-        "merged": {"partitions": max(15, splits // 2), "shuffle": False},
+        "shuffled": {"partitions": int(spark.conf.get("corbel.files.shuffled", "30"))},
+        "merged": {"partitions": int(spark.conf.get("corbel.files.merged", "15")), "shuffle": False},
         "measured": {},
     }
     parts = []
@@ -230,18 +225,30 @@ def sink_partitioned(spark, sf_dir):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def _new_database(spark):
+@contextmanager
+def _own_database(spark):
+    """A new database for a block, dropped afterwards with its tables."""
     name = f"db_{uuid.uuid4().hex[:12]}"
     create_database(spark, name, scratch_path(spark, name))
-    return name
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS `{name}` CASCADE")
+
+
+def _kept(df, label):
+    """A copy of a frame that outlives the database it is read from."""
+    path = scratch_path(df.sparkSession, label)
+    write_parquet(df, path)
+    return df.sparkSession.read.parquet(path)
 
 
 @query("cat_table", CUSTOMER_SQL)
 def cat_table(spark, sf_dir):
-    name = _new_database(spark)
-    with database(spark, name):
-        save_table(table(spark, sf_dir, "customer"), "customer_copy")
-    return spark.read.table(f"{name}.customer_copy")
+    with _own_database(spark) as name:
+        with database(spark, name):
+            save_table(table(spark, sf_dir, "customer"), "customer_copy")
+        return _kept(spark.read.table(f"{name}.customer_copy"), "cat-table")
 
 
 @query(
@@ -250,18 +257,23 @@ def cat_table(spark, sf_dir):
        JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
 )
 def cat_transfer(spark, sf_dir):
-    name = _new_database(spark)
-    with database(spark, name):
-        transfer_tables(
-            spark,
-            lambda wanted: table(spark, sf_dir, wanted),
-            ["nation", "region", "supplier"],
-            write=True,
-            view_prefix=f"{name}_",
+    with _own_database(spark) as name:
+        names = ["nation", "region", "supplier"]
+        with database(spark, name):
+            transfer_tables(
+                spark,
+                lambda wanted: table(spark, sf_dir, wanted),
+                names,
+                write=True,
+                view_prefix=f"{name}_",
+            )
+        # One table is read from its view, the others from the stored copies.
+        joined = spark.sql(
+            f"""SELECT n_name, r_name, s_name FROM {name}_supplier
+                INNER JOIN {name}.nation ON s_nationkey = n_nationkey
+                INNER JOIN {name}.region ON n_regionkey = r_regionkey"""
         )
-    # One table is read from its view, the others from the stored copies.
-    return spark.sql(
-        f"""SELECT n_name, r_name, s_name FROM {name}_supplier
-            INNER JOIN {name}.nation ON s_nationkey = n_nationkey
-            INNER JOIN {name}.region ON n_regionkey = r_regionkey"""
-    )
+        kept = _kept(joined, "cat-transfer")
+        for wanted in names:
+            spark.catalog.dropTempView(f"{name}_{wanted}")
+        return kept

@@ -4,26 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from corbel.operators.layout import spread_few
-
-_schemas: dict[str, T.StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One table; its schema is inferred from a footer once per process."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    if path in _schemas:
-        return spark.read.schema(_schemas[path]).parquet(path)
-    df = spark.read.parquet(path)
-    _schemas[path] = df.schema
-    return df
+    """One table, with the schema that its files have now."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def texts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """Documents for queries that take whole texts apart, on all task slots."""
-    return spread_few(table(spark, sf_dir, "documents").select(*columns))
+    """Documents for queries that take whole texts apart."""
+    return table(spark, sf_dir, "documents").select(*columns)
 
 
 # The test tables hold no nulls; this view of the events has them in three

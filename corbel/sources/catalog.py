@@ -13,7 +13,8 @@ from corbel.sources.readers import Loader
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     """Create the database unless it exists; ``location`` holds its tables."""
-    place = "" if location is None else " LOCATION '" + location.replace("'", "\\'") + "'"
+    literal = (location or "").replace("\\", "\\\\").replace("'", "\\'")
+    place = "" if location is None else f" LOCATION '{literal}'"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(name)}{place}")
 
 

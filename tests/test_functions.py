@@ -88,6 +88,17 @@ def test_shapes_reject_nothing_that_parses(spark, fmt):
     assert values(spark, texts, parse_dates(X, fmt)) == values(spark, texts, F.try_to_date(X, fmt))
 
 
+def test_dates_under_the_legacy_parser(spark):
+    spark.conf.set("spark.sql.legacy.timeParserPolicy", "LEGACY")
+    try:
+        texts = ["12-Jun-98 x", "12-Jun-98", "x", None]
+        found = values(spark, texts, parse_dates(X, "dd-MMM-yy"))
+        assert found == values(spark, texts, F.try_to_date(X, "dd-MMM-yy"))
+        assert found[0] == found[1] == dt.date(1998, 6, 12)
+    finally:
+        spark.conf.unset("spark.sql.legacy.timeParserPolicy")
+
+
 def test_age(spark):
     days = [dt.date(2001, 1, 1), None]
     assert values(spark, days, age_in_years(X, dt.date(2002, 1, 1)), "date") == [1.0, None]

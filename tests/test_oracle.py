@@ -23,18 +23,15 @@ def test_same_as_oracle(spark, duck, name):
     assert compare(QUERIES[name](spark, SF_DIR), duck, ORACLES[name]) > 0
 
 
-def test_every_query_but_the_estimate_has_an_oracle():
-    assert OWN - set(ORACLES) == {"agg_approx_distinct"}
-
-
-def test_estimates_are_close(spark, duck):
-    found = QUERIES["agg_approx_distinct"](spark, SF_DIR).first()
-    parts, suppliers = duck.execute(
-        "SELECT count(DISTINCT l_partkey), count(DISTINCT l_suppkey) FROM lineitem"
-    ).fetchone()
-    # Three standard errors of the requested and of the default precision.
-    assert abs(found.parts - parts) <= 0.06 * parts
-    assert abs(found.suppliers - suppliers) <= 0.15 * suppliers
+def test_every_query_has_an_oracle():
+    assert not OWN - set(ORACLES)
+
+
+@pytest.mark.parametrize("name", ["cat_table", "cat_transfer"])
+def test_no_database_is_left(spark, name):
+    before = spark.catalog.listDatabases()
+    df = QUERIES[name](spark, SF_DIR)
+    assert df.count() > 0 and spark.catalog.listDatabases() == before
 
 
 def test_entry(spark):

@@ -3,13 +3,12 @@
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
-from corbel.operators.layout import sort_total, spread_few, stack
+from corbel.operators.layout import sort_total, stack
+from corbel.plans.catalogue import QUERIES
 from corbel.plans.tables import nullable_events, table
 from tests.conftest import plan_of, rows
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = queries()
 
 
 def test_filter_forms_agree(spark):
@@ -74,12 +73,6 @@ def test_stack_by_name_and_position(spark):
     assert rows(stack(first, second, by_name=False)) == [(1, 2), (3, 4)]
 
 
-def test_spread_only_few_splits(spark):
-    assert spread_few(spark.range(10, numPartitions=2)).rdd.getNumPartitions() == 8
-    many = spark.range(10, numPartitions=9)
-    assert spread_few(many) is many
-
-
 @pytest.mark.parametrize(
     "name, pushed",
     [
@@ -129,6 +122,11 @@ def test_row_local_queries_have_no_keyed_shuffle(spark, name):
     assert "hashpartitioning" not in plan and "rangepartitioning" not in plan
 
 
-def test_groups_are_shuffled_by_key_and_chunk(spark):
-    assert "hashpartitioning(o_custkey" in plan_of(QUERIES["grp_collect"](spark, SF_DIR))
-    assert "REPARTITION_BY_COL" in plan_of(QUERIES["grp_collect"](spark, SF_DIR))
+def test_groups_are_shuffled_once_by_key_and_chunk(spark):
+    plan = plan_of(QUERIES["grp_collect"](spark, SF_DIR))
+    assert "hashpartitioning(o_custkey" in plan and plan.count("Exchange") == 1
+
+
+@pytest.mark.parametrize("name, tables", [("sql_join_group_avg", 3), ("sql_join_top1", 4)])
+def test_sql_joins_scan_all_their_tables(spark, name, tables):
+    assert plan_of(QUERIES[name](spark, SF_DIR)).count("FileScan parquet") == tables
