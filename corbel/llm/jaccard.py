@@ -355,7 +355,7 @@ def sketch(elements: np.ndarray, size: int) -> bytes:
     differ in fewer elements than their sketches do in bits. Folding a sketch in
     half gives the one with half as many bins.
     """
-    bins = max(64, 1 << (max(size, 1).bit_length() + 2))
+    bins = max(64, 1 << (max(size, 1).bit_length() + 1))
     place = mix(elements ^ U64(0xE7037ED1A0B428DB)) & U64(bins - 1)
     return np.packbits(np.bincount(place.astype(np.int64), minlength=bins) & 1).tobytes()
 
@@ -422,11 +422,13 @@ def possible(sizes: np.ndarray, sketches: list[bytes]) -> tuple[np.ndarray, np.n
     return table, bits_apart
 
 
-def _candidates(members: DataFrame, parts: int, everything: bool) -> DataFrame:
+def _candidates(
+    members: DataFrame, nodes: DataFrame, parts: int, everything: bool
+) -> DataFrame:
     """Pairs ``a`` < ``b`` of members of a group (``key``) that may link and are not connected yet.
 
-    ``members`` have ``key``, ``node``, ``component``, ``n_shingles``, ``sketch``. A large
-    group is dealt into blocks and each two of these meet. ``apart`` is a bound on how far
+    ``members`` have ``key``, ``node``, ``component``, and ``nodes`` ``n_shingles`` and
+    ``sketch`` of each ``node``. A large group is dealt into blocks and each two of these meet. ``apart`` is a bound on how far
     the pair's sets are apart. Unless ``everything`` is asked for, each member is
     only given with the nearest.
     """
@@ -434,6 +436,7 @@ def _candidates(members: DataFrame, parts: int, everything: bool) -> DataFrame:
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     met = (
         members.join(sizes, "key")
+        .join(nodes, "node")
         .withColumn("block", block)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
@@ -487,13 +490,17 @@ def _nearest(found: DataFrame) -> DataFrame:
 
 def _links(named: DataFrame, documents: DataFrame, shared: DataFrame, parts: int) -> DataFrame:
     """Links between nodes, enough to connect all that any links connect."""
-    nodes = documents.select("node", "n_shingles", "sketch").dropDuplicates(["node"])
-    members = settle(
-        shared.join(nodes, "node").withColumn("component", F.col("node")), "jaccard-members"
+    taking_part = shared.select("node").distinct()
+    nodes = settle(
+        documents.select("node", "n_shingles", "sketch")
+        .join(taking_part, "node", "left_semi")
+        .dropDuplicates(["node"]),
+        "jaccard-nodes",
     )
+    members = shared.withColumn("component", F.col("node"))
     tried = links = None
     for everything in ROUNDS:
-        found = settle(_candidates(members, parts, everything), "jaccard-candidates")
+        found = settle(_candidates(members, nodes, parts, everything), "jaccard-candidates")
         pairs = found.select("a", "b") if everything else _nearest(found)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
@@ -502,6 +509,12 @@ def _links(named: DataFrame, documents: DataFrame, shared: DataFrame, parts: int
         tried = pairs if tried is None else tried.unionByName(pairs)
         links = linked if links is None else links.unionByName(linked)
         if not everything:
+            if links is linked:
+                # A node that may link with any other has been given with one.
+                ends = found.select(F.col("a").alias("node")).unionByName(
+                    found.select(F.col("b").alias("node"))
+                )
+                members = members.join(ends.distinct(), "node", "left_semi")
             members = settle(_open(members, components(links)), "jaccard-members")
     return links
 
