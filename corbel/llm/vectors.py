@@ -3,8 +3,8 @@
 Equal vectors are one class from the start. Centroids are fitted to a bounded
 sample of classes; every class is at home in the cell of its nearest centroid
 and visits cells whose border is near. Within a cell members are dealt into
-blocks, and each pair of blocks is one matrix product, so no cell has to fit in
-a task. A pair seen in two cells counts in the first only. A block hands on
+blocks - those at home and guests apart - and each pair of blocks is one matrix
+product, so no cell has to fit in a task, and guests never meet guests. A pair seen in two cells counts in the first only. A block hands on
 each vector's number of links and a spanning forest of its links, never the
 pairs themselves.
 """
@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,10 +24,10 @@ from corbel.llm.common import column, map_batches, quoted, settle
 from corbel.llm.components import components
 
 #: Classes that centroids are fitted to, wanted members of a cell, most cells, rounds.
-SAMPLE, CELL, MOST_CELLS, ROUNDS = 16_384, 256, 2_048, 6
+SAMPLE, CELL, MOST_CELLS, ROUNDS = 16_384, 512, 2_048, 6
 #: How near a border must be for a visit, in standard deviations of how far a
 #: vector at the threshold strays in one direction.
-REACH = 2.0
+REACH = 1.5
 BLOCK = 1_024
 
 
@@ -113,7 +113,11 @@ def _members(classes: DataFrame, models: dict[int, np.ndarray], threshold: float
             column(kept, "unit"),
             column(kept, "copies"),
             pa.array(home[row].astype(np.int32)),
-            pa.array([others[r].astype(np.int32) for r in row], pa.list_(pa.int32())),
+            # Only needed of those at home.
+            pa.array(
+                [others[r].astype(np.int32) if n < len(units) else None for n, r in enumerate(row)],
+                pa.list_(pa.int32()),
+            ),
             pa.array(cell.astype(np.int32)),
         ]
         names = ["cell", "node", "unit", "copies", "home", "others", "here"]
@@ -152,23 +156,24 @@ def _block_links(table: pa.Table, threshold: float) -> pa.Table:
     table = table.combine_chunks()
     first, second = (table.column(c)[0].as_py() for c in ("first", "second"))
     block = table.column("block").to_numpy()
-    pick = [np.flatnonzero(block == x) for x in (first, second)]
     nodes = table.column("node").to_numpy()
     units = _matrix(table.column("unit"), len(table.column("unit")[0].as_buffer()) // 8)
     home, here = table.column("home").to_numpy(), table.column("here").to_numpy()
     copies = table.column("copies").to_numpy()
-    a, b = pick
+    if table.column("guests")[0].as_py():
+        a, b = np.flatnonzero(home == here), np.flatnonzero(home != here)
+    else:
+        a, b = np.flatnonzero(block == first), np.flatnonzero(block == second)
     linked = units[a] @ units[b].T >= threshold
-    at_home = home == here
-    linked &= at_home[a][:, None] | at_home[b][None, :]
-    if first == second:
+    if table.column("guests")[0].as_py():
+        others = table.column("others")
+        for i in np.flatnonzero(linked.any(axis=1)):
+            # Where the host is a guest at the guest's home, the smaller cell counts the pair.
+            elsewhere = home[b][linked[i]]
+            twice = (elsewhere < here[a[i]]) & np.isin(elsewhere, others[int(a[i])].as_py())
+            linked[i, np.flatnonzero(linked[i])[twice]] = False
+    elif first == second:
         linked &= np.triu(np.ones(linked.shape, bool), 1)
-    others = table.column("others").to_pylist()
-    for i, j in zip(*np.nonzero(linked & ~(at_home[a][:, None] & at_home[b][None, :]))):
-        # One is a guest here. If the other is a guest at its home, that cell may count the pair.
-        guest, host = (b[j], a[i]) if at_home[a[i]] else (a[i], b[j])
-        if home[guest] < here[host] and home[guest] in others[host]:
-            linked[i, j] = False
     rows, columns = forest(linked)
     links = np.zeros(len(nodes), np.int64)
     np.add.at(links, a, linked @ copies[b])
@@ -206,33 +211,55 @@ def link_vectors(
         ),
         "vector-classes",
     )
-    count = classes.count()
+    total = classes.count()
     sample = classes.select("node", "unit").orderBy("node").limit(SAMPLE).toArrow()
     by_length: dict[int, list] = {}
     for unit in sample.column("unit"):
         by_length.setdefault(len(unit.as_buffer()) // 8, []).append(unit)
     models = {}
     for length, units in by_length.items():
-        share = count * len(units) / max(1, sample.num_rows)
+        share = total * len(units) / max(1, sample.num_rows)
         cells = int(min(max(1, -(-share // CELL)), MOST_CELLS, max(1, len(units) // 4)))
         models[length] = centroids(_matrix(units, length), cells)
     members = settle(_members(classes, models, threshold), "vector-members")
-    sizes = members.groupBy("cell").agg((F.ceil(F.count("*") / BLOCK)).cast("int").alias("blocks"))
+    at_home = F.col("home") == F.col("here")
+
+    def blocks(those: Column) -> Column:
+        return F.ceil(F.count(F.when(those, 1)) / BLOCK).cast("int")
+
+    sizes = members.groupBy("cell").agg(
+        blocks(at_home).alias("homes"), blocks(~at_home).alias("guests")
+    )
+    count = F.when(at_home, F.col("homes")).otherwise(F.col("guests"))
     dealt = members.join(settle(sizes, "vector-cells"), "cell").withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+        "block", F.pmod(F.xxhash64("node"), count).cast("int")
+    )
+
+    def numbers(upto: str) -> Column:
+        return F.when(F.col(upto) > 0, F.sequence(F.lit(0), F.col(upto) - 1)).otherwise(
+            F.array().cast("array<int>")
+        )
+
+    def meeting(guests: bool, first: Column, second: Column) -> Column:
+        return F.struct(F.lit(guests).alias("guests"), first.alias("first"), second.alias("second"))
+
+    own = F.col("block")
+    # Those at home meet each other's blocks and the guests' blocks, once each.
+    with_homes = F.transform(
+        numbers("homes"), lambda x: meeting(False, F.least(own, x), F.greatest(own, x))
     )
-    # Every member meets each block of its cell once.
-    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "cell", "node", "unit", "copies", "home", "others", "here", "block",
-        F.least("block", "other").alias("first"),
-        F.greatest("block", "other").alias("second"),
+    with_guests = F.transform(numbers("guests"), lambda x: meeting(True, own, x))
+    as_guest = F.transform(numbers("homes"), lambda x: meeting(True, x, own))
+    meetings = F.when(at_home, F.concat(with_homes, with_guests)).otherwise(as_guest)
+    met = dealt.withColumn("meeting", F.explode(meetings)).select(
+        "cell", "node", "unit", "copies", "home", "others", "here", "block", "meeting.*"
     )
 
     def group(table: pa.Table) -> pa.Table:
         return _block_links(table, threshold)
 
     found = settle(
-        met.groupBy("cell", "first", "second").applyInArrow(
+        met.groupBy("cell", "guests", "first", "second").applyInArrow(
             group, "node bigint, root bigint, n_links bigint"
         ),
         "vector-links",
