@@ -16,8 +16,9 @@ the texts themselves.
 Equal sets are one node from the start. Most pairs that share a key only share
 a passage; sizes and bit sketches, which bound how far two sets are apart from
 below, rule these out within the groups, and only pairs left are verified. They
-need not all be: each node is compared with its nearest first, twice, and all pairs of a
-group only where that has not connected what may be connected.
+need not all be: a tree of nearest pairs in each node's most crowded group comes
+first, then each node's nearest in all its groups, and all pairs of a group only
+where these have not connected what may be connected.
 """
 
 from __future__ import annotations
@@ -43,8 +44,10 @@ COMMON_SHARE, COMMON_LEAST = 0.01, 8
 COMMON_KNOWN = 1 << 18
 #: A key in more sets of one run than this is grouped there before the shuffle.
 CROWD = 32
-#: Rounds of comparing: each node with its nearest, again, then every pair that is left.
-ROUNDS = (False, False, True)
+#: Rounds of comparing: a tree over each node's most crowded group, then in all groups each
+#: node with its nearest, then every pair that is left.
+TREE, NEAREST, ALL = "tree", "nearest", "all"
+ROUNDS = (TREE, NEAREST, NEAREST, ALL)
 #: Members of a group that are compared at once.
 BLOCK = 1 << 10
 
@@ -422,15 +425,33 @@ def possible(sizes: np.ndarray, sketches: list[bytes]) -> tuple[np.ndarray, np.n
     return table, bits_apart
 
 
+def tree(table: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of ``table`` that connect all it connects, the least ``apart`` first."""
+    never = 1 << 40
+    length = np.where(table, apart, never)
+    near, via = np.full(len(table), never), np.zeros(len(table), np.int64)
+    inside = np.zeros(len(table), bool)
+    links = []
+    for _ in range(len(table)):
+        node = int(np.argmin(np.where(inside, never + 1, near)))
+        if near[node] < never:
+            links.append((via[node], node))
+        inside[node] = True
+        closer = (length[node] < near) & ~inside
+        near[closer], via[closer] = length[node][closer], node
+    pairs = np.array(links, np.int64).reshape(-1, 2)
+    return pairs[:, 0], pairs[:, 1]
+
+
 def _candidates(
-    members: DataFrame, nodes: DataFrame, parts: int, everything: bool
+    members: DataFrame, nodes: DataFrame, parts: int, which: str
 ) -> DataFrame:
     """Pairs ``a`` < ``b`` of members of a group (``key``) that may link and are not connected yet.
 
     ``members`` have ``key``, ``node``, ``component``, and ``nodes`` ``n_shingles`` and
     ``sketch`` of each ``node``. A large group is dealt into blocks and each two of these meet. ``apart`` is a bound on how far
-    the pair's sets are apart. Unless ``everything`` is asked for, each member is
-    only given with the nearest.
+    the pair's sets are apart. ``which`` pairs are given: of a ``tree`` of near ones, each
+    member with its ``nearest``, or ``all``.
     """
     sizes = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
@@ -457,8 +478,10 @@ def _candidates(
         table &= component[:, None] != component[None, :]
         if (side >= 0).any():
             table &= side[:, None] != side[None, :]
-        if everything:
+        if which == ALL:
             i, j = np.nonzero(np.triu(table))
+        elif which == TREE:
+            i, j = tree(table, apart)
         else:
             i = np.flatnonzero(table.any(axis=1))
             j = np.argmin(np.where(table[i], apart[i], 1 << 40), axis=1)
@@ -480,6 +503,18 @@ def _candidates(
     return dealt.applyInArrow(group, "a bigint, b bigint, apart bigint").distinct()
 
 
+def _crowded(members: DataFrame) -> DataFrame:
+    """Each node in its most crowded group only."""
+    sizes = members.groupBy("key").agg(F.count("*").alias("n"))
+    most = F.max(F.struct("n", "key")).alias("most")
+    return (
+        members.join(sizes, "key")
+        .groupBy("node", "component")
+        .agg(most)
+        .select("most.key", "node", "component")
+    )
+
+
 def _nearest(found: DataFrame) -> DataFrame:
     """Of the pairs of each node the one least apart."""
     pair = F.struct("apart", "a", "b")
@@ -499,17 +534,18 @@ def _links(named: DataFrame, documents: DataFrame, shared: DataFrame, parts: int
     )
     members = shared.withColumn("component", F.col("node"))
     tried = links = None
-    for everything in ROUNDS:
-        found = settle(_candidates(members, nodes, parts, everything), "jaccard-candidates")
-        pairs = found.select("a", "b") if everything else _nearest(found)
+    for which in ROUNDS:
+        own = _crowded(members) if which == TREE else members
+        found = settle(_candidates(own, nodes, parts, which), "jaccard-candidates")
+        pairs = _nearest(found) if which == NEAREST else found.select("a", "b")
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = settle(pairs, "jaccard-pairs")
         linked = settle(_verified(pairs, _texts(named, documents, pairs)), "jaccard-links")
         tried = pairs if tried is None else tried.unionByName(pairs)
         links = linked if links is None else links.unionByName(linked)
-        if not everything:
-            if links is linked:
+        if which != ALL:
+            if which == NEAREST:
                 # A node that may link with any other has been given with one.
                 ends = found.select(F.col("a").alias("node")).unionByName(
                     found.select(F.col("b").alias("node"))

@@ -122,12 +122,16 @@ def test_sketches_rule_out_no_pair_that_links():
             own = base[chance.random(size) > chance.random() * 0.3]
             sets.append(np.unique(np.append(own, chance.integers(0, 2**63, size // 7).astype(U64))))
         sizes = np.array([len(x) for x in sets])
-        table, _ = jaccard.possible(sizes, [jaccard.sketch(x, len(x)) for x in sets])
+        table, apart = jaccard.possible(sizes, [jaccard.sketch(x, len(x)) for x in sets])
         for i, a in enumerate(sets):
             for j, b in enumerate(sets[:i]):
                 both = len(np.intersect1d(a, b))
                 if both and 100 * both >= 75 * (len(a) + len(b) - both):
                     assert table[i, j] and table[j, i]
+        links = list(zip(*jaccard.tree(table, apart)))
+        assert all(table[i, j] for i, j in links)
+        named = components_of(range(len(sets)), zip(*np.nonzero(table)))
+        assert named == components_of(range(len(sets)), links)
 
 
 def test_crowds_and_repeated_ids(spark, monkeypatch):
