@@ -23,10 +23,13 @@ from corbel.llm.shingles import LOWER
 
 SIZES = (3, 4, 5)
 BUCKETS = 1 << 20
-#: Labelled rows that the classifier is fitted to, the first in a hashed order.
-SAMPLE = 6000
-#: An n-gram must be in so many sampled texts.
-LEAST_TEXTS = 5
+#: Labelled rows that the classifier is fitted to, the first in a hashed order; a third of
+#: them labelled 1 at most, so that a rare label is learned as well.
+SAMPLE = 4000
+#: An n-gram must be in so many sampled texts, and its log-count ratio so far from 0.
+LEAST_TEXTS, LEAST_RATIO = 5, 0.25
+#: N-grams of texts that a training step looks at together, which bounds the driver's memory.
+STEP = 1 << 20
 ROUNDS, RATE, PENALTY = 80, 0.05, 1e-3
 #: N-grams are taken from so many bytes at a time, which bounds memory for long texts.
 CHUNK = 1 << 20
@@ -72,30 +75,33 @@ def fit(texts: list[np.ndarray], labels: np.ndarray) -> Classifier:
         # Nothing to tell apart: every text is as likely as the labels say.
         rate = ones / total if total else 0.0
         return Classifier(none, 500.0 if rate else -500.0)
-    index = np.concatenate(texts)
-    text = np.repeat(np.arange(total, dtype=np.int32), [len(x) for x in texts])
-    with_one = np.bincount(index, weights=labels[text], minlength=BUCKETS)
-    with_any = np.bincount(index, minlength=BUCKETS)
+    with_one, with_any = np.zeros(BUCKETS, np.int32), np.zeros(BUCKETS, np.int32)
+    for found, label in zip(texts, labels):
+        with_any[found] += 1
+        with_one[found] += int(label)
     with_none = with_any - with_one
     ratio = np.log((with_one + 1) / (ones + 2)) - np.log((with_none + 1) / (total - ones + 2))
-    known = with_any >= LEAST_TEXTS
-    place = np.cumsum(known) - 1
-    pick = known[index]
-    index, text = place[index[pick]].astype(np.int32), text[pick]
+    known = (with_any >= LEAST_TEXTS) & (np.abs(ratio) >= LEAST_RATIO)
+    place = (np.cumsum(known) - 1).astype(np.int32)
+    kept = [place[found[known[found]]] for found in texts]
+    sizes = [len(x) for x in kept]
+    index = np.concatenate(kept)
+    text = np.repeat(np.arange(total, dtype=np.int32), sizes)
+    del kept
     ratio = ratio[known]
-    scale = ratio[index].astype(np.float32)
+    parts = [slice(at, at + STEP) for at in range(0, len(index), STEP)]
     count = len(ratio)
     # Gradient steps with running means of the gradient and of its square.
     weights, bias = np.zeros(count), np.log(ones / (total - ones))
     mean, square = np.zeros(count + 1), np.zeros(count + 1)
     for step in range(1, ROUNDS + 1):
-        reach = np.bincount(text, weights=scale * weights[index], minlength=total) + bias
+        scaled, reach, pull = ratio * weights, np.full(total, bias), np.zeros(count)
+        for part in parts:
+            reach += np.bincount(text[part], weights=scaled[index[part]], minlength=total)
         error = (1 / (1 + np.exp(-np.clip(reach, -500, 500))) - labels) / total
-        slope = np.append(
-            np.bincount(index, weights=scale * error[text], minlength=count)
-            + PENALTY * weights / total,
-            error.sum(),
-        )
+        for part in parts:
+            pull += np.bincount(index[part], weights=error[text[part]], minlength=count)
+        slope = np.append(ratio * pull + PENALTY * weights / total, error.sum())
         mean = 0.9 * mean + 0.1 * slope
         square = 0.99 * square + 0.01 * slope**2
         move = RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
@@ -114,13 +120,16 @@ def train(
     with its larger label. Texts of the sample never meet in a task; their features
     come to the driver, a few kilobytes each.
     """
-    chosen = (
+    known = (
         labels.where(quoted(label).isin(0, 1) & quoted(key).isNotNull())
         .groupBy(quoted(key).alias("key"))
         .agg(F.max(quoted(label)).cast("int").alias("label"))
-        .orderBy(F.xxhash64("key"), "key")
-        .limit(sample)
     )
+
+    def first(value: int, rows: int) -> DataFrame:
+        return known.where(F.col("label") == value).orderBy(F.xxhash64("key"), "key").limit(rows)
+
+    chosen = first(1, sample // 3).unionByName(first(0, sample - sample // 3))
     # Bounded by ``sample``.
     labelled = df.select(quoted(key).alias("key"), quoted(text).alias("text")).join(
         F.broadcast(chosen), "key"
