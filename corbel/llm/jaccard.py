@@ -37,7 +37,7 @@ from corbel.llm.shingles import U64, Words, mix
 
 #: Two sets link if SIMILAR_OF * intersection >= SIMILAR * union.
 SIMILAR, SIMILAR_OF = 75, 100
-BATCH = 1 << 21
+BATCH = 1 << 20
 #: A shingle is common if it is in this share of some run of documents.
 COMMON_SHARE, COMMON_LEAST = 0.01, 8
 #: Common shingles known to every task, 8 bytes each. They only order keys by cost.

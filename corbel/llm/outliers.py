@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from corbel.llm.common import column, map_batches, quoted, runs, settle, text_buffer
 from corbel.llm.shingles import BLANK, Words
 
-BATCH = 1 << 21
+BATCH = 1 << 20
 SYMBOLS = b"#*$%&|<>"
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 

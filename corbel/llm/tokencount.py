@@ -24,13 +24,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corbel.llm.common import column, map_batches
-from corbel.llm.tokens import BYTE_PATTERN, CACHED_LENGTH, CACHED_PIECES, tokenizer
+from corbel.llm.tokens import BYTE_PATTERN, CACHED_LENGTH, tokenizer
 
 #: White space goes with what follows it; an apostrophe ending belongs to white
 #: space only if that ends in something other than a space.
 UNITS = (
     r" ?\p{L}+|(?:\s*[^\S ])?'(?:s|t|re|ve|m|ll|d)|\s*\p{L}+|\s*\p{N}+|\s*[^\s\p{L}\p{N}]+|\s+"
 )
+#: Unit tables, and answers about pairs of tokens, that a worker remembers; a bound on memory only.
+CACHED_PIECES = 800_000
 #: Texts whose units are made together.
 TEXTS = 1000
 #: No apostrophe ending is longer.

@@ -21,7 +21,7 @@ BYTE_PATTERN = r"'(?:s|t|re|ve|m|ll|d)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 #: Pieces a worker remembers, and the longest it does; both bound memory only.
-CACHED_PIECES = 1_000_000
+CACHED_PIECES = 200_000
 CACHED_LENGTH = 64
 
 
