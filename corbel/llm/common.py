@@ -101,6 +101,17 @@ def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole, offsets - offsets[0]
 
 
+def slices(
+    batches: Iterator[pa.RecordBatch], text: str, limit: int = 1 << 22
+) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``limit`` bytes of text; a longer row is one of its own."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(column(batch, text)), 0).to_numpy()
+        offsets = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes, dtype=np.int64)])
+        for first, last in runs(offsets, limit):
+            yield batch.slice(first, last - first)
+
+
 def runs(offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``limit`` bytes, of 2**16 rows at most; a longer row is one of its own."""
     first, rows = 0, len(offsets) - 1

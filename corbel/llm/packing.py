@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corbel.llm.common import column, settle, with_columns
+from corbel.llm.common import column, settle, slices, with_columns
 from corbel.llm.tokens import word_encoder
 
 WINDOW = 2048
@@ -135,12 +135,15 @@ def token_table(
         T.StructField("token_ids", T.BinaryType()),
     ]
     kept, schema = with_columns(keyed, fields)
+    # The text has served its purpose once the ids are there.
+    schema = T.StructType([field for field in schema.fields if field.name != text])
+    carried = [c for c in kept.columns if c != text]
     last = np.uint16(end).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part = word_encoder(path).encode, TaskContext.get().partitionId()
         filled: dict[str, int] = {}
-        for batch in batches:
+        for batch in slices(batches, text):
             ids = [encode(x.as_py()) + last for x in column(batch, text)]
             sizes, places = [len(x) // 2 for x in ids], []
             for name, size in zip(column(batch, "queue").to_pylist(), sizes):
@@ -152,10 +155,10 @@ def token_table(
                 pa.array(sizes, pa.int64()),
                 pa.array(ids, pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=schema.names)
+            kept_columns = batch.select(carried).columns
+            yield pa.RecordBatch.from_arrays([*kept_columns, *made], names=schema.names)
 
-    # The text has served its purpose once the ids are there.
-    return settle(kept.mapInArrow(run, schema).drop(text), "tokens")
+    return settle(kept.mapInArrow(run, schema), "tokens")
 
 
 def pack(

@@ -1,15 +1,18 @@
 """Token ids of whole texts by the ``tokenizers`` library, met piece by piece.
 
 Both vocabularies merge bytes only inside the pieces that their splitting
-pattern cuts from a text. A text is therefore cut once here, each distinct
-piece is encoded by the library once per worker, and a text's ids are its
-pieces' ids joined. ``tests/llm`` holds this against encoding whole texts.
+pattern cuts from a text, and no piece reaches over white space that stands
+alone. A text is therefore cut at white space into chunks, a chunk not met
+before is cut into pieces, each distinct piece is encoded by the library once
+per worker, and a text's ids are its chunks' ids joined. ``tests/llm`` holds
+this against encoding whole texts.
 """
 
 from __future__ import annotations
 
 import functools
 import os
+import re
 import unicodedata
 from collections.abc import Callable
 
@@ -21,8 +24,8 @@ import regex
 BYTE_PATTERN = r" ?\p{L}+|'(?:s|t|re|ve|m|ll|d)| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WORD_PATTERN = r"\p{L}+|'s|'t|'re|'ve|'m|'ll|'d|\p{N}|[^\s\p{L}\p{N}]+"
 
-#: Pieces a worker remembers, and the longest it does; both bound memory only.
-CACHED_PIECES = 200_000
+#: Pieces and chunks a worker remembers, and the longest it does; they bound memory only.
+CACHED_PIECES, CACHED_CHUNKS = 200_000, 200_000
 CACHED_LENGTH = 64
 
 
@@ -52,35 +55,48 @@ def _lowered(text: str) -> str:
     return text.replace("Σ", "σ").lower()
 
 
+#: White space after which a cut would fall inside a piece, and characters that Python alone
+#: takes for white space.
+_wide_space = re.compile(r"\s\s(?:\s|\Z)").search
+_NO_SPACE = "\x1c\x1d\x1e\x1f"
+
+
+def spaced_chunks(text: str) -> list[str]:
+    """A text cut before blanks and line ends, where white space is kept.
+
+    A blank or line end begins a piece if a character beside it is not white
+    space; a text where that is not so everywhere is one chunk.
+    """
+    if "\0" in text or _wide_space(text):
+        return [text]
+    return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
+
+
+def bare_chunks(text: str) -> list[str]:
+    """A text's runs of anything but white space, where white space is dropped."""
+    return [text] if any(x in text for x in _NO_SPACE) else text.split()
+
+
 class PieceEncoder:
     """Ids of a text as bytes, little-endian unsigned 16-bit (both vocabularies are smaller)."""
 
-    def __init__(self, path: str, pattern: str, prepare: Callable[[str], str]):
+    def __init__(
+        self,
+        path: str,
+        pattern: str,
+        chunks: Callable[[str], list[str]],
+        prepare: Callable[[str], str],
+    ):
         self._library = tokenizer(path)
         self._find = regex.compile(pattern).findall
-        self._prepare = prepare
+        self._cut, self._prepare = chunks, prepare
         added = self._library.get_added_tokens_decoder()
         self._specials = {x.content: np.uint16(i).tobytes() for i, x in added.items()}
         self._split = regex.compile(
             "(" + "|".join(regex.escape(x) for x in sorted(self._specials)) + ")"
         )
-        self._known: dict[str, bytes] = {}
-
-    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of the pieces not known yet; the long ones are returned and forgotten."""
-        known = self._known
-        unseen = [x for x in set(pieces) if x not in known]
-        if not unseen:
-            return known
-        if len(known) + len(unseen) > CACHED_PIECES:
-            known.clear()
-            unseen = list(set(pieces))
-        encoded = self._library.encode_batch_fast(unseen, add_special_tokens=False)
-        once = {}
-        for piece, found in zip(unseen, encoded):
-            ids = np.array(found.ids, dtype="<u2").tobytes()
-            (known if len(piece) <= CACHED_LENGTH else once)[piece] = ids
-        return {**known, **once} if once else known
+        self._pieces: dict[str, bytes] = {}
+        self._chunks: dict[str, bytes] = {}
 
     def encode(self, text: str | None) -> bytes:
         if not text:
@@ -92,20 +108,61 @@ class PieceEncoder:
         )
 
     def _segment(self, text: str) -> bytes:
-        pieces = self._find(self._prepare(text))
-        try:
-            return b"".join(map(self._known.__getitem__, pieces))
-        except KeyError:
-            return b"".join(map(self._learn(pieces).__getitem__, pieces))
+        chunks = self._cut(text)
+        return _joined(chunks, self._chunks, CACHED_CHUNKS, self._of_chunks)
+
+    def _of_chunks(self, chunks: list[str]) -> list[bytes]:
+        cut = [self._find(self._prepare(x)) for x in chunks]
+        unseen = {x for pieces in cut for x in pieces}.difference(self._pieces)
+        if len(self._pieces) + len(unseen) > CACHED_PIECES:
+            self._pieces.clear()
+            unseen = {x for pieces in cut for x in pieces}
+        fresh = list(unseen)
+        self._pieces.update(zip(fresh, self._of_pieces(fresh)))
+        found = [b"".join(map(self._pieces.__getitem__, pieces)) for pieces in cut]
+        _forget_long(self._pieces, fresh)
+        return found
+
+    def _of_pieces(self, pieces: list[str]) -> list[bytes]:
+        encoded = self._library.encode_batch_fast(pieces, add_special_tokens=False)
+        return [np.array(x.ids, dtype="<u2").tobytes() for x in encoded]
+
+
+def _forget_long(known: dict[str, bytes], fresh: list[str]) -> None:
+    for x in fresh:
+        if len(x) > CACHED_LENGTH:
+            del known[x]
+
+
+def _joined(
+    parts: list[str],
+    known: dict[str, bytes],
+    limit: int,
+    learn: Callable[[list[str]], list[bytes]],
+) -> bytes:
+    """What is known of the parts, end to end; ``learn`` gives what is not known yet."""
+    try:
+        return b"".join(map(known.__getitem__, parts))
+    except KeyError:
+        pass
+    unseen = set(parts).difference(known)
+    if len(known) + len(unseen) > limit:
+        known.clear()
+        unseen = set(parts)
+    fresh = list(unseen)
+    known.update(zip(fresh, learn(fresh)))
+    whole = b"".join(map(known.__getitem__, parts))
+    _forget_long(known, fresh)
+    return whole
 
 
 @functools.lru_cache(maxsize=2)
 def byte_encoder(path: str) -> PieceEncoder:
     """For a byte-level vocabulary that keeps white space."""
-    return PieceEncoder(path, BYTE_PATTERN, _plain)
+    return PieceEncoder(path, BYTE_PATTERN, spaced_chunks, _plain)
 
 
 @functools.lru_cache(maxsize=2)
 def word_encoder(path: str) -> PieceEncoder:
     """For a lower-case vocabulary with word ends that drops white space."""
-    return PieceEncoder(path, WORD_PATTERN, _lowered)
+    return PieceEncoder(path, WORD_PATTERN, bare_chunks, _lowered)
