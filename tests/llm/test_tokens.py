@@ -134,3 +134,14 @@ def test_files_of_odd_tables(spark):
     assert [r.start for r in read] == [sum(sizes[:i]) for i in range(6)]
     empty = df.where("false")
     assert rangecoder.read_ids(rangecoder.write_ids(empty, BYTES)).count() == 0
+
+
+@pytest.mark.parametrize("path,encoder", [(BYTES, byte_encoder), (WORDS, word_encoder)])
+def test_cuts_at_white_space_change_no_id(path, encoder):
+    parts = [" ", "  ", "\n", " \n", "\t", "\x1c", "\0", " ", "\r\n", "a", "Σ", "9", "'s", ",",
+             "<|endoftext|>", "漢"]
+    pick = np.random.default_rng(5)
+    texts = ["".join(parts[i] for i in pick.integers(0, len(parts), 12)) for _ in range(5000)]
+    library = tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)
+    own = encoder(path)
+    assert [np.frombuffer(own.encode(x), "<u2").tolist() for x in texts] == [x.ids for x in library]
