@@ -3,9 +3,9 @@
 Both vocabularies merge bytes only inside the pieces that their splitting
 pattern cuts from a text, and no piece reaches over white space that stands
 alone. A text is therefore cut at white space into chunks, a chunk not met
-before is cut into pieces, each distinct piece is encoded by the library once
-per worker, and a text's ids are its chunks' ids joined. ``tests/llm`` holds
-this against encoding whole texts.
+before is cut into pieces, a piece not met before is encoded by the library,
+and a text's ids are its chunks' ids joined. ``tests/llm`` holds this against
+encoding whole texts.
 """
 
 from __future__ import annotations
@@ -50,11 +50,25 @@ def _plain(text: str) -> str:
 
 def _lowered(text: str) -> str:
     """NFC, then lower case letter by letter (a final sigma is no exception)."""
+    if text.isascii():
+        return text.lower()
     if not unicodedata.is_normalized("NFC", text):
         text = unicodedata.normalize("NFC", text)
     return text.replace("Σ", "σ").lower()
 
 
+#: A byte that prints stands for itself, the others are numbered from 256 on.
+_SHOWN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_HIDDEN = {x: 256 + i for i, x in enumerate(x for x in range(256) if x not in _SHOWN)}
+
+
+def _byte_letters(text: str) -> str:
+    """A text's UTF-8 bytes as a byte-level vocabulary writes them."""
+    if text.isascii() and text.isprintable():
+        return text.replace(" ", chr(_HIDDEN[0x20]))
+    return text.encode().decode("latin-1").translate(_HIDDEN)
+
+
 #: White space after which a cut would fall inside a piece, and characters that Python alone
 #: takes for white space.
 _wide_space = re.compile(r"\s\s(?:\s|\Z)").search
@@ -77,8 +91,32 @@ def bare_chunks(text: str) -> list[str]:
     return [text] if any(x in text for x in _NO_SPACE) else text.split()
 
 
+#: Characters before this one have had the same classes and cases in all versions of Unicode in use.
+_SETTLED = "\u0250"
+
+
+class Remembered(dict):
+    """What ``make`` gives for a text, remembered for ``limit`` short ones at a time."""
+
+    def __init__(self, make: Callable[[str], bytes], limit: int):
+        super().__init__()
+        self._make, self._limit = make, limit
+
+    def __missing__(self, text: str) -> bytes:
+        made = self._make(text)
+        if len(text) <= CACHED_LENGTH:
+            if len(self) >= self._limit:
+                self.clear()
+            self[text] = made
+        return made
+
+
 class PieceEncoder:
-    """Ids of a text as bytes, little-endian unsigned 16-bit (both vocabularies are smaller)."""
+    """Ids of a text as bytes, little-endian unsigned 16-bit (both vocabularies are smaller).
+
+    Both vocabularies are byte-level. Pieces of Latin letters and ASCII go to the
+    library's model at once, others through all its steps.
+    """
 
     def __init__(
         self,
@@ -88,6 +126,7 @@ class PieceEncoder:
         prepare: Callable[[str], str],
     ):
         self._library = tokenizer(path)
+        self._merge = self._library.model.tokenize
         self._find = regex.compile(pattern).findall
         self._cut, self._prepare = chunks, prepare
         added = self._library.get_added_tokens_decoder()
@@ -95,8 +134,9 @@ class PieceEncoder:
         self._split = regex.compile(
             "(" + "|".join(regex.escape(x) for x in sorted(self._specials)) + ")"
         )
-        self._pieces: dict[str, bytes] = {}
-        self._chunks: dict[str, bytes] = {}
+        self._units = [np.uint16(i).tobytes() for i in range(self._library.get_vocab_size())]
+        self._piece = Remembered(self._of_piece, CACHED_PIECES).__getitem__
+        self._chunk = Remembered(self._of_chunk, CACHED_CHUNKS).__getitem__
 
     def encode(self, text: str | None) -> bytes:
         if not text:
@@ -108,52 +148,16 @@ class PieceEncoder:
         )
 
     def _segment(self, text: str) -> bytes:
-        chunks = self._cut(text)
-        return _joined(chunks, self._chunks, CACHED_CHUNKS, self._of_chunks)
-
-    def _of_chunks(self, chunks: list[str]) -> list[bytes]:
-        cut = [self._find(self._prepare(x)) for x in chunks]
-        unseen = {x for pieces in cut for x in pieces}.difference(self._pieces)
-        if len(self._pieces) + len(unseen) > CACHED_PIECES:
-            self._pieces.clear()
-            unseen = {x for pieces in cut for x in pieces}
-        fresh = list(unseen)
-        self._pieces.update(zip(fresh, self._of_pieces(fresh)))
-        found = [b"".join(map(self._pieces.__getitem__, pieces)) for pieces in cut]
-        _forget_long(self._pieces, fresh)
-        return found
-
-    def _of_pieces(self, pieces: list[str]) -> list[bytes]:
-        encoded = self._library.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u2").tobytes() for x in encoded]
-
-
-def _forget_long(known: dict[str, bytes], fresh: list[str]) -> None:
-    for x in fresh:
-        if len(x) > CACHED_LENGTH:
-            del known[x]
-
-
-def _joined(
-    parts: list[str],
-    known: dict[str, bytes],
-    limit: int,
-    learn: Callable[[list[str]], list[bytes]],
-) -> bytes:
-    """What is known of the parts, end to end; ``learn`` gives what is not known yet."""
-    try:
-        return b"".join(map(known.__getitem__, parts))
-    except KeyError:
-        pass
-    unseen = set(parts).difference(known)
-    if len(known) + len(unseen) > limit:
-        known.clear()
-        unseen = set(parts)
-    fresh = list(unseen)
-    known.update(zip(fresh, learn(fresh)))
-    whole = b"".join(map(known.__getitem__, parts))
-    _forget_long(known, fresh)
-    return whole
+        return b"".join(map(self._chunk, self._cut(text)))
+
+    def _of_chunk(self, chunk: str) -> bytes:
+        return b"".join(map(self._piece, self._find(self._prepare(chunk))))
+
+    def _of_piece(self, piece: str) -> bytes:
+        if piece.isascii() or max(piece) < _SETTLED:
+            return b"".join([self._units[x.id] for x in self._merge(_byte_letters(piece))])
+        encoded = self._library.encode(piece, add_special_tokens=False)
+        return np.array(encoded.ids, dtype="<u2").tobytes()
 
 
 @functools.lru_cache(maxsize=2)
