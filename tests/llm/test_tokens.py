@@ -145,3 +145,12 @@ def test_cuts_at_white_space_change_no_id(path, encoder):
     library = tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)
     own = encoder(path)
     assert [np.frombuffer(own.encode(x), "<u2").tolist() for x in texts] == [x.ids for x in library]
+
+
+@pytest.mark.parametrize("path,encoder", [(BYTES, byte_encoder), (WORDS, word_encoder)])
+def test_each_character_around_the_latin_letters(path, encoder):
+    """Pieces on both sides of the border up to which the model alone is asked."""
+    texts = [f"ab{c}cd {c} {c}{c}E{c}" for c in map(chr, range(0x270))]
+    whole = tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)
+    for text, wanted in zip(texts, whole):
+        assert np.frombuffer(encoder(path).encode(text), "<u2").tolist() == wanted.ids, ascii(text)
