@@ -56,6 +56,9 @@ class PrefixCounter:
         self._specials = [
             x.content for x in self._library.get_added_tokens_decoder().values()
         ]
+        # Where two begin, the library takes the longer one.
+        longest_first = sorted(map(regex.escape, self._specials), key=len, reverse=True)
+        self._special = regex.compile("|".join(longest_first))
         self._pairs: dict[tuple[int, int], bool] = {}
         self._tables: dict[str, bytes] = {}
         self._data, self._last, self._count = b"", [-1], [0]
@@ -147,15 +150,18 @@ class PrefixCounter:
         """Signed bytes: by how much each character changes the token count."""
         if not text:
             return b""
-        for special in self._specials:
-            if special in text:
-                # Until its last character a special string is text like any other.
-                head, _, tail = text.partition(special)
-                before, opened = self.steps(head), self._steps(head + special[:-1])
-                total = sum(np.frombuffer(before, np.int8)) + 1
-                closed = int(total) - int(np.frombuffer(opened, np.int8).sum(dtype=np.int64))
-                return opened + np.int8(closed).tobytes() + self.steps(tail)
-        return self._steps(text)
+        parts, at = [], 0
+        for found in self._special.finditer(text) if self._specials else ():
+            # Until its last character a special string is text like any other.
+            before = self._steps(text[at : found.start()])
+            opened = self._steps(text[at : found.end() - 1])
+            parts += [opened, np.int8(_total(before) + 1 - _total(opened)).tobytes()]
+            at = found.end()
+        return b"".join([*parts, self._steps(text[at:])])
+
+
+def _total(steps: bytes) -> int:
+    return int(np.frombuffer(steps, np.int8).sum(dtype=np.int64))
 
 
 def _byte_letters() -> str:
@@ -192,7 +198,7 @@ def prefix_counts(df: DataFrame, path: str, text: str = "text") -> DataFrame:
         for first in range(0, len(texts), TEXTS):
             tables += known.all_steps(texts[first : first + TEXTS])
         sizes = [len(x.as_buffer()) if x.is_valid else 0 for x in column(batch, text)]
-        totals = [int(np.frombuffer(x, np.int8).sum(dtype=np.int64)) for x in tables]
+        totals = [_total(x) for x in tables]
         return [
             pa.array(sizes, pa.int64()),
             pa.array(totals, pa.int64()),

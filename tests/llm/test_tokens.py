@@ -60,6 +60,18 @@ def test_counts_of_every_prefix():
         assert found == wanted, text
 
 
+@pytest.mark.parametrize(
+    "text", [" word" * 500 + "<|endoftext|> tail", "a b<|endoftext|>" * 3000, "<|endoftext|>" * 3000]
+)
+def test_special_strings_in_long_texts(text):
+    found = np.cumsum(np.frombuffer(tokencount.counter(BYTES).steps(text), np.int8), dtype=int)
+    assert len(found) == len(text)
+    ends = {*range(0, len(text), 997), *range(len(text) - 40, len(text)), *range(2490, 2530)}
+    for n in sorted(n for n in ends if n < len(text)):
+        wanted = len(tokenizer(BYTES).encode(text[: n + 1], add_special_tokens=False).ids)
+        assert found[n] == wanted, n
+
+
 def test_prefix_questions(spark):
     texts = [(1, "Hello there, world"), (2, None), (3, "")]
     df = spark.createDataFrame(texts, "doc_id bigint, text string").withColumn("n_bytes", F.lit("x"))
