@@ -5,7 +5,8 @@ words. Plain rules fail texts that are too short or repeat themselves. Of the
 others, transformed statistic vectors are held against a minimum covariance
 determinant estimate of their language and source: the centre and scatter of
 the three quarters of rows that lie closest together, found by concentration
-steps. A step is two aggregations over all rows - a quantile of distances, then
+steps. The fewer rows a group has, the more its estimate leans on that of its
+language, and this one on that of all rows. A step is two aggregations over all rows - a quantile of distances, then
 sums of squares of the rows within it - so a source of any size is spread over
 all tasks. A row is rejected if its Mahalanobis distance is past a cutoff.
 """
@@ -31,14 +32,16 @@ STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_wor
 
 #: Share of the rows that an estimate rests on, and its concentration steps.
 SUPPORT, STEPS = 0.75, 4
-#: Rows of a language and source that an estimate of its own needs.
-LEAST_ROWS = 100
+#: The estimate that a group leans on counts as so many of its rows.
+LEAN = 20
 #: Spread added to each coordinate: ln word length, and ln of symbols, repeated lines and
 #: repeated words a hundred words. Below it differences mean nothing, also where most rows are alike.
 FLOORS = (0.15, 0.6, 0.7, 0.7)
 #: A row of a normal cloud is past the cutoff once in so many.
 ODDS = 1_000_000
 DIMENSIONS = len(FLOORS)
+#: So many rows say nothing of a group's scatter; its own weight grows from 0 with those beyond.
+TOO_FEW = 2 * DIMENSIONS
 _AXES = range(DIMENSIONS)
 
 
@@ -134,18 +137,37 @@ def group_name(groups: list[str]) -> Column:
     )
 
 
+def level_names(groups: list[str]) -> list[Column]:
+    """Names of all rows' group, that of the first column's value, of the first two, and so on."""
+    return [
+        F.concat(F.lit(f"{n}\x1e"), group_name(groups[:n]) if n else F.lit(""))
+        for n in range(len(groups) + 1)
+    ]
+
+
 def estimate(stats: DataFrame, groups: list[str]) -> DataFrame:
-    """Centre and inverse scatter (``group``, ``n``, ``centre``, ``inverse``) of each group.
+    """Centre and inverse scatter (``group``, ``level``, ``n``, ``centre``, ``inverse``) of each group.
 
-    ``stats`` should be stored and narrow: it is read in every step. The group
-    named null holds all rows and stands in for groups of fewer than
-    ``LEAST_ROWS``. Rows that the plain rules fail take no part.
+    ``stats`` should be stored and narrow: it is read in every step. There is a
+    group of all rows (level 0), one for each value of the first of ``groups``, of
+    the first two, and so on. Each is drawn towards the group around it, which
+    counts as ``LEAN`` rows. Rows that the plain rules fail take no part.
     """
+    names = level_names(groups)
+    around = [F.lit(None).cast("string"), *names]
+    of = [
+        F.struct(F.lit(n).alias("level"), name.alias("group"), around[n].alias("around"))
+        for n, name in enumerate(names)
+    ]
     good = stats.where(~base_failed()).select(
-        F.explode(F.array(group_name(groups), F.lit(None).cast("string"))).alias("group"),
-        F.array(*vector()).alias("x"),
+        F.explode(F.array(*of)).alias("of"), F.array(*vector()).alias("x")
+    )
+    rows = settle(good.select("of.*", "x"), "vectors")
+    families = settle(
+        rows.groupBy("group").agg(F.first("level").alias("level"), F.first("around").alias("around")),
+        "families",
     )
-    rows = settle(good.select(F.coalesce("group", F.lit("\x1e")).alias("group"), "x"), "vectors")
+    rows = rows.select("group", "x")
     medians = rows.groupBy("group").agg(
         F.count("*").alias("n"),
         F.array(*[F.percentile_approx(F.col("x")[i], 0.5, 1000) for i in _AXES]).alias("centre"),
@@ -173,7 +195,52 @@ def estimate(stats: DataFrame, groups: list[str]) -> DataFrame:
     )
     for _ in range(STEPS):
         estimates = settle(_concentrated(rows, estimates), "estimates")
-    return estimates
+    return _leaning(settle(estimates.join(families, "group"), "estimates"), len(groups))
+
+
+def _leaning(estimates: DataFrame, levels: int) -> DataFrame:
+    """Each estimate drawn towards that of the group around it, from the outermost on.
+
+    Centre and scatter are those of the group's rows, beyond ``TOO_FEW``, and ``LEAN``
+    rows of the group around it taken together: without a step at any number of rows.
+    """
+
+    def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            centres, inverses = [], []
+            for row in batch.to_pylist():
+                rows = max(0, row["n"] - TOO_FEW)
+                share = rows / (rows + LEAN)
+                own, other = np.array(row["centre"]), np.array(row["outer_centre"])
+                scatters = [
+                    np.linalg.inv(np.array(row[x]).reshape(DIMENSIONS, DIMENSIONS))
+                    for x in ("inverse", "outer_inverse")
+                ]
+                between = share * (1 - share) * np.outer(own - other, own - other)
+                scatter = share * scatters[0] + (1 - share) * scatters[1] + between
+                centres.append((share * own + (1 - share) * other).tolist())
+                inverses.append(np.linalg.inv(scatter).ravel().tolist())
+            yield pa.RecordBatch.from_arrays(
+                [*(column(batch, x) for x in ("group", "level", "n")),
+                 pa.array(centres, pa.list_(pa.float64())), pa.array(inverses, pa.list_(pa.float64()))],
+                names=made,
+            )
+
+    made = ["group", "level", "n", "centre", "inverse"]
+    schema = "group string, level int, n bigint, centre array<double>, inverse array<double>"
+    done = [estimates.where("level = 0").select(*made)]
+    for level in range(1, levels + 1):
+        outer = done[-1].select(
+            F.col("group").alias("around"),
+            F.col("centre").alias("outer_centre"),
+            F.col("inverse").alias("outer_inverse"),
+        )
+        joined = estimates.where(F.col("level") == level).join(outer, "around")
+        done.append(settle(joined.mapInArrow(lean, schema), "estimates"))
+    whole = done[0]
+    for part in done[1:]:
+        whole = whole.unionByName(part)
+    return whole
 
 
 def _concentrated(rows: DataFrame, estimates: DataFrame) -> DataFrame:
@@ -220,33 +287,34 @@ def judge(stats: DataFrame, estimates: DataFrame, groups: list[str]) -> DataFram
     """Add ``base_failed``, ``distance`` and ``kept`` to rows with statistics.
 
     ``kept`` is false if a plain rule fails the row or its squared distance from
-    its group's centre (all rows', if the group is small) is past the cutoff.
-    Without any estimate only the plain rules speak.
+    its group's centre is past the cutoff. A group that has no estimate is held
+    against that around it. Without any estimate only the plain rules speak.
     """
     cutoff = _quantile(1 - 1 / ODDS, DIMENSIONS)
-    own = estimates.where(f"n >= {LEAST_ROWS} AND group != '\x1e'").select(
-        F.col("group").alias("outlier_group"), "centre", "inverse"
-    )
-    every = estimates.where("group = '\x1e'").select(
-        F.col("group").alias("stand_in"),
-        F.col("centre").alias("centre_all"),
-        F.col("inverse").alias("inverse_all"),
-    )
     made = {"base_failed", "distance", "kept"}
     names = [c for c in stats.columns if c.lower() not in made]
-    joined = (
-        stats.select(
-            *[quoted(c) for c in names],
-            group_name(groups).alias("outlier_group"),
-        )
-        .join(own, "outlier_group", "left")
-        .withColumn("stand_in", F.when(F.col("centre").isNull(), F.lit("\x1e")))
-        # One row at most.
-        .join(F.broadcast(every), "stand_in", "left")
-        .withColumn("centre", F.coalesce("centre", "centre_all"))
-        .withColumn("inverse", F.coalesce("inverse", "inverse_all"))
-        .withColumn("x", F.array(*vector()))
+    joined = stats.select(
+        *[quoted(c) for c in names],
+        *[name.alias(f"outlier_group_{n}") for n, name in enumerate(level_names(groups))],
+        F.lit(None).cast("array<double>").alias("centre"),
+        F.lit(None).cast("array<double>").alias("inverse"),
     )
+    for n in range(len(groups), -1, -1):
+        wanted = f"outlier_group_{n}"
+        own = estimates.where(F.col("level") == n).select(
+            F.col("group").alias(wanted),
+            F.col("centre").alias("found_centre"),
+            F.col("inverse").alias("found_inverse"),
+        )
+        # Only rows without an estimate look for one further out.
+        joined = (
+            joined.withColumn(wanted, F.when(F.col("centre").isNull(), F.col(wanted)))
+            .join(own if n else F.broadcast(own), wanted, "left")
+            .withColumn("centre", F.coalesce("centre", "found_centre"))
+            .withColumn("inverse", F.coalesce("inverse", "found_inverse"))
+            .drop("found_centre", "found_inverse", wanted)
+        )
+    joined = joined.withColumn("x", F.array(*vector()))
     far = F.coalesce(distance() > cutoff, F.lit(False))
     return joined.select(
         *[quoted(c) for c in names],

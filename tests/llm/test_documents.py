@@ -342,3 +342,28 @@ def test_quality_by_group_and_odd_rows(spark):
     none = stats.where("false")
     assert outliers.judge(none, outliers.estimate(none, ["lang"]), ["lang"]).count() == 0
     assert outliers.judge(stats, outliers.estimate(none, ["lang"]), ["lang"]).where("kept").count() == 302
+
+
+def test_small_groups_have_estimates_of_their_own(spark):
+    chance = np.random.default_rng(5)
+
+    def text(low, high):
+        return " ".join("x" * n + str(k) for k, n in enumerate(chance.integers(low, high, 40)))
+
+    rows = [(i, text(3, 9), "common", f"s{i % 3}") for i in range(3000)]
+    counts = {"a": 12, "b": 20, "c": 60, "d": 99, "e": 100, "f": 130}
+    for n, (lang, count) in enumerate(counts.items()):
+        rows += [(10_000 * (n + 1) + i, text(60, 90), lang, "s0") for i in range(count)]
+        rows.append((10_000 * (n + 1) + 9000, text(3000, 3001), lang, "s0"))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    stats = outliers.statistics(df).drop("text").cache()
+    kept = {
+        r.doc_id: r.kept
+        for r in outliers.judge(stats, outliers.estimate(stats, queries.GROUPS), queries.GROUPS).collect()
+    }
+    # Clean rows stay whatever their group's size, and so does the verdict on junk go.
+    for n, (lang, count) in enumerate(counts.items()):
+        own = [kept[10_000 * (n + 1) + i] for i in range(count)]
+        assert all(own), (lang, own.count(False))
+    assert all(kept[i] for i in range(3000))
+    assert not any(kept[10_000 * (n + 1) + 9000] for n in range(3, len(counts)))
