@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corbel.llm import jaccard, mixing, outliers, packing, rangecoder, sharding, snapshots
-from corbel.llm import tokencount, toxicity, vectors
+from corbel.llm import alignment, jaccard, licences, mixing, outliers, packing, rangecoder
+from corbel.llm import sharding, snapshots, spelling, tokencount, toxicity, vectors
 from corbel.llm.common import read, settle
 from corbel.llm.tokens import vocabulary_path
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
 WORD_VOCABULARY = "word_bpe_49k.json"
+PIECE_VOCABULARY = "piece_bpe_32k.model"
 TOKEN_LIMIT = 512
 
 GROUPS = ["lang", "source"]
@@ -146,6 +147,27 @@ def op10_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two vocabularies aligned by bytes, with the corpus's counts of linked ids."""
+    return alignment.align(
+        read(spark, sf_dir, "documents").select("doc_id", "text"),
+        vocabulary_path(BYTE_VOCABULARY),
+        vocabulary_path(PIECE_VOCABULARY),
+    )
+
+
+def op12_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in all documents."""
+    return licences.scan(read(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
+    )
+
+
+def op13_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with the frequent spellings one letter away."""
+    return spelling.spelling_groups(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -159,7 +181,10 @@ QUERIES = {
         op8_jaccard_groups,
         op9_robust_outliers,
         op10_histogram_shards,
+        op11_token_alignment,
+        op12_licence_scan,
+        op13_spelling_groups,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op12_licence_scan": licences.oracle_sql()}
