@@ -26,6 +26,26 @@ def corr_with_zeros(left: Column, right: Column) -> Column:
     return F.corr(or_zero(left), or_zero(right))
 
 
+def distinct_sketches(
+    df: DataFrame, by: Sequence[str], columns: Sequence[str], lg_k: int = 12
+) -> DataFrame:
+    """Per group, a sketch of each column's distinct values, to be stored and merged later.
+
+    A sketch has at most 2**``lg_k`` registers, however many values it has seen; its standard
+    error is about 0.8 / 2**(``lg_k`` / 2). Nulls are not counted.
+    """
+    return df.groupBy(*[column_at([name]) for name in by]).agg(
+        *[F.hll_sketch_agg(column_at([name]), F.lit(lg_k)).alias(name) for name in columns]
+    )
+
+
+def merged_distinct(sketches: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Estimates of distinct counts per coarser group, from stored sketches alone."""
+    return sketches.groupBy(*[column_at([name]) for name in by]).agg(
+        *[F.hll_sketch_estimate(F.hll_union_agg(column_at([name]))).alias(name) for name in columns]
+    )
+
+
 def least_row(columns: Sequence[str], order: Sequence[str]) -> Column:
     """The row that comes first by ``order``, as a struct.
 

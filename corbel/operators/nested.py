@@ -75,6 +75,70 @@ def leaf_paths(schema: T.StructType, prefix: tuple[str, ...] = ()) -> list[tuple
     return paths
 
 
+def pruned_schema(schema: T.StructType, paths: Iterable[str]) -> T.StructType:
+    """The part of a schema that dotted paths reach, through structs and arrays of structs.
+
+    A path that ends at a struct or an array keeps all of it. Reading files with this
+    schema skips every other field, which Spark itself does not do for more than one
+    field behind an explode, nor for any nested field of JSON. An unknown path is an error.
+    """
+    wanted: dict[str, list[str]] = {}
+    for path in paths:
+        head, _, rest = path.partition(".")
+        if head not in schema.names:
+            raise ValueError(f"the schema has no field {path!r}")
+        wanted.setdefault(head, []).append(rest)
+    return T.StructType([_pruned(item, wanted[item.name]) for item in schema if item.name in wanted])
+
+
+def _pruned(item: T.StructField, rests: Sequence[str]) -> T.StructField:
+    if not all(rests):
+        return item
+    kind, arrays = item.dataType, []
+    while isinstance(kind, T.ArrayType):
+        arrays.append(kind)
+        kind = kind.elementType
+    if not isinstance(kind, T.StructType):
+        raise ValueError(f"{item.name} has no fields {list(rests)}")
+    inner: T.DataType = pruned_schema(kind, rests)
+    for array in reversed(arrays):
+        inner = T.ArrayType(inner, array.containsNull)
+    return T.StructField(item.name, inner, item.nullable, item.metadata)
+
+
+def used_paths(
+    schema: T.StructType,
+    header: Mapping[str, str],
+    array: str,
+    name: str,
+    specs: Iterable[ArraySpec],
+    separator: str = "_",
+) -> list[str]:
+    """Paths that :func:`flatten_documents` with the same arguments reads, for :func:`pruned_schema`.
+
+    Arrays that would only be dropped are left out; of those that become columns, only the
+    fields that are sorted by or given a column.
+    """
+    by_column = {spec.column: spec for spec in specs}
+    kind: T.DataType = schema
+    for part in array.split("."):
+        if not isinstance(kind, T.StructType) or part not in kind.names:
+            raise ValueError(f"the schema has no array {array!r}")
+        kind = kind[part].dataType
+    if not isinstance(kind, T.ArrayType) or not isinstance(kind.elementType, T.StructType):
+        raise ValueError(f"{array} is not an array of structs")
+    paths = list(header.values())
+    for leaf in leaf_paths(kind.elementType):
+        spec = by_column.get(separator.join((name, *leaf)).replace(".", separator))
+        whole = ".".join((array, *leaf))
+        if spec is None:
+            paths.append(whole)
+        elif spec.names():
+            fields = dict.fromkeys([*(path for path, _ in spec.order), *spec.slots])
+            paths += [f"{whole}.{field}" for field in fields]
+    return paths
+
+
 def flatten_structs(df: DataFrame, separator: str = "_") -> DataFrame:
     """Give every struct leaf its own column, named by its whole path."""
     paths = leaf_paths(df.schema)

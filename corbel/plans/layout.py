@@ -5,27 +5,34 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corbel.operators.joins import top_rows
-from corbel.operators.layout import sort_total, stack
+from corbel.operators.layout import ranked, stack
 from corbel.plans.registry import query
 from corbel.plans.tables import nullable_events, table, with_evn
 
-ALL_SQL = with_evn("SELECT event_id, genre, rating, score FROM evn ORDER BY {}")
+# Rows are compared without regard to their order, so each says its place.
+ALL_SQL = with_evn(
+    "SELECT event_id, genre, rating, score, row_number() OVER (ORDER BY {}) AS place FROM evn"
+)
+
+
+def sorted_events(spark, sf_dir, order):
+    return ranked(nullable_events(spark, sf_dir), order, ["event_id"]).orderBy("place")
 
 
 @query("sort_asc", ALL_SQL.format("rating ASC NULLS FIRST, event_id"))
 def sort_asc(spark, sf_dir):
-    return sort_total(nullable_events(spark, sf_dir), ["rating"], ["event_id"])
+    return sorted_events(spark, sf_dir, ["rating"])
 
 
 @query("sort_desc", ALL_SQL.format("rating DESC NULLS LAST, event_id"))
 def sort_desc(spark, sf_dir):
-    return sort_total(nullable_events(spark, sf_dir), [F.col("rating").desc()], ["event_id"])
+    return sorted_events(spark, sf_dir, [F.col("rating").desc()])
 
 
 @query("sort_nulls_last", ALL_SQL.format("genre ASC NULLS LAST, rating DESC NULLS LAST, event_id"))
 def sort_nulls_last(spark, sf_dir):
     order = [F.col("genre").asc_nulls_last(), F.col("rating").desc_nulls_last()]
-    return sort_total(nullable_events(spark, sf_dir), order, ["event_id"])
+    return sorted_events(spark, sf_dir, order)
 
 
 @query(

@@ -2,27 +2,35 @@
 
 The documents are built row by row from ``documents``: each line of a text is a
 paragraph holding an array of its words. No rows are gathered to make an array,
-so array sizes are those of single texts.
+so array sizes are those of single texts. They are stored once in an application, as
+Parquet and (of another shape) as JSON arrays; queries read the fields they use.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corbel.functions.arrays import sort_structs
+from corbel.operators.layout import rebalanced
 from corbel.operators.nested import (
     ArraySpec,
     explode_array,
-    flatten_documents,
     flatten_structs,
     numbered,
     pivot_arrays,
     project_paths,
+    pruned_schema,
     rename_display,
     select_accepted,
+    used_paths,
 )
+from corbel.plans import principals
 from corbel.plans.registry import query
 from corbel.plans.tables import table, texts
+from corbel.sources.readers import read_json
+from corbel.sources.scratch import stored_once
+from corbel.sources.writers import write_json_arrays, write_parquet
 
 SLOTS = 21
 HEADER = {
@@ -49,6 +57,7 @@ def _paragraph(line, number):
         F.length(line).alias("size"),
         F.transform(F.split(line, " "), _word).alias("words"),
         F.array(F.lit("plain text")).alias("remarks"),
+        F.array(F.struct(number.alias("mark"))).alias("marks"),
     )
 
 
@@ -56,15 +65,28 @@ def nested_documents(spark, sf_dir):
     """``enriched.document`` structs with an array of paragraphs."""
     paragraphs = F.transform(F.split("text", "\n"), _paragraph)
     document = F.struct("doc_id", "source", "lang", paragraphs.alias("paragraphs"))
-    return texts(spark, sf_dir, "doc_id", "source", "lang", "text").select(
+    return rebalanced(texts(spark, sf_dir, "doc_id", "source", "lang", "text")).select(
         F.struct(document.alias("document")).alias("enriched")
     )
 
 
-def exploded(spark, sf_dir):
-    """One row per paragraph."""
+def stored_documents(spark, sf_dir, paths=("enriched",)):
+    """The documents as stored, with these of their fields."""
     documents = nested_documents(spark, sf_dir)
-    return explode_array(documents, HEADER, PARAGRAPHS, "paragraph", computed=True)
+    path = stored_once(
+        spark,
+        f"{sf_dir.rstrip('/')}/documents.parquet",
+        "nested-documents",
+        lambda path: write_parquet(documents, path),
+    )
+    return spark.read.schema(pruned_schema(documents.schema, paths)).parquet(path)
+
+
+def exploded(spark, sf_dir, *fields, header=tuple(HEADER)):
+    """One row per paragraph of the stored documents, with these of its fields only."""
+    kept = {name: HEADER[name] for name in header}
+    paths = [*kept.values(), *(f"{PARAGRAPHS}.{field}" for field in fields)]
+    return explode_array(stored_documents(spark, sf_dir, paths), kept, PARAGRAPHS, "paragraph")
 
 
 def nested_parts(spark, sf_dir):
@@ -145,7 +167,7 @@ def nest_flatten_structs(spark, sf_dir):
        SELECT doc_id, source, lang, number, CAST(length(line) AS INTEGER) AS size FROM lines""",
 )
 def nest_explode_base(spark, sf_dir):
-    base = exploded(spark, sf_dir)
+    base = exploded(spark, sf_dir, "number", "size")
     return base.select("doc_id", "source", "lang", "paragraph.number", "paragraph.size")
 
 
@@ -156,7 +178,7 @@ def nest_explode_base(spark, sf_dir):
          AS words FROM sorted""",
 )
 def nest_array_sort(spark, sf_dir):
-    base = exploded(spark, sf_dir)
+    base = exploded(spark, sf_dir, "number", "words.size", "words.word", header=["doc_id"])
     item = base.schema["paragraph"].dataType["words"].dataType.elementType
     ordered = sort_structs(F.col("paragraph.words"), [("size", "ASC"), ("word", "ASC")], item)
     words = F.array_join(F.transform(ordered, lambda item: item["word"]), " ", "?")
@@ -177,7 +199,7 @@ def nest_array_sort(spark, sf_dir):
 )
 def nest_array_comparator(spark, sf_dir):
     # Two text keys in opposite directions cannot be brought to one.
-    base = exploded(spark, sf_dir)
+    base = exploded(spark, sf_dir, "number", "words.word", header=["doc_id"])
     named = base.select(
         "doc_id",
         "paragraph.number",
@@ -192,11 +214,6 @@ def nest_array_comparator(spark, sf_dir):
     return named.select("doc_id", "number", words.alias("words"))
 
 
-def flat_paragraphs(spark, sf_dir):
-    base = exploded(spark, sf_dir)
-    return flatten_structs(base)
-
-
 @query(
     "nest_array_pivot",
     f"""{BY_SIZE_SQL}
@@ -204,7 +221,8 @@ def flat_paragraphs(spark, sf_dir):
        FROM sorted""",
 )
 def nest_array_pivot(spark, sf_dir):
-    paragraphs = flat_paragraphs(spark, sf_dir).drop("paragraph_remarks")
+    fields = ["number", "size", "words.word", "words.size", "words.place.position"]
+    paragraphs = flatten_structs(exploded(spark, sf_dir, *fields))
     return pivot_arrays(paragraphs, [words_spec("paragraph_words", BY_SIZE)])
 
 
@@ -215,9 +233,8 @@ def nest_array_pivot(spark, sf_dir):
          {", ".join(f"CAST(s[{n}].p + 1 AS INTEGER) AS rank_{n}" for n in range(1, 6))} FROM sorted""",
 )
 def nest_array_pivot_nested(spark, sf_dir):
-    paragraphs = flat_paragraphs(spark, sf_dir).select(
-        "doc_id", "paragraph_number", "paragraph_words"
-    )
+    base = exploded(spark, sf_dir, "number", "words.word", "words.place", header=["doc_id"])
+    paragraphs = flatten_structs(base)
     ranks = ArraySpec("paragraph_words", BY_WORD, {"place.rank": numbered("rank", 5)})
     return pivot_arrays(paragraphs, [ranks])
 
@@ -233,9 +250,10 @@ def nest_array_guard(spark, sf_dir):
     specs = [
         ArraySpec("paragraph_notes", BY_SIZE, {"word": numbered("note", 2)}),
         ArraySpec("paragraph_remarks", BY_SIZE, {"word": numbered("remark", 2)}),
-        ArraySpec("paragraph_words", BY_SIZE),
+        ArraySpec("paragraph_marks", [("mark", "ASC")]),
     ]
-    return pivot_arrays(flat_paragraphs(spark, sf_dir), specs)
+    base = exploded(spark, sf_dir, "number", "size", "remarks", "marks")
+    return pivot_arrays(flatten_structs(base), specs)
 
 
 @query(
@@ -249,17 +267,129 @@ def nest_project_paths(spark, sf_dir):
     return rename_display(accepted, {"kind": "Part Type"})
 
 
+# Documents of another shape: a line of text is a principal, its words are associations, the
+# words before a comma or a full stop disqualifications, and the long words their act types.
+PRINCIPALS_DDL = """enriched struct<
+  source_text: string,
+  organization: struct<
+    duns: string, primaryName: string, countryISOAlpha2Code: string,
+    currentPrincipals: array<struct<
+      number: int, text: string, gender: struct<description: string, dnbCode: int>,
+      associations: array<struct<
+        primaryName: string, duns: string, startDate: string,
+        person: struct<name: string, age: int>>>,
+      disqualifications: array<struct<endDate: string, actText: string, startDate: string>>,
+      disqualifications_actType: array<struct<description: string, dnbCode: int>>>>>>"""
+LONG_WORD = 9
+
+
+def _three_digits(number):
+    return F.lpad(number.cast("string"), 3, "0")
+
+
+def _principal(line, number):
+    words = F.split(line, " ")
+
+    def association(text, position):
+        size = F.length(text)
+        person = F.struct(F.left(text, F.lit(1)).alias("name"), size.alias("age"))
+        return F.when(
+            size > 0,
+            F.struct(
+                F.when(size > 1, text).alias("primaryName"),
+                position.cast("string").alias("duns"),
+                _three_digits(size).alias("startDate"),
+                person.alias("person"),
+            ),
+        )
+
+    def disqualification(text, position):
+        return F.struct(
+            _three_digits(F.length(text)).alias("endDate"),
+            text.alias("actText"),
+            position.cast("string").alias("startDate"),
+        )
+
+    acts = F.filter(F.transform(words, disqualification), lambda x: x["actText"].rlike("[,.]$"))
+    kinds = F.transform(
+        F.filter(words, lambda x: F.length(x) >= LONG_WORD),
+        lambda x: F.struct(x.alias("description"), F.length(x).alias("dnbCode")),
+    )
+    gender = F.struct(F.left(line, F.lit(1)).alias("description"), F.size(words).alias("dnbCode"))
+    return F.struct(
+        number.alias("number"),
+        line.alias("text"),
+        gender.alias("gender"),
+        F.transform(words, association).alias("associations"),
+        acts.alias("disqualifications"),
+        kinds.alias("disqualifications_actType"),
+    )
+
+
+def principal_documents(spark, sf_dir):
+    organization = F.struct(
+        F.col("doc_id").cast("string").alias("duns"),
+        F.col("source").alias("primaryName"),
+        F.col("lang").alias("countryISOAlpha2Code"),
+        F.transform(F.split("text", "\n"), _principal).alias("currentPrincipals"),
+    )
+    return rebalanced(texts(spark, sf_dir, "doc_id", "source", "lang", "text")).select(
+        F.struct(F.col("text").alias("source_text"), organization.alias("organization")).alias("enriched")
+    )
+
+
+def principals_slots_sql():
+    """The columns of the three pivoted arrays in SQL."""
+    parts = [
+        ("a", "associations", {"primaryName": "word", "duns": "CAST(s.p AS VARCHAR)",
+                               "startDate": "lpad(CAST(s.size AS VARCHAR), 3, '0')"}, 21),
+        ("t", "disqualifications_disqualificationtype", {"desc": "word"}, 3),
+        ("d", "disqualifications", {"endDate": "lpad(CAST(s.size AS VARCHAR), 3, '0')",
+                                    "actText": "word", "startDate": "CAST(s.p AS VARCHAR)"}, 3),
+    ]
+    columns = []
+    for array, prefix, fields, count in parts:
+        for name, value in fields.items():
+            for n in range(1, count + 1):
+                slot = f"{array}[{n}]"
+                value_sql = value.replace("s.", f"{slot}.") if "s." in value else f"{slot}.{value}"
+                columns.append(f"{value_sql} AS currentprincipals_{prefix}_{name.lower()}_{n}")
+    return ",\n ".join(columns)
+
+
+def _words_sql(alias, key, condition):
+    fields = ", ".join(f"k{n}: {expression}" for n, expression in enumerate(key))
+    return f"""list_sort(list_transform(list_filter(range(1, len(w) + 1), lambda i: {condition}),
+     lambda i: {{{fields}, p: i - 1, word: {WORD_OR_NULL if alias == "a" else "w[i]"}, size: length(w[i])}})) AS {alias}"""
+
+
+WORD_OR_NULL = "CASE WHEN length(w[i]) > 1 THEN w[i] END"
+
+
 @query(
     "nest_documents",
-    f"""{BY_WORD_SQL}
-       SELECT doc_id, source, lang, number AS paragraph_number, size AS paragraph_size, {slots_sql()}
-       FROM sorted""",
+    f"""WITH {LINES_SQL},
+ arrays AS (SELECT doc_id, source, lang, number, line, w,
+   {_words_sql("a", [NAMED, WORD, "-length(w[i])"], "w[i] <> ''")},
+   {_words_sql("t", ["w[i]"], f"length(w[i]) >= {LONG_WORD}")},
+   {_words_sql("d", ["length(w[i])"], "regexp_matches(w[i], '[,.]$')")}
+   FROM lines)
+       SELECT CAST(doc_id AS VARCHAR) AS duns, source AS "primaryName", lang AS "countryISOAlpha2Code",
+         number AS "currentPrincipals_number", left(line, 1) AS "currentPrincipals_gender_description",
+         CAST(len(w) AS INTEGER) AS "currentPrincipals_gender_dnbCode",
+ {principals_slots_sql()}
+       FROM arrays""",
 )
 def nest_documents(spark, sf_dir):
-    specs = [
-        ArraySpec("paragraph_remarks", BY_WORD, {"word": numbered("remark", 3)}),
-        words_spec("paragraph_words", BY_WORD),
-    ]
-    return flatten_documents(
-        nested_documents(spark, sf_dir), HEADER, PARAGRAPHS, "paragraph", specs, computed=True
+    path = stored_once(
+        spark,
+        f"{sf_dir.rstrip('/')}/documents.parquet",
+        "principals",
+        lambda path: write_json_arrays(principal_documents(spark, sf_dir), path),
     )
+    specs = principals.simple_specs()
+    declared = T.StructType.fromDDL(PRINCIPALS_DDL)
+    used = used_paths(declared, principals.HEADER, principals.PRINCIPALS, "currentPrincipals", specs)
+    schema = pruned_schema(declared, [x for x in used if x != f"{principals.PRINCIPALS}.text"])
+    documents = read_json(spark, path, schema, multiLine=True, mode="FAILFAST")
+    return principals.flatten_principals(documents, specs)

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from corbel.operators.joins import anti_join
 from corbel.operators.layout import rebalanced
+from corbel.plans.nested import LINES_SQL, stored_documents
 from corbel.plans.registry import query
 from corbel.plans.tables import nullable_events, table, with_evn
 from corbel.sources.catalog import create_database, database, save_table, transfer_tables
@@ -26,16 +27,22 @@ from corbel.sources.readers import (
     read_format,
     read_json,
     read_text,
+    split_damaged,
     strict,
 )
+from corbel.sources.records import bind_record
 from corbel.sources.scratch import scratch_path
 from corbel.sources.writers import (
+    replace_partitions,
     write_csv,
     write_default,
     write_json,
+    write_json_arrays,
     write_parquet,
+    write_partitioned,
     write_partitions,
     write_text,
+    written_files,
 )
 
 EVENT_SCHEMA = "event_id BIGINT, genre STRING, rating DOUBLE, score BIGINT"
@@ -57,6 +64,45 @@ def src_json_schema(spark, sf_dir):
     return read_format(spark, "json", EVENT_SCHEMA, **strict({"path": path}))
 
 
+# Every 17th line is cut short, every 19th has a text where a number belongs.
+DAMAGED_SQL = """CASE WHEN event_id % 17 = 0 THEN concat('{"event_id":', event_id, ',"gen')
+    WHEN event_id % 19 = 0 THEN concat('{"event_id":"no. ', event_id, '"}') END"""
+
+
+def damaged_lines(spark, sf_dir):
+    """Good events and damaged lines, read once from one JSON file set."""
+    path = scratch_path(spark, "json-damaged")
+    whole = F.to_json(F.struct("event_id", "genre", "rating", "score"))
+    line = F.coalesce(F.expr(DAMAGED_SQL), whole)
+    write_text(nullable_events(spark, sf_dir).select(line.alias("value")), path)
+    return split_damaged(spark, "json", path, T.StructType.fromDDL(EVENT_SCHEMA))
+
+
+@query(
+    "src_json_quarantine",
+    with_evn(f"""SELECT event_id, genre, rating, score, NULL AS line FROM evn
+       WHERE event_id % 17 <> 0 AND event_id % 19 <> 0
+       UNION ALL SELECT NULL, NULL, NULL, NULL, {DAMAGED_SQL} FROM evn
+       WHERE event_id % 17 = 0 OR event_id % 19 = 0"""),
+)
+def src_json_quarantine(spark, sf_dir):
+    good, damaged = damaged_lines(spark, sf_dir)
+    return good.unionByName(damaged, allowMissingColumns=True)
+
+
+@query(
+    "src_json_quarantine_counts",
+    """SELECT count(*) FILTER (event_id % 17 <> 0 AND event_id % 19 <> 0) AS good,
+         count(*) FILTER (event_id % 17 = 0 OR event_id % 19 = 0) AS damaged FROM events""",
+)
+def src_json_quarantine_counts(spark, sf_dir):
+    good, damaged = damaged_lines(spark, sf_dir)
+    kinds = good.select(F.lit(1).alias("good")).unionByName(
+        damaged.select(F.lit(1).alias("damaged")), allowMissingColumns=True
+    )
+    return kinds.agg(F.count("good").alias("good"), F.count("damaged").alias("damaged"))
+
+
 @query("src_json_flags", f"SELECT o_orderkey, {DAY_SQL} AS day FROM orders")
 def src_json_flags(spark, sf_dir):
     path = scratch_path(spark, "json-flags")
@@ -69,19 +115,9 @@ def src_json_flags(spark, sf_dir):
 
 @query("src_json_multiline", CUSTOMER_SQL)
 def src_json_multiline(spark, sf_dir):
-    # One indented JSON array per file, each of the rows that one task holds
-    # once these are dealt out by bytes (``advisoryPartitionSizeInBytes``).
     path = scratch_path(spark, "json-multiline")
     customer = table(spark, sf_dir, "customer")
-    items = F.to_json(F.struct(*customer.columns), {"pretty": "true"}).alias("item")
-    arrays = (
-        rebalanced(customer.select(items))
-        .withColumn("file", F.spark_partition_id())
-        .groupBy("file")
-        .agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("item"), ",\n"), F.lit("\n]")).alias("value"))
-        .select("value")
-    )
-    write_text(arrays, path, maxRecordsPerFile=1)
+    write_json_arrays(customer, path, pretty=True)
     return read_json(spark, path, customer.schema, multiLine=True)
 
 
@@ -182,6 +218,38 @@ def typed_schema(spark, sf_dir):
     return conform(table(spark, sf_dir, "customer"), record)
 
 
+NESTED_RECORD = """enriched struct<document: struct<
+  lang: string, doc_id: bigint NOT NULL,
+  paragraphs: array<struct<
+    size: bigint, number: bigint NOT NULL, words: array<struct<place: struct<rank: bigint NOT NULL>, size: double>>>
+  > NOT NULL>> NOT NULL"""
+
+
+@query(
+    "typed_schema_nested",
+    f"""WITH {LINES_SQL},
+ sized AS (SELECT doc_id, lang, number, length(line) AS size,
+   list_filter(range(1, len(w) + 1), lambda i: w[i] <> '') AS places FROM lines)
+       SELECT doc_id, lang, count(*) AS paragraphs, CAST(sum(size) AS BIGINT) AS sizes,
+         CAST(sum(coalesce(list_sum(places), 0)) AS BIGINT) AS ranks FROM sized GROUP BY doc_id, lang""",
+)
+def typed_schema_nested(spark, sf_dir):
+    # As read from files every field may be null; the record says which may not.
+    record = T.StructType.fromDDL(NESTED_RECORD)
+    bound = bind_record(stored_documents(spark, sf_dir), record).select("enriched.document.*")
+    sizes = F.aggregate("paragraphs", F.lit(0).cast("bigint"), lambda total, x: total + x["size"])
+    ranks = F.flatten(
+        F.transform("paragraphs", lambda x: F.transform(F.array_compact(x["words"]), lambda y: y["place"]["rank"]))
+    )
+    return bound.select(
+        "doc_id",
+        "lang",
+        F.size("paragraphs").cast("bigint").alias("paragraphs"),
+        sizes.alias("sizes"),
+        F.aggregate(ranks, F.lit(0).cast("bigint"), lambda total, x: total + x).alias("ranks"),
+    )
+
+
 @query("sink_parquet", CUSTOMER_SQL)
 def sink_parquet(spark, sf_dir):
     path = scratch_path(spark, "parquet")
@@ -206,25 +274,55 @@ def sink_tsv(spark, sf_dir):
 
 @query(
     "sink_partitioned",
-    """SELECT o_orderkey, o_totalprice, layout FROM orders,
-         (VALUES ('shuffled'), ('merged'), ('measured')) AS layouts(layout)""",
+    """SELECT layout, files, count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS keys
+       FROM orders, (VALUES ('shuffled', 30::BIGINT), ('merged', 15::BIGINT), ('measured', 1::BIGINT))
+         AS layouts(layout, files) GROUP BY ALL""",
 )
 def sink_partitioned(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    many = int(spark.conf.get("corbel.files.shuffled", "30"))
+    fewer = int(spark.conf.get("corbel.files.merged", "15"))
     # Numbers of files that the caller sets, and files of the advisory size.
     layouts = {
-        "shuffled": {"partitions": int(spark.conf.get("corbel.files.shuffled", "30"))},
-        "merged": {"partitions": int(spark.conf.get("corbel.files.merged", "15")), "shuffle": False},
-        "measured": {},
+        "shuffled": (orders, {"partitions": many}),
+        "merged": (orders.repartition(many), {"partitions": fewer, "shuffle": False}),
+        "measured": (orders, {}),
     }
     parts = []
-    for name, settings in layouts.items():
+    for name, (frame, settings) in layouts.items():
         path = scratch_path(spark, name)
-        write_partitions(orders, path, **settings)
-        parts.append(spark.read.parquet(path).withColumn("layout", F.lit(name)))
+        write_partitions(frame, path, **settings)
+        files = written_files(spark, path, F.sum("o_orderkey").alias("keys"))
+        totals = files.agg(
+            F.count("*").alias("files"), F.sum("rows").alias("rows"), F.sum("keys").alias("keys")
+        )
+        parts.append(totals.withColumn("layout", F.lit(name)))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query(
+    "sink_save_modes",
+    """SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus <> 'O'
+       UNION ALL SELECT -o_orderkey, o_totalprice, o_orderstatus FROM orders
+         WHERE o_orderstatus = 'F' AND o_totalprice > 200000
+       UNION ALL SELECT o_orderkey, 0.0, o_orderstatus FROM orders
+         WHERE o_orderstatus = 'O' AND o_orderkey % 2 = 0""",
+)
+def sink_save_modes(spark, sf_dir):
+    path = scratch_path(spark, "modes") + "/orders"
+    by = ["o_orderstatus"]
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", *by)
+    write_partitioned(orders, path, by, mode="error")
+    dear = orders.filter("o_orderstatus = 'F' AND o_totalprice > 200000")
+    write_partitioned(dear.withColumn("o_orderkey", -F.col("o_orderkey")), path, by, mode="append")
+    # The folder exists: nothing is written.
+    write_partitioned(orders, path, by, mode="ignore")
+    # One folder is replaced, the others stay.
+    even = orders.filter("o_orderstatus = 'O' AND o_orderkey % 2 = 0")
+    replace_partitions(even.withColumn("o_totalprice", F.lit(0.0)), path, by)
+    return spark.read.schema(orders.schema).parquet(path)
+
+
 @contextmanager
 def _own_database(spark):
     """A new database for a block, dropped afterwards with its tables."""

@@ -9,8 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corbel.functions.paths import column_at
+from corbel.sources.scratch import scratch_path
+
 Schema = T.StructType | str
 Loader = Callable[[str], DataFrame]
 
@@ -58,6 +62,27 @@ def quarantine(schema: T.StructType, column: str = "_corrupt_record") -> tuple[T
     return T.StructType(fields), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": column}
 
 
+def split_damaged(
+    spark: SparkSession, kind: str, path: str, schema: T.StructType, **options
+) -> tuple[DataFrame, DataFrame]:
+    """Rows that fit the schema, and the others as text (``line``), from one read.
+
+    A parser looks only at the fields that a query asks for, so what counts as damaged would
+    change from query to query, and a count would parse nothing. The files are therefore
+    parsed once, with every field, and stored by outcome; both frames read that.
+    """
+    column = "__line"
+    whole, modes = quarantine(schema, column)
+    parsed = read_format(spark, kind, whole, **{**options, **modes, "path": path})
+    stored = scratch_path(spark, "parsed")
+    damaged = column_at([column]).isNotNull()
+    parsed.withColumn("__damaged", damaged).write.mode("overwrite").partitionBy("__damaged").parquet(stored)
+    fields = T.StructType([*whole.fields, T.StructField("__damaged", T.BooleanType())])
+    kept = spark.read.schema(fields).parquet(stored)
+    good = kept.filter(~F.col("__damaged")).select(*[column_at([name]) for name in schema.names])
+    return good, kept.filter("__damaged").select(F.col(column).alias("line"))
+
+
 def jdbc_options(
     url: str,
     table: str,

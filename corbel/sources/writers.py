@@ -5,9 +5,10 @@ Save modes are Spark's: ``overwrite``, ``append``, ``ignore``, ``error``.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from corbel.operators.layout import rebalanced
 
@@ -27,6 +28,23 @@ def write_text(df: DataFrame, path: str, mode: str = "overwrite", **options) ->
     df.write.mode(mode).options(**options).text(path)
 
 
+def write_json_arrays(df: DataFrame, path: str, pretty: bool = False) -> None:
+    """JSON arrays, one for each file: what ``multiLine`` reads.
+
+    A file cannot be split when it is read, so it holds what one partition does once the
+    rows' JSON is dealt out by bytes (``advisoryPartitionSizeInBytes``).
+    """
+    items = F.to_json(F.struct(*df.columns), {"pretty": str(pretty).lower()}).alias("item")
+    arrays = (
+        rebalanced(df.select(items))
+        .withColumn("file", F.spark_partition_id())
+        .groupBy("file")
+        .agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("item"), ",\n"), F.lit("\n]")).alias("value"))
+        .select("value")
+    )
+    write_text(arrays, path, maxRecordsPerFile=1)
+
+
 def write_parquet(
     df: DataFrame, path: str, mode: str = "overwrite", compression: str = "snappy"
 ) -> None:
@@ -56,6 +74,27 @@ def write_partitions(
     write_parquet(df, path, mode)
 
 
+def write_partitioned(
+    df: DataFrame, path: str, by: Sequence[str], mode: str = "overwrite"
+) -> None:
+    """Parquet in a folder for each value of the columns ``by``, whole or in addition."""
+    df.write.mode(mode).partitionBy(*by).parquet(path)
+
+
+def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
+    """Only the folders that ``df`` has rows for are overwritten, whatever the session says."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+
+
+def written_files(spark: SparkSession, path: str, *aggregates: Column) -> DataFrame:
+    """``file`` and ``rows`` of the Parquet files below a folder, and aggregates of each.
+
+    Files are told apart by the hidden ``_metadata`` column; without aggregates no column is read.
+    """
+    files = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("file"))
+    return files.agg(F.count("*").alias("rows"), *aggregates)
+
+
 def write_jdbc(
     df: DataFrame, options: Mapping[str, str], mode: str = "error",
     connections: int | None = None, batch_rows: int = 10_000,

@@ -6,10 +6,14 @@ from pyspark.sql import functions as F
 from corbel.operators.aggregates import (
     collect_groups,
     corr_with_zeros,
+    distinct_sketches,
     integer_mean,
     latest_per_key,
     least_row,
+    merged_distinct,
 )
+from corbel.plans.catalogue import QUERIES
+from corbel.plans.tables import table
 from tests.conftest import rows
 
 
@@ -90,3 +94,26 @@ def test_names_with_dots(spark):
 def test_group_members_are_sorted(spark):
     df = spark.createDataFrame([(1, 3), (1, 1), (1, 2)], "k int, v int")
     assert [m.v for m in collect_groups(df, ["k"], ["v"], F.col("v")).first().members] == [1, 2, 3]
+
+
+def test_merged_sketches_are_close(spark):
+    """Sketches merged over groups estimate the distinct values of all, within three errors."""
+    df = spark.range(200_000).selectExpr(
+        "id % 7 AS store", "id % 3 AS shop", "IF(id % 11 = 0, NULL, id % 60000) AS v", "id % 100 AS w"
+    )
+    stored = distinct_sketches(df, ["store", "shop"], ["v", "w"])
+    whole = merged_distinct(stored, [], ["v", "w"]).first()
+    exact = df.agg(F.count_distinct("v"), F.count_distinct("w")).first()
+    assert abs(whole.v - exact[0]) <= 3 * 0.8 / 64 * exact[0] and whole.w == exact[1]
+    by_store = merged_distinct(stored, ["store"], ["w"])
+    assert by_store.columns == ["store", "w"] and rows(by_store) == [(n, 100) for n in range(7)]
+    assert merged_distinct(distinct_sketches(df.limit(0), ["store"], ["v"]), ["store"], ["v"]).collect() == []
+
+
+@pytest.mark.parametrize("columns", [["l_partkey", "l_suppkey"]])
+def test_sketch_query_at_larger_scale(spark, columns):
+    sf_dir = "/root/testdata/sf0.1"
+    found = {row.l_returnflag: row for row in QUERIES["agg_sketch_distinct"](spark, sf_dir).collect()}
+    exact = table(spark, sf_dir, "lineitem").agg(*[F.count_distinct(x).alias(x) for x in columns]).first()
+    for column in columns:
+        assert abs(found[None][column] - exact[column]) <= 3 * 0.8 / 256 * exact[column] + 1

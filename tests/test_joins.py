@@ -18,8 +18,11 @@ from corbel.operators.joins import (
     top_rows,
     using_join,
 )
+from corbel.plans.catalogue import QUERIES
 from tests.conftest import plan_of, rows
 
+SF_DIR = "/root/testdata/sf0.001"
+
 
 @pytest.fixture(scope="module")
 def parcels(spark):
@@ -106,17 +109,58 @@ def test_outer_join_of_two_keys_with_one(spark):
     assert rows(outer_join(left, right, {"a": "x", "b": "x"}, "full")) == rows(wanted)
 
 
-def test_outer_join_shuffles_each_side_once(spark, skewed):
-    left, right = skewed
+def final_plan(spark, df):
+    """The plan as it ran with no broadcast."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        df = outer_join(left, right, {"lk": "rk"}, "full")
         executed = df._jdf.queryExecution().executedPlan()
         executed.execute().count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    final = executed.toString().split("== Initial Plan ==")[0]
-    assert final.count("ReusedExchange") == 2
+    return executed.toString().split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize("name", ["join_full", "join_pairs_outer"])
+def test_outer_join_shuffles_each_side_once(spark, name):
+    """Each side is read once whole and once for its keys; the keys are aggregated once."""
+    plan = final_plan(spark, QUERIES[name](spark, SF_DIR))
+    assert plan.count("FileScan parquet") == 4
+    assert plan.count("Exchange hashpartitioning") == 3 + plan.count("ReusedExchange")
+    assert plan.count("SortMergeJoin") == 1 and plan.count("ReusedExchange") == 1
+
+
+def test_left_join_reads_what_it_needs(spark):
+    plan = final_plan(spark, QUERIES["join_left"](spark, SF_DIR))
+    assert plan.count("FileScan parquet") == 4 and "ReusedExchange" not in plan
+
+
+def test_full_membership_join_scans_and_shuffles(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(QUERIES["join_array_outer"](spark, SF_DIR))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("FileScan parquet") <= 5 and plan.count("Exchange hashpartitioning") <= 8
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+def test_outer_join_of_keys_with_maps_and_other_widths(spark):
+    """A row's map takes no part in its mark, and keys of other widths meet."""
+    left = spark.sql("SELECT * FROM VALUES (1, map('a', 1)), (NULL, map('b', 2)), (7, NULL) AS t(lk, m)")
+    right = spark.sql("SELECT * FROM VALUES (1L, 'x'), (1L, 'y'), (NULL, 'n'), (8L, 'z') AS t(rk, v)")
+    for how in ("left", "right", "full"):
+        wanted = left.join(right, left["lk"] == right["rk"], how)
+        assert rows(outer_join(left, right, {"lk": "rk"}, how)) == rows(wanted)
+
+
+@pytest.mark.parametrize("empty", ["left", "right", "both"])
+def test_outer_join_with_an_empty_side(skewed, empty):
+    left, right = skewed
+    left = left.limit(0) if empty in ("left", "both") else left
+    right = right.limit(0) if empty in ("right", "both") else right
+    for how in ("left", "right", "full"):
+        wanted = left.join(right, left["lk"] == right["rk"], how)
+        assert rows(outer_join(left, right, {"lk": "rk"}, how)) == rows(wanted)
 
 
 def test_join_on_two_keys_by_name(spark):

@@ -3,12 +3,14 @@
 import datetime as dt
 import json
 import random
+import re
 from functools import cmp_to_key
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corbel.functions.arrays import sort_structs
 from corbel.operators.nested import (
@@ -19,14 +21,25 @@ from corbel.operators.nested import (
     numbered,
     pivot_arrays,
     project_paths,
+    pruned_schema,
     rename_display,
     select_accepted,
     specs_from_maps,
+    used_paths,
+)
+from corbel.plans.catalogue import QUERIES
+from corbel.plans.nested import PRINCIPALS_DDL
+from corbel.plans.principals import (
+    HEADER,
+    PRINCIPALS,
+    complex_specs,
+    flatten_principals,
+    simple_specs,
 )
-from corbel.plans.principals import complex_specs, flatten_principals, simple_specs
 from corbel.sources.readers import read_json
-from tests.conftest import plan_of
+from tests.conftest import plan_of, rows
 
+SF_DIR = "/root/testdata/sf0.001"
 ITEMS = "array<struct<k:string,d:string,n:int,day:date>>"
 
 
@@ -324,7 +337,8 @@ def test_flattening_is_one_stage_and_sorts_each_array_once(spark, tmp_path):
     path = principals_file(tmp_path, [[association("A", "2000", "1")]])
     plan = plan_of(flatten_principals(read_json(spark, path, multiLine=True), simple_specs()))
     assert "Exchange" not in plan
-    assert plan.count("array_sort(") == 1
+    # One array; its two text keys run in opposite directions, each sorted by once.
+    assert "array_sort(" not in plan and plan.count("sort_array(") == 2
 
 
 def test_flattening_runs_on_a_stream(spark, tmp_path):
@@ -339,3 +353,82 @@ def test_flattening_runs_on_a_stream(spark, tmp_path):
     finally:
         query.stop()
     assert found["currentprincipals_associations_duns_1"] == "7"
+
+
+# Reading only what is used
+
+
+def test_pruned_schema_reaches_through_structs_and_arrays():
+    schema = T.StructType.fromDDL(
+        "a STRUCT<b: ARRAY<ARRAY<STRUCT<c: INT, d: STRUCT<e: INT, f: INT>>>>, g: INT>, h MAP<STRING, INT>, i INT"
+    )
+    assert pruned_schema(schema, ["h", "a.b.d.f"]) == T.StructType.fromDDL(
+        "a STRUCT<b: ARRAY<ARRAY<STRUCT<d: STRUCT<f: INT>>>>>, h MAP<STRING, INT>"
+    )
+    assert pruned_schema(schema, ["a.b.c", "a"]) == T.StructType([schema["a"]])
+    for path in ("x", "a.x", "a.b.d.x", "i.x", "h.x"):
+        with pytest.raises(ValueError):
+            pruned_schema(schema, [path])
+
+
+def test_used_paths_leave_out_what_is_dropped():
+    schema = T.StructType.fromDDL(
+        """top STRUCT<id: INT, big: STRING, people: ARRAY<STRUCT<
+             name: STRING, at: STRUCT<x: INT, y: INT>, tags: ARRAY<STRING>,
+             jobs: ARRAY<STRUCT<title: STRING, since: INT, pay: INT, place: STRUCT<city: STRING>>>,
+             notes: ARRAY<STRUCT<note: STRING>>>>>"""
+    )
+    specs = [
+        ArraySpec("p_jobs", [("since", "DESC")], {"place.city": numbered("city", 2)}),
+        ArraySpec("p_notes", [("note", "ASC")]),
+        ArraySpec("p_tags"),
+    ]
+    used = used_paths(schema, {"id": "top.id"}, "top.people", "p", specs)
+    assert used == [
+        "top.id", "top.people.name", "top.people.at.x", "top.people.at.y",
+        "top.people.jobs.since", "top.people.jobs.place.city",
+    ]
+    for array in ("top.id", "top.gone", "gone.people", "top.people.tags"):
+        with pytest.raises(ValueError):
+            used_paths(schema, {}, array, "p", specs)
+
+
+def test_pruned_documents_flatten_alike(spark, tmp_path):
+    """Skipping unused fields of the stored documents changes no column and no row."""
+    items = [association("B", "2001", "4", {"age": 1, "name": "x"}), association("A", "2000", "3")]
+    path = principals_file(tmp_path, [items, []])
+    declared = T.StructType.fromDDL(PRINCIPALS_DDL)
+    specs = simple_specs()
+    used = used_paths(declared, HEADER, PRINCIPALS, "currentPrincipals", specs)
+    pruned = pruned_schema(declared, used)
+    assert "person" not in pruned.simpleString() and "source_text" not in pruned.simpleString()
+    whole = flatten_principals(read_json(spark, path, declared, multiLine=True), specs)
+    less = flatten_principals(read_json(spark, path, pruned, multiLine=True), specs)
+    assert less.columns == whole.columns and rows(less) == rows(whole) != []
+
+
+@pytest.mark.parametrize(
+    "name, read, skipped",
+    [
+        ("nest_explode_base", ["number", "size", "lang"], ["words", "word", "remarks", "place"]),
+        ("nest_array_sort", ["number", "size", "word"], ["place", "lang", "remarks"]),
+        ("nest_array_comparator", ["number", "word"], ["place", "size", "remarks"]),
+        ("nest_array_pivot_nested", ["rank", "position"], ["size", "remarks", "lang"]),
+        ("nest_array_guard", ["remarks", "marks"], ["words", "word"]),
+        ("nest_documents", ["currentPrincipals", "startDate"], ["person", "source_text"]),
+    ],
+)
+def test_scans_read_only_the_fields_used(spark, name, read, skipped):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        plan = plan_of(QUERIES[name](spark, SF_DIR))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    schema = plan.split("ReadSchema: ")[1].split("\n")[0]
+    fields = set(re.findall(r"(\w+):", schema))
+    assert fields >= set(read) and not fields & set(skipped)
+
+
+def test_opposite_text_keys_need_no_comparator(spark):
+    plan = plan_of(QUERIES["nest_array_comparator"](spark, SF_DIR))
+    assert "array_sort(" not in plan and plan.count("sort_array(") == 2

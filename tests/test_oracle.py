@@ -36,4 +36,4 @@ def test_no_database_is_left(spark, name):
 
 def test_entry(spark):
     df = contract.entry(spark)
-    assert len(df.columns) == 5 + 63 and df.count() > 0
+    assert len(df.columns) == 3 + 3 + 63 + 3 + 9 and df.count() > 0

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from corbel.operators.layout import sort_total, stack
+from corbel.operators.layout import ranked, sort_total, stack
 from corbel.plans.catalogue import QUERIES
 from corbel.plans.tables import nullable_events, table
 from tests.conftest import plan_of, rows
@@ -56,6 +56,24 @@ def test_sorted_order(spark):
     assert sort_total(events, ["genre"], ["event_id"]).first().genre is None
 
 
+def test_places_of_a_total_order(spark):
+    """Places are those of one global sort, over many partitions and with ties."""
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("id"), (F.col("id") % 3).alias("same"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = ranked(df, [F.col("same").desc()], ["id"])
+        found = placed.collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    wanted = sorted((row.same, row.id) for row in found)
+    wanted.sort(key=lambda x: -x[0])
+    assert placed.columns == ["id", "same", "place"]
+    assert [(r.same, r.id) for r in sorted(found, key=lambda r: r.place)] == wanted
+    assert sorted(r.place for r in found) == list(range(1, 5001))
+    assert "Window" not in plan_of(placed) and "SinglePartition" not in plan_of(placed)
+    assert ranked(df.limit(0), ["id"], []).collect() == []
+
+
 def test_sort_spreads_a_hot_value(spark):
     df = spark.range(20000).select(F.lit(1).alias("same"), "id")
     sizes = sort_total(df, ["same"], ["id"]).groupBy(F.spark_partition_id()).count()

@@ -73,6 +73,19 @@ def test_membership(tables):
     assert hot_share(count) and "SortMergeJoin(skew=true)" in plan
 
 
+@pytest.mark.parametrize("how", ["left", "full"])
+def test_null_keys_are_dealt_out(tables, how):
+    """Two thirds of the keys are null: no task gets more than a few of the marks' rows."""
+    big, small = tables
+    bare = big.withColumn("bk", F.when(F.col("b") % 3 == 0, F.col("bk")))
+    found = outer_join(bare, small, {"bk": "sk"}, how)
+    count, plan = run(found.withColumn("task", F.spark_partition_id()))
+    sizes = found.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert sizes < count * 0.7
+    naive = bare.join(small, bare["bk"] == small["sk"], how)
+    assert count == naive.count() and "FullOuter" not in plan
+
+
 def test_groups(tables):
     big, _ = tables
     groups = collect_groups(big, ["bk"], ["b", "pad"], F.col("b"), width=5000)

@@ -22,17 +22,22 @@ from corbel.sources.readers import (
     read_jdbc,
     read_json,
     read_text,
+    split_damaged,
     strict,
 )
 from corbel.sources.writers import (
+    replace_partitions,
     write_csv,
     write_jdbc,
     write_json,
+    write_json_arrays,
     write_parquet,
+    write_partitioned,
     write_partitions,
     write_text,
+    written_files,
 )
-from tests.conftest import rows
+from tests.conftest import plan_of, rows
 
 CAR = T.StructType(
     [T.StructField("name", T.StringType()), T.StructField("power", T.LongType())]
@@ -56,6 +61,29 @@ def test_failfast_and_quarantine(spark, broken):
     assert [row._corrupt_record for row in found] == [None, '{"name": "b", "pow']
 
 
+def test_damaged_lines_are_split_once(spark, tmp_path):
+    """Counts and single columns see the same damage as whole rows do."""
+    path = tmp_path / "cars.json"
+    lines = ['{"name": "a", "power": 1}', '{"name": "b", "pow', '{"name": "c", "power": "many"}',
+             '{"name": "d"}', "7", '{"name": null, "power": 5, "more": 1}']
+    path.write_text("\n".join(lines) + "\n")
+    good, damaged = split_damaged(spark, "json", str(path), CAR)
+    assert good.schema == CAR
+    assert rows(good) == sorted([("a", 1), ("d", None), (None, 5)], key=repr)
+    assert sorted(row.line for row in damaged.collect()) == sorted([lines[1], lines[2], lines[4]])
+    assert good.count() == 3 and damaged.count() == 3 and len(rows(good.select("name"))) == 3
+    path.write_text("")
+    good, damaged = split_damaged(spark, "json", str(path), CAR)
+    assert good.collect() == [] and damaged.collect() == []
+
+
+def test_damaged_csv(spark, tmp_path):
+    path = tmp_path / "cars.csv"
+    path.write_text("name,power\na,1\nb,x\n")
+    good, damaged = split_damaged(spark, "csv", str(path), CAR, header=True)
+    assert rows(good) == [("a", 1)] and [row.line for row in damaged.collect()] == ["b,x"]
+
+
 def test_borrowed_schema_and_inference(spark, tmp_path):
     path = str(tmp_path / "cars")
     write_json(spark.createDataFrame([("z", 3, None)], "name string, power long, nothing string"), path)
@@ -109,6 +137,57 @@ def test_save_modes(spark, tmp_path):
     assert glob.glob(f"{path}/*.snappy.parquet")
 
 
+def test_single_partitions_are_replaced(spark, tmp_path):
+    path = str(tmp_path / "parts")
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b")], "n int, kind string")
+    write_partitioned(df, path, ["kind"])
+    write_partitioned(df.filter("n = 3"), path, ["kind"], mode="append")
+    replace_partitions(spark.createDataFrame([(9, "a"), (8, "c")], df.schema), path, ["kind"])
+    found = spark.read.schema(df.schema).parquet(path)
+    assert rows(found) == [(2, "b"), (3, "b"), (3, "b"), (8, "c"), (9, "a")]
+    replace_partitions(df.limit(0), path, ["kind"])
+    assert found.count() == 5
+    write_partitioned(df.limit(1), path, ["kind"])
+    assert rows(spark.read.schema(df.schema).parquet(path)) == [(1, "a")]
+
+
+def test_written_files(spark, tmp_path):
+    path = str(tmp_path / "files")
+    write_partitions(spark.range(0, 300, numPartitions=4), path, 3)
+    found = written_files(spark, path)
+    assert found.columns == ["file", "rows"] and found.count() == files(path) == 3
+    assert found.agg({"rows": "sum"}).first()[0] == 300
+    assert "ReadSchema: struct<>" in plan_of(found)
+
+
+def test_json_arrays(spark, tmp_path):
+    df = spark.createDataFrame([(n, [f"{n}\n", None]) for n in range(500)], "n long, texts array<string>")
+    for pretty in (False, True):
+        path = str(tmp_path / f"arrays{pretty}")
+        write_json_arrays(df, path, pretty)
+        assert rows(read_json(spark, path, df.schema, multiLine=True)) == rows(df)
+
+
+def test_stored_once(spark, tmp_path):
+    """A fixture is written once, again when its source changes or it is gone."""
+    import shutil
+
+    source, made = tmp_path / "source.txt", []
+    source.write_text("one")
+
+    def write(path):
+        made.append(path)
+        spark.range(1).write.mode("overwrite").parquet(path)
+
+    first = scratch.stored_once(spark, str(source), "fixture", write)
+    assert scratch.stored_once(spark, str(source), "fixture", write) == first
+    source.write_text("longer")
+    second = scratch.stored_once(spark, str(source), "fixture", write)
+    assert second != first and made == [first, second]
+    shutil.rmtree(second.removeprefix("file://"))
+    assert scratch.stored_once(spark, str(source), "fixture", write) not in (first, second)
+
+
 def files(path):
     return len(glob.glob(os.path.join(path, "part-*")))
 
