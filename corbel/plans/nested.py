@@ -274,7 +274,7 @@ PRINCIPALS_DDL = """enriched struct<
   organization: struct<
     duns: string, primaryName: string, countryISOAlpha2Code: string,
     currentPrincipals: array<struct<
-      number: int, text: string, gender: struct<description: string, dnbCode: int>,
+      number: int, gender: struct<description: string, dnbCode: int>,
       associations: array<struct<
         primaryName: string, duns: string, startDate: string,
         person: struct<name: string, age: int>>>,
@@ -292,7 +292,9 @@ def _principal(line, number):
 
     def association(text, position):
         size = F.length(text)
-        person = F.struct(F.left(text, F.lit(1)).alias("name"), size.alias("age"))
+        person = F.when(
+            size >= LONG_WORD, F.struct(F.left(text, F.lit(1)).alias("name"), size.alias("age"))
+        )
         return F.when(
             size > 0,
             F.struct(
@@ -318,7 +320,6 @@ def _principal(line, number):
     gender = F.struct(F.left(line, F.lit(1)).alias("description"), F.size(words).alias("dnbCode"))
     return F.struct(
         number.alias("number"),
-        line.alias("text"),
         gender.alias("gender"),
         F.transform(words, association).alias("associations"),
         acts.alias("disqualifications"),
@@ -390,6 +391,7 @@ def nest_documents(spark, sf_dir):
     specs = principals.simple_specs()
     declared = T.StructType.fromDDL(PRINCIPALS_DDL)
     used = used_paths(declared, principals.HEADER, principals.PRINCIPALS, "currentPrincipals", specs)
-    schema = pruned_schema(declared, [x for x in used if x != f"{principals.PRINCIPALS}.text"])
-    documents = read_json(spark, path, schema, multiLine=True, mode="FAILFAST")
+    documents = read_json(
+        spark, path, pruned_schema(declared, used), multiLine=True, mode="FAILFAST"
+    )
     return principals.flatten_principals(documents, specs)
