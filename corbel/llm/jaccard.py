@@ -351,6 +351,24 @@ def group_documents(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     )
 
 
+def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Exactly one row of each group of near copies, with all its columns, and every row in none.
+
+    Rows are told apart by a number written beforehand, so keys may be null, repeat, or stand
+    on different texts. The row with the smallest key stays (null after all others), the
+    first written one of equal keys. Rows without words are in no group and stay; an empty
+    table gives no row.
+    """
+    names = {name.lower() for name in df.columns}
+    number = next(x for x in ("row", *(f"row_{i}" for i in range(len(names) + 1))) if x not in names)
+    rows = settle(df.withColumn(number, F.monotonically_increasing_id()), "jaccard-rows")
+    groups = group_documents(rows, number, text).select(F.col(number).alias("own"), "component_id")
+    keys = rows.select(F.col(number).alias("own"), quoted(key).alias("key"))
+    first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "own")).alias("first")
+    kept = groups.join(keys, "own").groupBy("component_id").agg(first).select(F.col("first.own").alias("own"))
+    return rows.join(kept, F.col(number) == F.col("own"), "left_semi").drop(number)
+
+
 def sketch(elements: np.ndarray, size: int) -> bytes:
     """Parities of how many elements fall into each of some bins, a power of two by size band.
 

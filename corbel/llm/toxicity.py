@@ -14,11 +14,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corbel.llm.common import column, map_batches, quoted
+from corbel.llm.common import column, importable, map_batches, quoted, settle, slices
 from corbel.llm.shingles import LOWER
 
 SIZES = (3, 4, 5)
@@ -67,30 +68,15 @@ class Classifier:
         return 1 / (1 + np.exp(-np.clip(reach, -500, 500)))
 
 
-def fit(texts: list[np.ndarray], labels: np.ndarray) -> Classifier:
-    """Classifier of texts given by their features; labels are 0 and 1."""
-    total, ones = len(labels), int(labels.sum())
-    none = np.zeros(BUCKETS, np.float32)
-    if not 0 < ones < total:
-        # Nothing to tell apart: every text is as likely as the labels say.
-        rate = ones / total if total else 0.0
-        return Classifier(none, 500.0 if rate else -500.0)
-    with_one, with_any = np.zeros(BUCKETS, np.int32), np.zeros(BUCKETS, np.int32)
-    for found, label in zip(texts, labels):
-        with_any[found] += 1
-        with_one[found] += int(label)
-    with_none = with_any - with_one
-    ratio = np.log((with_one + 1) / (ones + 2)) - np.log((with_none + 1) / (total - ones + 2))
-    known = (with_any >= LEAST_TEXTS) & (np.abs(ratio) >= LEAST_RATIO)
-    place = (np.cumsum(known) - 1).astype(np.int32)
-    kept = [place[found[known[found]]] for found in texts]
-    sizes = [len(x) for x in kept]
-    index = np.concatenate(kept)
+def fit(index: np.ndarray, sizes: np.ndarray, labels: np.ndarray, ratio: np.ndarray):
+    """Weights of the features and the intercept, for texts whose features lie end to end.
+
+    ``index`` numbers each text's features (``sizes`` of them), ``ratio`` scales them;
+    labels are 0 and 1, and both occur.
+    """
+    total, ones, count = len(labels), int(labels.sum()), len(ratio)
     text = np.repeat(np.arange(total, dtype=np.int32), sizes)
-    del kept
-    ratio = ratio[known]
     parts = [slice(at, at + STEP) for at in range(0, len(index), STEP)]
-    count = len(ratio)
     # Gradient steps with running means of the gradient and of its square.
     weights, bias = np.zeros(count), np.log(ones / (total - ones))
     mean, square = np.zeros(count + 1), np.zeros(count + 1)
@@ -106,8 +92,12 @@ def fit(texts: list[np.ndarray], labels: np.ndarray) -> Classifier:
         square = 0.99 * square + 0.01 * slope**2
         move = RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
         weights, bias = weights - move[:-1], bias - move[-1]
-    none[known] = ratio * weights
-    return Classifier(none, float(bias))
+    return ratio * weights, float(bias)
+
+
+def _constant(rate: float) -> Classifier:
+    """Nothing to tell apart: every text is as likely as the labels say."""
+    return Classifier(np.zeros(BUCKETS, np.float32), 500.0 if rate else -500.0)
 
 
 def train(
@@ -117,43 +107,100 @@ def train(
     """Fit to at most ``sample`` rows of ``labels`` (``key``, ``label``) and their texts in ``df``.
 
     Labels other than 0 and 1 and null keys are left out; a key labelled twice counts
-    with its larger label. Texts of the sample never meet in a task; their features
-    come to the driver, a few kilobytes each.
+    with its larger label. The sample's share of label 1 is not the labels' own, so the
+    intercept is moved by the difference of their odds: scores mean the same however many
+    rows are labelled. N-grams are counted in Spark; only those often enough and
+    telling enough are taken from the sample's texts, and these numbers, at most four
+    bytes for each of ``BUCKETS`` and row, come to the driver.
     """
-    known = (
+    importable(df.sparkSession)
+    known = settle(
         labels.where(quoted(label).isin(0, 1) & quoted(key).isNotNull())
         .groupBy(quoted(key).alias("key"))
-        .agg(F.max(quoted(label)).cast("int").alias("label"))
+        .agg(F.max(quoted(label)).cast("int").alias("label")),
+        "labels",
     )
+    marked = {row["label"]: row["count"] for row in known.groupBy("label").count().collect()}
+    most = {1: sample // 3, 0: sample - sample // 3}
 
-    def first(value: int, rows: int) -> DataFrame:
-        return known.where(F.col("label") == value).orderBy(F.xxhash64("key"), "key").limit(rows)
+    def first(value: int) -> DataFrame:
+        return known.where(F.col("label") == value).orderBy(F.xxhash64("key"), "key").limit(most[value])
 
-    chosen = first(1, sample // 3).unionByName(first(0, sample - sample // 3))
     # Bounded by ``sample``.
-    labelled = df.select(quoted(key).alias("key"), quoted(text).alias("text")).join(
-        F.broadcast(chosen), "key"
+    chosen = F.broadcast(first(1).unionByName(first(0)))
+    texts = df.select(quoted(key).alias("key"), quoted(text).alias("text")).join(chosen, "key")
+    rows = settle(_with_features(texts.select("label", "text")), "labelled-features")
+    counts = {row["label"]: row["count"] for row in rows.groupBy("label").count().collect()}
+    ones, zeros = counts.get(1, 0), counts.get(0, 0)
+    if not ones or not zeros:
+        return _constant(ones / (ones + zeros) if ones + zeros else 0.0)
+    bucket, ratio = _telling(rows, ones, zeros)
+    index, sizes, marks = _taken(rows, bucket)
+    weights, bias = fit(index, sizes, marks, ratio)
+    sampled = min(marked[1], most[1]) / min(marked[0], most[0])
+    made = np.zeros(BUCKETS, np.float32)
+    made[bucket] = weights
+    return Classifier(made, bias - float(np.log(sampled * marked[0] / marked[1])))
+
+
+def _with_features(texts: DataFrame) -> DataFrame:
+    """``label`` and ``features`` (buckets) of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            found = [features(x.as_py()) for x in column(batch, "text")]
+            offsets = np.concatenate([np.zeros(1, np.int64), np.cumsum([len(x) for x in found])])
+            lists = pa.ListArray.from_arrays(
+                pa.array(offsets, pa.int32()), pa.array(np.concatenate(found).astype(np.int32))
+            )
+            yield pa.RecordBatch.from_arrays(
+                [column(batch, "label"), lists], names=["label", "features"]
+            )
+
+    return texts.mapInArrow(run, "label int, features array<int>")
+
+
+def _telling(rows: DataFrame, ones: int, zeros: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets that tell the labels apart, in order, and their log-count ratios."""
+    with_one, with_any = F.col("with_one"), F.col("with_any")
+    ratio = F.log((with_one + 1) / (ones + 2)) - F.log((with_any - with_one + 1) / (zeros + 2))
+    table = (
+        rows.select("label", F.explode("features").alias("bucket"))
+        .groupBy("bucket")
+        .agg(F.sum("label").alias("with_one"), F.count("*").alias("with_any"))
+        .select("bucket", "with_any", ratio.alias("ratio"))
+        .where((with_any >= LEAST_TEXTS) & (F.abs("ratio") >= LEAST_RATIO))
+        .select("bucket", "ratio")
+        .toArrow()
     )
+    bucket = table.column("bucket").to_numpy()
+    order = np.argsort(bucket)
+    return bucket[order], table.column("ratio").to_numpy()[order]
+
+
+def _taken(rows: DataFrame, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places in ``bucket`` of each row's features, their number for each row, and the labels."""
+    held = rows.sparkSession.sparkContext.broadcast(bucket)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = np.full(BUCKETS, -1, np.int32)
+        places[held.value] = np.arange(len(held.value), dtype=np.int32)
         for batch in batches:
-            found = [features(x.as_py()).tobytes() for x in column(batch, "text")]
+            found = [places[x.values.to_numpy()] for x in column(batch, "features")]
+            kept = [x[x >= 0].tobytes() for x in found]
             yield pa.RecordBatch.from_arrays(
-                [column(batch, "key"), column(batch, "label"), pa.array(found, pa.binary())],
-                names=["key", "label", "features"],
+                [column(batch, "label"), pa.array(kept, pa.binary())], names=["label", "places"]
             )
 
-    schema = T.StructType(
-        [
-            labelled.schema["key"],
-            T.StructField("label", T.IntegerType()),
-            T.StructField("features", T.BinaryType()),
-        ]
-    )
-    table = labelled.select("key", "label", "text").mapInArrow(run, schema).toArrow()
-    table = table.sort_by("key")
-    found = [np.frombuffer(x.as_buffer(), np.uint32) for x in table.column("features")]
-    return fit(found, table.column("label").to_numpy().astype(np.int64))
+    table = rows.mapInArrow(run, "label int, places binary").toArrow()
+    held.destroy()
+    # In one order, so that sums are the same in every run.
+    table = table.sort_by([("label", "ascending"), ("places", "ascending")]).combine_chunks()
+    joined = table.column("places").combine_chunks().cast(pa.large_binary())
+    sizes = pc.binary_length(joined).to_numpy() // 4
+    flat = joined.buffers()[2]
+    index = np.frombuffer(flat, np.int32) if flat else np.zeros(0, np.int32)
+    return index, sizes, table.column("label").to_numpy().astype(np.int64)
 
 
 def classify(df: DataFrame, classifier: Classifier, text: str = "text") -> DataFrame:

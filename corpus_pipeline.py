@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from corbel.llm import jaccard, outliers, toxicity
 from corbel.llm.common import read, settle
@@ -31,14 +30,8 @@ def drop_outliers(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one that gives the group its id.
-
-    Documents whose id is null belong to no group's name and stay.
-    """
-    groups = jaccard.group_documents(docs)
-    # Documents that go are few next to those that stay.
-    gone = groups.where("doc_id != component_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    """Exactly one row of each group of near copies, and every row in none, whatever their ids."""
+    return jaccard.one_of_each(docs).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -247,6 +247,35 @@ def test_toxicity_on_held_out_labels(spark):
     assert order > 0.95
 
 
+def test_scores_mean_the_same_however_many_rows_are_labelled(spark):
+    """A sample with far more of label 1 than the labels have does not move the cut at 0.5."""
+    rng = np.random.default_rng(5)
+    common = [f"word{i}" for i in range(60)]
+
+    def rows(first, count):
+        made = []
+        for i in range(first, first + count):
+            toxic = i % 20 == 0
+            # Both kinds share their words; some words are only likelier in one.
+            own = ["vile", "scum", "filth"] if toxic else ["kind", "calm", "fair"]
+            words = [*rng.choice(common, 12), *(x for x in own if rng.random() < 0.45)]
+            made.append((i, int(toxic), " ".join(words)))
+        return made
+
+    df = spark.createDataFrame(rows(0, 3000), "doc_id bigint, toxic int, text string")
+    test = spark.createDataFrame(rows(10_000, 2000), "doc_id bigint, toxic int, text string")
+    share = []
+    for sample in (100_000, 300):
+        model = toxicity.train(df.select("doc_id", "text"), df.select("doc_id", "toxic"), sample=sample)
+        found = toxicity.classify(test, model).groupBy().agg(
+            F.avg("score").alias("mean"),
+            F.avg(F.when(F.col("toxic") == 0, F.col("predicted"))).alias("false"),
+        ).first()
+        share.append(found)
+        # One text in twenty is toxic; a third of the smaller sample is.
+        assert 0.02 < found["mean"] < 0.11 and found["false"] < 0.04, share
+
+
 def test_odd_texts_and_labels(spark):
     rows = [(i, f"good words number {i}") for i in range(40)] + [(100 + i, f"vile scum {i}") for i in range(40)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
