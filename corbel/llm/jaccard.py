@@ -461,16 +461,41 @@ def tree(table: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return pairs[:, 0], pairs[:, 1]
 
 
+def met_before(key: int, keys: list[np.ndarray]) -> np.ndarray:
+    """Which pairs of members of a group also share another group of a smaller name (``keys``, in order)."""
+    count = len(keys)
+    smaller = [x[: np.searchsorted(x, key)] for x in keys]
+    owner = np.repeat(np.arange(count), [len(x) for x in smaller])
+    names, place, often = np.unique(np.concatenate(smaller), return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(often > 1)
+    if not len(shared):
+        return np.zeros((count, count), bool)
+    number = np.full(len(names), -1, np.int64)
+    number[shared] = np.arange(len(shared))
+    column_of = number[place]
+    together = np.zeros((count, count), bool)
+    for first in range(0, len(shared), BLOCK):
+        held = np.zeros((count, min(BLOCK, len(shared) - first)), np.float32)
+        some = (column_of >= first) & (column_of < first + BLOCK)
+        held[owner[some], column_of[some] - first] = 1
+        together |= held @ held.T > 0
+    return together
+
+
 def _candidates(
     members: DataFrame, nodes: DataFrame, parts: int, which: str
 ) -> DataFrame:
     """Pairs ``a`` < ``b`` of members of a group (``key``) that may link and are not connected yet.
 
     ``members`` have ``key``, ``node``, ``component``, and ``nodes`` ``n_shingles`` and
-    ``sketch`` of each ``node``. A large group is dealt into blocks and each two of these meet. ``apart`` is a bound on how far
-    the pair's sets are apart. ``which`` pairs are given: of a ``tree`` of near ones, each
-    member with its ``nearest``, or ``all``.
+    ``sketch`` of each ``node``. A large group is dealt into blocks and each two of these
+    meet. A pair is looked at in one group only, of those it shares the one of the smallest name, and
+    comes out of it once. ``apart`` is a bound on how far the pair's sets are
+    apart. ``which`` pairs are given: of a ``tree`` of near ones, each member with its
+    ``nearest``, or ``all``.
     """
+    own_keys = members.groupBy("node").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    nodes = nodes.join(own_keys, "node")
     sizes = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     met = (
@@ -482,7 +507,7 @@ def _candidates(
             F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("cell"),
             F.when(F.col("blocks") == 1, -1).when(F.col("block") == F.col("other"), -1)
             .otherwise(F.col("block")).alias("side"),
-            "node", "component", "n_shingles", "sketch",
+            "key", "keys", "node", "component", "n_shingles", "sketch",
         )
     )
 
@@ -496,6 +521,10 @@ def _candidates(
         table &= component[:, None] != component[None, :]
         if (side >= 0).any():
             table &= side[:, None] != side[None, :]
+        if which != TREE and table.any():  # there each node is in one group
+            keys = rows.column("keys").combine_chunks()
+            keys = [keys[i].values.to_numpy() for i in range(len(keys))]
+            table &= ~met_before(rows.column("key")[0].as_py(), keys)
         if which == ALL:
             i, j = np.nonzero(np.triu(table))
         elif which == TREE:

@@ -227,3 +227,38 @@ def test_vectors_in_crowded_cells(spark, monkeypatch):
     assert sum(found[k].n_links for k in found) >= 0.97 * sum(counts)
     assert all(found[k].n_links <= counts[k] for k in found)
     assert {k: r.component_id for k, r in found.items()} == named
+
+
+def test_a_pair_is_looked_at_in_one_of_its_groups():
+    """Of all groups that two members share, exactly the one of the smallest name has the pair."""
+    rng = np.random.default_rng(4)
+    groups = {int(key): rng.choice(40, rng.integers(2, 30), replace=False) for key in rng.integers(-9, 9**9, 60)}
+    keys = {n: np.sort([key for key, own in groups.items() if n in own]).astype(np.int64) for n in range(40)}
+    seen = {}
+    for key, own in groups.items():
+        before = jaccard.met_before(key, [keys[n] for n in own])
+        for i, j in zip(*np.nonzero(np.triu(~before, 1))):
+            pair = tuple(sorted((int(own[i]), int(own[j]))))
+            seen[pair] = seen.get(pair, 0) + 1
+    wanted = {
+        (a, b) for own in groups.values() for a in own.tolist() for b in own.tolist() if a < b
+    }
+    assert seen == dict.fromkeys(wanted, 1)
+
+
+def test_one_row_of_each_group_stays(spark):
+    """Rows are told apart, not ids: equal ids on different texts lose nothing, repeats go."""
+    a, b = "one two three four five six seven eight nine ten eleven twelve", "nothing like any other text here"
+    near = a + " thirteen"
+    rows = [
+        (3, a, "x"), (3, a, "y"), (7, near, "x"), (7, b, "x"), (None, b, "z"), (None, "", "x"),
+        (1, None, "x"), (1, None, "x"), (9, "?", "x"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, row string")
+    kept = jaccard.one_of_each(df)
+    assert kept.columns == df.columns
+    found = sorted((tuple(r) for r in kept.collect()), key=repr)
+    by_text = [(r[0], r[1]) for r in found]
+    assert (3, a) in by_text and (7, b) in by_text and len(found) == 6
+    assert by_text.count((1, None)) == 2 and (None, "") in by_text and (9, "?") in by_text
+    assert jaccard.one_of_each(df.limit(0)).collect() == []
