@@ -12,7 +12,6 @@ back the counts of its own pairs. A frequent pair is one row for each slice.
 
 from __future__ import annotations
 
-import base64
 import functools
 import hashlib
 from collections.abc import Iterator
@@ -28,6 +27,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from corbel.llm.common import column, importable, quoted, settle, slices
+from corbel.llm.tokens import byte_ranks
 
 #: Bytes of text in a slice; a longer text is one of its own.
 SLICE = 1 << 21
@@ -55,23 +55,9 @@ class Side:
 
 @functools.lru_cache(maxsize=2)
 def byte_side(path: str) -> Side:
-    """A byte-level vocabulary (``.tiktoken`` ranks beside the ``.json``); encodes a blank and the text.
-
-    The ranks and the splitting pattern give the ids of the ``.json`` file, whose special
-    strings are then plain text; ``tests/llm`` holds both against each other.
-    """
-    import public_tokenizers
-    import tiktoken
-
-    with open(path.removesuffix(".json") + ".tiktoken", "rb") as lines:
-        ranks = {base64.b64decode(unit): int(rank) for unit, rank in map(bytes.split, lines)}
-    coder = tiktoken.Encoding(
-        path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
-    )
-    units = [b""] * (max(ranks.values()) + 1)
-    for unit, rank in ranks.items():
-        units[rank] = unit
-    return Side(lambda texts: [coder.encode_ordinary(" " + x) for x in texts], units)
+    """A byte-level vocabulary, special strings as plain text; encodes a blank and the text."""
+    coder, units = byte_ranks(path)
+    return Side(lambda texts: [coder(" " + x) for x in texts], units)
 
 
 @functools.lru_cache(maxsize=2)

@@ -1,15 +1,16 @@
 """Token ids of whole texts by the ``tokenizers`` library, met piece by piece.
 
-Both vocabularies merge bytes only inside the pieces that their splitting
-pattern cuts from a text, and no piece reaches over white space that stands
-alone. A text is therefore cut at white space into chunks, a chunk not met
-before is cut into pieces, a piece not met before is encoded by the library,
-and a text's ids are its chunks' ids joined. ``tests/llm`` holds this against
-encoding whole texts.
+The vocabularies merge bytes only inside the pieces that their splitting
+pattern cuts from a text. Where white space is kept, whole texts are encoded by
+the vocabulary's ranks. Where it is dropped, a text is cut at white space into
+chunks, a chunk not met before is cut into pieces, a piece not met before is
+encoded, and a text's ids are its chunks' ids joined. ``tests/llm`` holds this
+against the library's own ids of whole texts.
 """
 
 from __future__ import annotations
 
+import base64
 import functools
 import os
 import re
@@ -44,10 +45,6 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-def _plain(text: str) -> str:
-    return text
-
-
 def _lowered(text: str) -> str:
     """NFC, then lower case letter by letter (a final sigma is no exception)."""
     if text.isascii():
@@ -60,30 +57,33 @@ def _lowered(text: str) -> str:
 #: A byte that prints stands for itself, the others are numbered from 256 on.
 _SHOWN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _HIDDEN = {x: 256 + i for i, x in enumerate(x for x in range(256) if x not in _SHOWN)}
+_LETTERS = {chr(_HIDDEN.get(x, x)): x for x in range(256)}
 
+#: A byte that no UTF-8 text has stands for the end of a word.
+_END, _WORD_END = b"\xff", "</w>"
 
-def _byte_letters(text: str) -> str:
-    """A text's UTF-8 bytes as a byte-level vocabulary writes them."""
-    if text.isascii() and text.isprintable():
-        return text.replace(" ", chr(_HIDDEN[0x20]))
-    return text.encode().decode("latin-1").translate(_HIDDEN)
 
+def _merger(library) -> Callable[[bytes], list[int]]:
+    """Ids of a word's bytes and :data:`_END`, for a byte-level vocabulary with word ends.
 
-#: White space after which a cut would fall inside a piece, and characters that Python alone
-#: takes for white space.
-_wide_space = re.compile(r"\s\s(?:\s|\Z)").search
-_NO_SPACE = "\x1c\x1d\x1e\x1f"
+    Its entries are numbered in the order of their merges, letters with a word end first, so
+    merging by rank gives what the library's model does; ``tests/llm`` holds both
+    against each other.
+    """
+    import tiktoken
 
+    ranks = {}
+    for unit, rank in library.get_vocab().items():
+        if rank not in library.get_added_tokens_decoder():
+            body = unit.removesuffix(_WORD_END)
+            end = _END if body != unit else b""
+            ranks[bytes(_LETTERS[x] for x in body) + end] = rank
+    coder = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})
+    return coder._core_bpe.encode_single_piece
 
-def spaced_chunks(text: str) -> list[str]:
-    """A text cut before blanks and line ends, where white space is kept.
 
-    A blank or line end begins a piece if a character beside it is not white
-    space; a text where that is not so everywhere is one chunk.
-    """
-    if "\0" in text or _wide_space(text):
-        return [text]
-    return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
+#: Characters that Python alone takes for white space.
+_NO_SPACE = "\x1c\x1d\x1e\x1f"
 
 
 def bare_chunks(text: str) -> list[str]:
@@ -111,11 +111,18 @@ class Remembered(dict):
         return made
 
 
+def _special_strings(library):
+    """Ids of the special strings as bytes, and a pattern that cuts a text around them."""
+    added = library.get_added_tokens_decoder()
+    specials = {x.content: np.uint16(i).tobytes() for i, x in added.items()}
+    return specials, regex.compile("(" + "|".join(regex.escape(x) for x in sorted(specials)) + ")")
+
+
 class PieceEncoder:
     """Ids of a text as bytes, little-endian unsigned 16-bit (both vocabularies are smaller).
 
-    Both vocabularies are byte-level. Pieces of Latin letters and ASCII go to the
-    library's model at once, others through all its steps.
+    Pieces of Latin letters and ASCII are merged by the vocabulary's ranks at once, others go
+    through all the library's steps.
     """
 
     def __init__(
@@ -126,14 +133,10 @@ class PieceEncoder:
         prepare: Callable[[str], str],
     ):
         self._library = tokenizer(path)
-        self._merge = self._library.model.tokenize
+        self._merge = _merger(self._library)
         self._find = regex.compile(pattern).findall
         self._cut, self._prepare = chunks, prepare
-        added = self._library.get_added_tokens_decoder()
-        self._specials = {x.content: np.uint16(i).tobytes() for i, x in added.items()}
-        self._split = regex.compile(
-            "(" + "|".join(regex.escape(x) for x in sorted(self._specials)) + ")"
-        )
+        self._specials, self._split = _special_strings(self._library)
         self._units = [np.uint16(i).tobytes() for i in range(self._library.get_vocab_size())]
         self._piece = Remembered(self._of_piece, CACHED_PIECES).__getitem__
         self._chunk = Remembered(self._of_chunk, CACHED_CHUNKS).__getitem__
@@ -155,15 +158,60 @@ class PieceEncoder:
 
     def _of_piece(self, piece: str) -> bytes:
         if piece.isascii() or max(piece) < _SETTLED:
-            return b"".join([self._units[x.id] for x in self._merge(_byte_letters(piece))])
+            return b"".join([self._units[i] for i in self._merge(piece.encode() + _END)])
         encoded = self._library.encode(piece, add_special_tokens=False)
         return np.array(encoded.ids, dtype="<u2").tobytes()
 
 
+@functools.lru_cache(maxsize=4)
+def byte_ranks(path: str):
+    """Coder of ordinary text for a byte-level vocabulary that keeps white space, and its units.
+
+    It reads the ranks in the ``.tiktoken`` file beside the ``.json`` one. They and
+    the splitting pattern give the library's ids, several times as fast; special strings
+    are plain text to it. ``tests/llm`` holds both against each other.
+    """
+    import public_tokenizers
+    import tiktoken
+
+    with open(path.removesuffix(".json") + ".tiktoken", "rb") as lines:
+        ranks = {base64.b64decode(unit): int(rank) for unit, rank in map(bytes.split, lines)}
+    units = [b""] * (max(ranks.values()) + 1)
+    for unit, rank in ranks.items():
+        units[rank] = unit
+    coder = tiktoken.Encoding(
+        path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+    )
+    return coder.encode_ordinary, units
+
+
+class ByteEncoder:
+    """Ids as :class:`PieceEncoder` gives them, of a byte-level vocabulary that keeps white space.
+
+    What lies between special strings is encoded at once, by the vocabulary's ranks.
+    """
+
+    def __init__(self, path: str):
+        self._ranks, _ = byte_ranks(path)
+        self._specials, self._split = _special_strings(tokenizer(path))
+
+    def encode(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        if "<|" not in text:
+            return self._segment(text)
+        return b"".join(
+            self._specials.get(x) or self._segment(x) for x in self._split.split(text) if x
+        )
+
+    def _segment(self, text: str) -> bytes:
+        return np.array(self._ranks(text), dtype="<u2").tobytes()
+
+
 @functools.lru_cache(maxsize=2)
-def byte_encoder(path: str) -> PieceEncoder:
+def byte_encoder(path: str) -> ByteEncoder:
     """For a byte-level vocabulary that keeps white space."""
-    return PieceEncoder(path, BYTE_PATTERN, spaced_chunks, _plain)
+    return ByteEncoder(path)
 
 
 @functools.lru_cache(maxsize=2)

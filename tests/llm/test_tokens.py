@@ -166,3 +166,20 @@ def test_each_character_around_the_latin_letters(path, encoder):
     whole = tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)
     for text, wanted in zip(texts, whole):
         assert np.frombuffer(encoder(path).encode(text), "<u2").tolist() == wanted.ids, ascii(text)
+
+
+def test_words_are_merged_as_the_library_merges_them():
+    """Merging by rank gives the library's ids for words of a corpus and for made-up ones."""
+    import duckdb
+
+    path, rng = vocabulary_path("word_bpe_49k.json"), random.Random(11)
+    texts = duckdb.sql("SELECT text FROM '/root/testdata/sf0.01/documents.parquet'").fetchall()
+    words = {x.lower() for (text,) in texts for x in (text or "").split()}
+    letters = ["abcdefghijklmnopqrstuvwxyz", "éèàùöäüßçñœæ\u0130aeiou", "日本한국ёжش🙂ab", "!?#$%&()*+-./:;<=>@~0123"]
+    words |= {"".join(rng.choices(rng.choice(letters), k=rng.randint(1, 14))) for _ in range(40_000)}
+    words |= {"a" * 5000, "ab" * 3000}
+    words = sorted(words)
+    encoder = word_encoder(path)
+    encoded = tokenizer(path).encode_batch(words, add_special_tokens=False)
+    for word, want in zip(words, encoded):
+        assert np.frombuffer(encoder.encode(word), "<u2").tolist() == want.ids, word
