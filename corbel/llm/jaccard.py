@@ -48,6 +48,8 @@ CROWD = 32
 #: node with its nearest, then every pair that is left.
 TREE, NEAREST, ALL = "tree", "nearest", "all"
 ROUNDS = (TREE, NEAREST, NEAREST, ALL)
+#: Groups of a node, those of the smallest names, that its members know of.
+KNOWN_KEYS = 12
 #: Members of a group that are compared at once.
 BLOCK = 1 << 10
 
@@ -462,7 +464,7 @@ def tree(table: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def met_before(key: int, keys: list[np.ndarray]) -> np.ndarray:
-    """Which pairs of members of a group also share another group of a smaller name (``keys``, in order)."""
+    """Which pairs of members of a group share a smaller name of a group among ``keys`` (of each, in order)."""
     count = len(keys)
     smaller = [x[: np.searchsorted(x, key)] for x in keys]
     owner = np.repeat(np.arange(count), [len(x) for x in smaller])
@@ -489,12 +491,13 @@ def _candidates(
 
     ``members`` have ``key``, ``node``, ``component``, and ``nodes`` ``n_shingles`` and
     ``sketch`` of each ``node``. A large group is dealt into blocks and each two of these
-    meet. A pair is looked at in one group only, of those it shares the one of the smallest name, and
-    comes out of it once. ``apart`` is a bound on how far the pair's sets are
+    meet. A pair is passed over in a group if both are known to share one of a smaller name,
+    so nearly all come out of one group, and every one out of one at least. ``apart`` is a bound on how far the pair's sets are
     apart. ``which`` pairs are given: of a ``tree`` of near ones, each member with its
     ``nearest``, or ``all``.
     """
-    own_keys = members.groupBy("node").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    smallest = F.slice(F.sort_array(F.collect_list("key")), 1, KNOWN_KEYS)
+    own_keys = members.groupBy("node").agg(smallest.alias("keys"))
     nodes = nodes.join(own_keys, "node")
     sizes = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")

@@ -138,15 +138,17 @@ def mix(
         raise ValueError("weights must be whole positive numbers")
     names = [f"mix_{name}" for name in levels]
     made = {*names, "epoch", "n_tokens", "taken_tokens"}
-    kept = [quoted(c) for c in df.columns if c.lower() not in made]
+    given = [c for c in df.columns if c.lower() not in made]
+    # Under numbers, no name of the caller's can clash with those used here.
+    held = {c: F.col(f"c{i}") for i, c in enumerate(given)}
     rows = df.select(
-        *kept,
+        *[quoted(c).alias(f"c{i}") for i, c in enumerate(given)],
         *[node_name(value).alias(name) for name, value in zip(names, levels.values())],
         count_words(quoted(text)).alias("n_tokens"),
     ).where("n_tokens > 0")
     # One pass over the texts; all that is counted afterwards is narrow.
     narrow = settle(
-        rows.select(*names, "n_tokens", quoted(key).alias("key"), F.md5(quoted(text)).alias("tie")),
+        rows.select(*names, "n_tokens", held[key].alias("key"), F.md5(held[text]).alias("tie")),
         "mix-rows",
     )
     leaves = settle(narrow.groupBy(*names).agg(F.sum("n_tokens").alias("tokens")), "mix-leaves")
@@ -163,8 +165,8 @@ def mix(
     edges = settle(_edges(placed, names), "mix-edges")
 
     chosen = (
-        rows.withColumn("tie", F.md5(quoted(text)))
-        .withColumn("key", quoted(key))
+        rows.withColumn("tie", F.md5(held[text]))
+        .withColumn("key", held[key])
         .join(plan, names)
         .join(edges, names)
         .withColumn("at", at)
@@ -197,11 +199,9 @@ def mix(
     )
     cut = F.when(
         F.col("use.taken_tokens") < F.col("n_tokens"),
-        first_words(quoted(text), F.col("use.taken_tokens")),
-    ).otherwise(quoted(text))
-    columns = [
-        cut.alias(text) if c == text else quoted(c) for c in df.columns if c.lower() not in made
-    ]
+        first_words(held[text], F.col("use.taken_tokens")),
+    ).otherwise(held[text])
+    columns = [(cut if c == text else held[c]).alias(c) for c in given]
     values = [
         F.when(F.col(name) != "", F.substring(name, 2, 1 << 30)).alias(name) for name in names
     ]

@@ -20,12 +20,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corbel.llm.common import column, settle, slices, with_columns
+from corbel.llm.common import column, quoted, settle, slices, with_columns
 from corbel.llm.tokens import word_encoder
 
 WINDOW = 2048
-#: Sources are listed on the driver, so there must not be more.
-MAX_QUEUES = 4096
+#: Queues that the driver lists; beyond them the smaller sources follow one another in one
+#: queue. With weights of their own queues run dry one by one, and each time takes a table.
+QUEUES, WEIGHTED_QUEUES = 4096, 256
+#: Groups in which the sources of the shared queue are summed.
+GROUPS = 4096
 #: Weights are scaled to at most this sum, so that no product leaves 64 bits.
 WEIGHTS = 1 << 30
 
@@ -175,41 +178,36 @@ def pack(
     ``weights`` gives each source's share of every window (1 for a source not
     named); by default sources share in proportion to their tokens, so that all
     windows hold the whole mixture. Returns a row per piece: the columns of
-    ``df`` but the text, ``start`` (the row's ids before the piece), ``length``,
-    ``ids`` (little-endian unsigned 32-bit), ``doc_tokens``, ``sequence_id`` and
-    ``offset`` there. All windows are full but the last. Repeated rows are packed
-    each on their own; an empty table gives no piece. More than 4096 sources are
-    an error: group them first.
+    ``df`` but the text (those named like a new one are replaced), ``doc_tokens``, ``start``
+    (the row's ids before the piece), ``length``, ``ids`` (little-endian unsigned
+    32-bit), ``sequence_id`` and ``offset`` there. All windows are full but the last. Repeated
+    rows are packed each on their own; an empty table gives no piece. Beyond
+    ``QUEUES`` sources (``WEIGHTED_QUEUES`` with weights) those with the fewest tokens share one
+    queue, with their weights' sum, in which one source follows another.
     """
-    made = ["start", "length", "ids", "sequence_id", "offset"]
-    df = df.select(*[c for c in df.columns if c == text or c.lower() not in made])
-    tokens = token_table(df, path, source, end, text)
+    made = {"doc_tokens", "start", "length", "ids", "sequence_id", "offset", text.lower()}
+    given = [c for c in df.columns if c.lower() not in made]
+    # Within a struct and under numbers, no name of the caller's can clash.
+    boxed = F.struct(F.lit(0).alias("c"), *[quoted(c).alias(f"c{i}") for i, c in enumerate(given)])
+    rows = df.select(boxed.alias("carried"), quoted(text).alias("text"), source.alias("source"))
+    tokens = token_table(rows, path, F.col("source"), end).drop("source")
     sums = settle(tokens.groupBy("queue", "part").agg(F.sum("doc_tokens").alias("n")), "queue-sums")
-    queues = sums.groupBy("queue").agg(F.sum("n").alias("n")).limit(MAX_QUEUES + 1).collect()
-    if len(queues) > MAX_QUEUES:
-        raise ValueError(f"more than {MAX_QUEUES} sources; group them before packing")
-    totals = {row.queue: row.n for row in sorted(queues, key=lambda r: r.queue)}
     named = {"" if k is None else f"={k}": v for k, v in (weights or {}).items()}
+    totals, bases = _queues(sums, named, WEIGHTED_QUEUES if weights else QUEUES)
     schedule = Schedule(
-        list(totals.values()),
-        [named.get(name, 1) for name in totals] if weights else list(totals.values()),
+        [n for n, _ in totals], [w for _, w in totals] if weights else [n for n, _ in totals]
     )
-    number = {name: i for i, name in enumerate(totals)}
-    earlier = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sums.select(
-        "queue", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("queue_base")
-    )
-    placed = tokens.join(bases, ["queue", "part"])
-    carried = [c for c in tokens.columns if c not in ("queue", "part", "place", "token_ids")]
-    inputs = placed.select(
-        *[F.col(f"`{c}`") for c in carried],
-        "queue",
+    inputs = tokens.join(bases, ["queue", "part"]).select(
+        "carried",
+        "doc_tokens",
+        "number",
         (F.col("queue_base") + F.col("place")).alias("place"),
         "token_ids",
     )
+    carried = ["carried", "doc_tokens"]
     schema = T.StructType(
         [
-            *[placed.schema[c] for c in carried],
+            *[inputs.schema[c] for c in carried],
             T.StructField("start", T.LongType()),
             T.StructField("length", T.LongType()),
             T.StructField("ids", T.BinaryType()),
@@ -222,7 +220,7 @@ def pack(
         for whole in batches:
             for first in range(0, whole.num_rows, 512):
                 batch = whole.slice(first, 512)
-                queue = np.array([number[q] for q in column(batch, "queue").to_pylist()], np.int64)
+                queue = column(batch, "number").to_numpy()
                 place = column(batch, "place").to_numpy()
                 size = column(batch, "doc_tokens").to_numpy()
                 row, start, length, sequence, offset = pieces(schedule, queue, place, size, window)
@@ -237,7 +235,61 @@ def pack(
                         pa.array(sequence), pa.array(offset)]
                 yield pa.RecordBatch.from_arrays([*kept.columns, *made], names=schema.names)
 
-    return inputs.mapInArrow(run, schema)
+    return inputs.mapInArrow(run, schema).select(
+        *[F.col(f"carried.c{i}").alias(c) for i, c in enumerate(given)],
+        *[field.name for field in schema if field.name != "carried"],
+    )
+
+
+def _queues(
+    sums: DataFrame, named: dict[str, float], most: int
+) -> tuple[list[tuple[int, float]], DataFrame]:
+    """Tokens and weight of each queue, and where each source's parts begin in its queue.
+
+    ``sums`` has the tokens ``n`` of each source (``queue``) and ``part``. Named sources
+    come first, then those with the most tokens; sources beyond ``most`` share the last queue.
+    The second result has ``queue``, ``part``, ``number`` (of the queue) and ``queue_base``.
+    """
+    totals = settle(sums.groupBy("queue").agg(F.sum("n").alias("total")), "queue-totals")
+    everything = totals.agg(F.count("*").alias("queues"), F.sum("total").alias("n")).first()
+    first = [F.col("queue").isin(*named).desc()] if named else []
+    order = [*first, F.col("total").desc(), F.col("queue")]
+    own = most if everything.queues <= most else most - 1
+    listed = totals.orderBy(*order).limit(own).collect()
+    listed = sorted(listed, key=lambda row: row.queue)
+    found = [(row.total, named.get(row.queue, 1)) for row in listed]
+    shared = len(listed)
+    if everything.queues > shared:
+        known = sum(n for n, _ in found)
+        found.append((everything.n - known, everything.queues - shared))
+    # As many rows as the driver lists queues.
+    numbers = sums.sparkSession.createDataFrame(
+        [(row.queue, i) for i, row in enumerate(listed)], "queue string, number bigint"
+    )
+    placed = totals.join(F.broadcast(numbers), "queue", "left")
+    group = F.when(F.col("number").isNull(), F.pmod(F.xxhash64("queue"), F.lit(GROUPS)))
+    rest = placed.withColumn("group", group).where("number IS NULL")
+    before = (Window.unboundedPreceding, -1)
+    # A group's sources are summed in it, groups among each other: GROUPS rows.
+    groups = rest.groupBy("group").agg(F.sum("total").alias("in_group"))
+    group_base = F.sum("in_group").over(Window.partitionBy(F.lit(0)).orderBy("group").rowsBetween(*before))
+    groups = groups.select("group", F.coalesce(group_base, F.lit(0)).alias("group_base"))
+    source_base = F.sum("total").over(Window.partitionBy("group").orderBy("queue").rowsBetween(*before))
+    starts = rest.withColumn("source_base", F.coalesce(source_base, F.lit(0))).join(groups, "group")
+    starts = starts.select("queue", (F.col("group_base") + F.col("source_base")).alias("start"))
+    part_base = F.sum("n").over(Window.partitionBy("queue").orderBy("part").rowsBetween(*before))
+    bases = (
+        sums.withColumn("part_base", F.coalesce(part_base, F.lit(0)))
+        .join(F.broadcast(numbers), "queue", "left")
+        .join(starts, "queue", "left")
+        .select(
+            "queue",
+            "part",
+            F.coalesce("number", F.lit(shared)).cast("bigint").alias("number"),
+            (F.col("part_base") + F.coalesce("start", F.lit(0))).alias("queue_base"),
+        )
+    )
+    return found, settle(bases, "queue-bases")
 
 
 def pieces(schedule: Schedule, queue, place, size, window: int):

@@ -159,7 +159,8 @@ def shard(
     Shards hold equal bytes to within ``tolerance`` of one shard at each cut. A
     text's copies share a shard unless they outweigh that; rows equal in text and
     key always do. ``slot`` counts a shard's rows from 0 in the order of the sort.
-    Null texts are a text of their own, null keys come first. Each shard is sorted
+    Null texts are a text of their own, null keys come first. Columns named like the new
+    ones are replaced, all others come back as they are; an empty table gives no row. Each shard is sorted
     in several parts of equal bytes (``parts`` in all, by default two for each
     shuffle partition), so no task holds a whole shard.
     """
@@ -168,15 +169,15 @@ def shard(
     each = max(1, -(-wanted // shards))
     count = shards * each
     made = {"size", "shard", "slot"}
+    given = [c for c in df.columns if c.lower() not in made]
+    # Under numbers, no name of the caller's can clash with those used here.
     rows = df.select(
-        *[quoted(c) for c in df.columns if c.lower() not in made],
+        *[quoted(c).alias(f"c{i}") for i, c in enumerate(given)],
         size_of(quoted(text)).alias("size"),
+        F.xxhash64(quoted(text)).alias("hash"),
+        F.coalesce(quoted(key).cast("bigint"), F.lit(-(1 << 63))).alias("key"),
     )
-    hashed = F.xxhash64(quoted(text))
-    ranked = F.coalesce(quoted(key).cast("bigint"), F.lit(-(1 << 63)))
-    narrow = settle(
-        rows.select(hashed.alias("hash"), ranked.alias("key"), "size"), "shard-keys"
-    )
+    narrow = settle(rows.select("hash", "key", "size"), "shard-keys")
     total = narrow.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first().n
     targets = [total * i / count for i in range(1, count)]
     near = [total / shards * tolerance if i % each == 0 else total / count / 2 for i in range(1, count)]
@@ -209,13 +210,14 @@ def shard(
         "shard-parts",
     )
     sorted_part = Window.partitionBy("part").orderBy("sort_hash", "sort_key")
-    whole = placed(rows.withColumn("sort_hash", hashed).withColumn("sort_key", ranked))
+    whole = placed(rows.withColumnsRenamed({"hash": "sort_hash", "key": "sort_key"}))
     return (
         whole.withColumn("place", F.row_number().over(sorted_part))
         # A row for each part, and the number of parts is set above.
         .join(F.broadcast(bases), "part")
         .select(
-            *rows.columns,
+            *[F.col(f"c{i}").alias(c) for i, c in enumerate(given)],
+            "size",
             "shard",
             (F.col("part_base") + F.col("place") - 1).cast("bigint").alias("slot"),
         )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from corbel.llm import jaccard, outliers, toxicity
 from corbel.llm.common import read, settle
@@ -15,18 +16,45 @@ from corbel.llm.queries import (
 )
 
 
+#: Columns that the stages work on.
+USED = ("doc_id", "text", "lang", "source")
+
+
+def closed(docs: DataFrame) -> DataFrame:
+    """The columns that stages use, and all others in one that no stage's own can clash with."""
+    others = [F.col(f"`{x}`").alias(f"c{i}") for i, x in enumerate(_others(docs))]
+    return docs.select(*USED, F.struct(F.lit(0).alias("c"), *others).alias("carried"))
+
+
+def opened(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """Rows of :func:`closed` with the columns of ``docs`` again."""
+    place = {x: f"carried.c{i}" for i, x in enumerate(_others(docs))}
+    return rows.select(*[F.col(place.get(x, x)).alias(x) for x in docs.columns])
+
+
+def _others(docs: DataFrame) -> list[str]:
+    return [x for x in docs.columns if x not in USED]
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not call toxic."""
-    scored = toxicity.classify(docs, toxicity_model(spark, docs, sf_dir))
-    return scored.where("predicted = 0").select(*docs.columns)
+    """Documents that the classifier does not call toxic.
+
+    Each row is judged by its text alone, repeated rows alike; a null text as an empty one.
+    """
+    model = toxicity_model(spark, docs, sf_dir)
+    return opened(toxicity.classify(closed(docs), model).where("predicted = 0"), docs)
 
 
 def drop_outliers(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules and lie within their source's cloud."""
-    stats = outliers.statistics(docs)
+    """Documents that pass the quality rules and lie within their source's cloud.
+
+    Repeated rows count each; null languages and sources are groups of their own; a
+    null or empty text has no words and fails the rules.
+    """
+    stats = outliers.statistics(closed(docs))
     narrow = settle(stats.select(*GROUPS, *outliers.STATISTICS), "statistics")
     judged = outliers.judge(stats, outliers.estimate(narrow, GROUPS), GROUPS)
-    return judged.where("kept").select(*docs.columns)
+    return opened(judged.where("kept"), docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,12 +63,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Three fifths of the words, mixed to target weights; each document once at most."""
-    return mix_documents(docs, epochs=1).select(*docs.columns)
+    """Three fifths of the words, mixed to target weights; each document once at most.
+
+    Documents without words are not selected; the last one of a source may be cut.
+    """
+    return opened(mix_documents(closed(docs), epochs=1), docs)
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the mixed documents, in windows of 2048 tokens."""
+    """Pieces of the mixed documents, in windows of 2048 tokens; every row is packed on its own."""
     return packed_digest(pack_documents(docs))
 
 
@@ -52,8 +83,8 @@ STAGES = [
     ("packing", pack_windows),
 ]
 
-#: Trained models, token ids and iterated estimates are beyond SQL; tests hold run() against
-#: brute force.
+#: Trained models, token ids and iterated estimates are beyond SQL; ``tests/llm`` holds what each
+#: stage of run() keeps against a plain version.
 ORACLE_SQL = None
 
 

@@ -396,3 +396,32 @@ def test_small_groups_have_estimates_of_their_own(spark):
         assert all(own), (lang, own.count(False))
     assert all(kept[i] for i in range(3000))
     assert not any(kept[10_000 * (n + 1) + 9000] for n in range(3, len(counts)))
+
+
+# Names of the caller's columns
+
+
+def test_mixing_keeps_all_columns_whatever_their_names(spark):
+    names = ["key", "at", "rest", "rounds", "tie", "slice", "edge", "within", "use", "last_taken", "c0", "c1", "tokens"]
+    schema = "doc_id bigint, text string, source string, " + ", ".join(f"{x} string" for x in names)
+    rows = [(i, f"some words of text {i}", f"s{i % 3}", *names) for i in range(30)]
+    df = spark.createDataFrame(rows + [(None, None, None, *[None] * len(names))], schema)
+    mixed = mixing.mix(df, {"source": F.col("source")}, {}, (1, 2), 1, 3)
+    assert mixed.columns == [*df.columns, "mix_source", "epoch", "n_tokens", "taken_tokens"]
+    found = mixed.collect()
+    assert found and all([row[x] for x in names] == names for row in found)
+    plain = mixing.mix(df.select("doc_id", "text", "source"), {"source": F.col("source")}, {}, (1, 2), 1, 3)
+    same = [(r.doc_id, r.text, r.mix_source, r.taken_tokens) for r in plain.collect()]
+    assert sorted(same) == sorted((r.doc_id, r.text, r.mix_source, r.taken_tokens) for r in found)
+
+
+def test_sharding_keeps_all_columns_whatever_their_names(spark):
+    names = ["part", "place", "sort_hash", "sort_key", "top", "base", "inner", "part_base", "hash", "key", "c0", "c1"]
+    schema = "doc_id bigint, text string, " + ", ".join(f"{x} string" for x in names)
+    rows = [(i, f"text {i}", *names) for i in range(50)]
+    df = spark.createDataFrame([*rows, (None, None, *[None] * len(names))], schema)
+    found = sharding.shard(df)
+    assert found.columns == [*df.columns, "size", "shard", "slot"]
+    kept = sorted((tuple(row)[: len(df.columns)] for row in found.collect()), key=repr)
+    assert kept == sorted((tuple(row) for row in df.collect()), key=repr)
+    assert sharding.shard(df.limit(0)).collect() == []

@@ -103,3 +103,63 @@ def test_odd_tables(spark):
     assert packing.pack(df.where("false"), PATH, F.col("source")).count() == 0
     with pytest.raises(ValueError):
         packing.Schedule([3], [0])
+
+
+@pytest.mark.parametrize("weights", [None, {"s3": 4, "s11": 2}])
+def test_more_sources_than_queues(spark, monkeypatch, weights):
+    """Beyond the queues that the driver lists, sources follow one another; nothing is lost."""
+    monkeypatch.setattr(packing, "QUEUES", 5)
+    monkeypatch.setattr(packing, "WEIGHTED_QUEUES", 5)
+    monkeypatch.setattr(packing, "GROUPS", 3)
+    texts = [(i, f"s{i % 23}" if i % 24 else None, "word " * (i * 37 % 400)) for i in range(300)]
+    df = spark.createDataFrame(texts, "doc_id bigint, source string, text string").repartition(4)
+    found = packing.pack(df, PATH, F.col("source"), weights).collect()
+    assert whole(found) == -(-sum(len(ids_of(t)) for *_, t in texts) // packing.WINDOW)
+    pieces = defaultdict(list)
+    for row in found:
+        pieces[row.doc_id].append(row)
+    for doc_id, _, text in texts:
+        ids, at = ids_of(text), 0
+        for row in sorted(pieces[doc_id], key=lambda r: r.start):
+            assert row.start == at
+            at += row.length
+            got = np.frombuffer(row.ids, "<u4").tolist()
+            assert got == ids[row.start : at]
+        assert at == len(ids)
+    if weights:
+        # A named source keeps a queue of its own, however small.
+        first = Counter()
+        for row in found:
+            if row.sequence_id == 0:
+                first[row.source] += row.length
+        assert abs(first["s3"] - 2 * first["s11"]) < 8
+
+
+def test_no_name_of_the_callers_clashes(spark):
+    names = ["queue", "part", "place", "token_ids", "carried", "number", "queue_base", "c0", "c1"]
+    schema = "doc_id bigint, text string, source string, " + ", ".join(f"{x} string" for x in names)
+    df = spark.createDataFrame([(1, "a b", "s", *names), (None, None, None, *[None] * 9)], schema)
+    packed = packing.pack(df, PATH, F.col("source"))
+    made = ["doc_tokens", "start", "length", "ids", "sequence_id", "offset"]
+    assert packed.columns == ["doc_id", "source", *names, *made]
+    found = {row.doc_id: row for row in packed.collect()}
+    assert [found[1][x] for x in names] == names and [found[None][x] for x in names] == [None] * 9
+
+
+def test_rounds_played_one_by_one():
+    """Serving windows in turn, with what each queue is owed carried on, gives the same pieces."""
+    totals, weights, window = [700, 90, 1500, 333], [5, 1, 9, 2], 64
+    schedule = packing.Schedule(totals, weights)
+    every = np.arange(0, sum(totals) + window, window)
+    formula = np.array([schedule.served(every, np.full_like(every, q))[0] for q in range(4)])
+    served = np.zeros(4)
+    for number in range(1, len(every)):
+        active = np.array([served[q] < totals[q] for q in range(4)])
+        share = window * np.where(active, weights, 0) / max(1, np.where(active, weights, 0).sum())
+        now = formula[:, number] - formula[:, number - 1]
+        # Within a window a queue gets its share, less or more by the fractions owed to it.
+        if (formula[:, number] < totals).all():
+            assert (abs(now - share) < 3).all()
+            assert (abs(formula[:, number] - number * share) < 3).all()
+        served = formula[:, number]
+        assert now.sum() == min(window, sum(totals) - (number - 1) * window)
