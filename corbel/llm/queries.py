@@ -187,4 +187,50 @@ QUERIES = {
     )
 }
 
-ORACLES: dict[str, str] = {"op12_licence_scan": licences.oracle_sql()}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+#: Conversations as lists of turns, without those that another one begins with.
+SNAPSHOT_SQL = """
+WITH turns AS (
+  SELECT conv_id, list({r: role, t: "text"} ORDER BY turn NULLS FIRST, role NULLS FIRST, "text" NULLS FIRST) AS l
+  FROM conversations GROUP BY conv_id
+), prefixes AS (
+  SELECT DISTINCT l[1:k] AS p FROM (SELECT l, unnest(range(1, len(l))) AS k FROM turns)
+), kept AS (
+  SELECT min(conv_id) AS conv_id, l FROM turns WHERE NOT EXISTS (SELECT 1 FROM prefixes WHERE p = l) GROUP BY l
+), parts AS (
+  SELECT conv_id, l, unnest(range(0, (len(l) - 1) // 512 + 1)) AS segment FROM kept
+)
+SELECT conv_id, CAST(segment AS BIGINT) AS segment, CAST(len(l) AS BIGINT) AS n_turns,
+  array_to_string(list_transform(l[segment * 512 + 1 : segment * 512 + 512],
+    lambda x: '<|im_start|>' || coalesce(x.r, 'unknown') || chr(10) || coalesce(x.t, '') || '<|im_end|>' || chr(10)), '')
+  AS rendered
+FROM parts"""
+
+#: All pairs that share a shingle, and what their links reach.
+JACCARD_SQL = rf"""
+WITH RECURSIVE cut AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce("text", ''), '{_UPPER}', '{_LOWER}'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3),
+    lambda i: array_to_string(w[i : i + 4], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s
+  FROM cut
+), each AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, a.n AS n_a, b.n AS n_b, count(*) AS n
+  FROM each AS a JOIN each AS b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (SELECT a, b FROM pairs WHERE 100 * n >= 75 * (n_a + n_b - n)
+), reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM sets
+  UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id
+FROM sets JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)"""
+
+ORACLES: dict[str, str] = {
+    "op6_snapshot_collapse": SNAPSHOT_SQL,
+    "op8_jaccard_groups": JACCARD_SQL,
+    "op12_licence_scan": licences.oracle_sql(),
+}

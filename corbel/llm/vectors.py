@@ -20,14 +20,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corbel.llm.common import column, map_batches, quoted, settle
+from corbel.llm.common import column, importable, map_batches, quoted, settle
 from corbel.llm.components import components
 
 #: Classes that centroids are fitted to, wanted members of a cell, most cells, rounds.
 SAMPLE, CELL, MOST_CELLS, ROUNDS = 16_384, 512, 2_048, 6
-#: How near a border must be for a visit, in standard deviations of how far a
-#: vector at the threshold strays in one direction.
-REACH = 1.5
+#: How near a border must be for a visit, in standard deviations of how far a vector at the
+#: threshold strays in one direction, if it strays as its surroundings do.
+REACH = 2.0
+#: Sample vectors around a centroid that tell in how many directions these reach.
+AROUND = 256
 BLOCK = 1_024
 
 
@@ -73,19 +75,44 @@ def centroids(sample: np.ndarray, cells: int) -> np.ndarray:
     return found
 
 
-def visits(units: np.ndarray, centres: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+def farthest(threshold: float) -> float:
+    """Share of the centroids' distance beyond which no visit finds a pair.
+
+    Of two linked vectors on both sides of a border, the nearer one is at most half their own
+    distance away from it, so visits up to there find every pair.
+    """
+    return float(np.sqrt(max(0.0, 2 - 2 * threshold)) / 2 + 1e-9)
+
+
+def reaches(sample: np.ndarray, centres: np.ndarray, threshold: float) -> np.ndarray:
+    """For each cell, up to what share of the centroids' distance its vectors visit.
+
+    Vectors that spread in few directions stray further along each. Around each centroid the
+    number of directions is taken from its nearest sample vectors.
+    """
+    most, stray = farthest(threshold), np.sqrt(max(0.0, 1 - threshold**2))
+    found = np.empty(len(centres))
+    for cell, centre in enumerate(centres):
+        near = sample @ centre
+        some = sample[np.argpartition(-near, AROUND)[:AROUND]] if len(sample) > AROUND else sample
+        spread = np.linalg.svd(some - some.mean(axis=0), compute_uv=False) ** 2
+        directions = spread.sum() ** 2 / max((spread**2).sum(), 1e-300)
+        found[cell] = min(most, REACH * stray / np.sqrt(max(1e-9, directions - 1)))
+    return found
+
+
+def visits(units: np.ndarray, centres: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Home of each row, and which other cells it visits (rows by cells)."""
     near = units @ centres.T
     home = np.argmax(near, axis=1)
     apart = np.sqrt(np.maximum(0, 2 - 2 * centres @ centres.T))[home]
-    stray = np.sqrt(1 - threshold**2) / np.sqrt(max(1, units.shape[1] - 1))
     ahead = near[np.arange(len(units)), home][:, None] - near
-    close = ahead <= REACH * stray * apart
+    close = ahead <= reach[home][:, None] * apart
     close[np.arange(len(units)), home] = False
     return home, close
 
 
-def _members(classes: DataFrame, models: dict[int, np.ndarray], threshold: float) -> DataFrame:
+def _members(classes: DataFrame, models: dict[int, tuple[np.ndarray, np.ndarray]]) -> DataFrame:
     """A row for each class and cell: ``cell``, ``node``, ``unit``, ``copies``, ``home``, ``others``."""
     held = classes.sparkSession.sparkContext.broadcast(models)
 
@@ -101,8 +128,7 @@ def _members(classes: DataFrame, models: dict[int, np.ndarray], threshold: float
 
     def members(batch: pa.RecordBatch, dimensions: int, known: dict) -> pa.RecordBatch:
         units = _matrix(column(batch, "unit"), dimensions)
-        centres = known.get(dimensions, np.zeros((1, dimensions)))
-        home, close = visits(units, centres, threshold)
+        home, close = visits(units, *known.get(dimensions, (np.zeros((1, dimensions)), np.zeros(1))))
         others = [np.flatnonzero(x) for x in close]
         row = np.concatenate([np.arange(len(units)), *[np.full(len(x), i) for i, x in enumerate(others)]])
         cell = np.concatenate([home, *others]).astype(np.int64)
@@ -192,7 +218,8 @@ def _block_links(table: pa.Table, threshold: float) -> pa.Table:
 
 
 def link_vectors(
-    df: DataFrame, threshold: float = 0.9, key: str = "vec_id", vector: str = "embedding"
+    df: DataFrame, threshold: float = 0.9, key: str = "vec_id", vector: str = "embedding",
+    exact: bool = False,
 ) -> DataFrame:
     """``key``, ``n_links``, ``component_id`` and ``kept`` of all rows.
 
@@ -201,8 +228,11 @@ def link_vectors(
     those with null or non-finite components link with nothing. ``component_id`` is
     the smallest key that links reach, ``kept`` marks the row that has it. No pair
     below the threshold is linked; a pair at it may be missed if a cell border
-    runs between (``tests/llm`` and the README have the recall).
+    runs between (``tests/llm`` and the README have the recall), unless ``exact`` is set,
+    which makes vectors visit every cell that could hold a partner. Repeated
+    rows are rows of their own; other columns play no part; an empty table gives no row.
     """
+    importable(df.sparkSession)
     rows = settle(_classes(df, key, vector), "vectors")
     usable = rows.where("node IS NOT NULL")
     classes = settle(
@@ -220,8 +250,11 @@ def link_vectors(
     for length, units in by_length.items():
         share = total * len(units) / max(1, sample.num_rows)
         cells = int(min(max(1, -(-share // CELL)), MOST_CELLS, max(1, len(units) // 4)))
-        models[length] = centroids(_matrix(units, length), cells)
-    members = settle(_members(classes, models, threshold), "vector-members")
+        matrix = _matrix(units, length)
+        centres = centroids(matrix, cells)
+        reach = reaches(matrix, centres, threshold)
+        models[length] = centres, np.full(cells, farthest(threshold)) if exact else reach
+    members = settle(_members(classes, models), "vector-members")
     at_home = F.col("home") == F.col("here")
 
     def blocks(those: Column) -> Column:

@@ -262,3 +262,50 @@ def test_one_row_of_each_group_stays(spark):
     assert (3, a) in by_text and (7, b) in by_text and len(found) == 6
     assert by_text.count((1, None)) == 2 and (None, "") in by_text and (9, "?") in by_text
     assert jaccard.one_of_each(df.limit(0)).collect() == []
+
+
+def planted(rank, count, seed, noise=0.0):
+    """Unit vectors of some rank in 64 dimensions, half of them near the other half if ``noise``."""
+    rng = np.random.default_rng(seed)
+    found = rng.normal(size=(count, rank)) @ np.linalg.qr(rng.normal(size=(64, rank)))[0].T
+    found /= np.linalg.norm(found, axis=1, keepdims=True)
+    if noise:
+        half = count // 2
+        found[half:] = found[:half] + rng.normal(size=(half, 64)) * noise
+        found /= np.linalg.norm(found, axis=1, keepdims=True)
+    return found
+
+
+@pytest.mark.parametrize("rank, noise, wanted", [(3, 0, 1.0), (5, 0, 0.99), (64, 0.05, 0.99)])
+def test_visits_find_planted_links(rank, noise, wanted):
+    """With the shipped constants and 24 cells, nearly every link has an end that visits the other's cell."""
+    units = planted(rank, 12_000, 1, noise)
+    centres = vectors.centroids(units, 24)
+    recalls = []
+    for reach in (vectors.reaches(units, centres, 0.9), np.full(24, vectors.farthest(0.9))):
+        home, close = vectors.visits(units, centres, reach)
+        close[np.arange(len(units)), home] = True
+        total = found = 0
+        for first in range(0, len(units), 2000):
+            some = slice(first, first + 2000)
+            linked = units[some] @ units.T >= 0.9
+            total += int(linked.sum())
+            found += int((linked & (close[some][:, home] | close[:, home[some]].T)).sum())
+        assert total > (1.8 if noise else 10) * len(units)
+        recalls.append(found / total)
+    assert recalls[0] >= wanted and recalls[1] == 1
+
+
+@pytest.mark.parametrize("exact", [False, True])
+def test_planted_links_end_to_end(spark, monkeypatch, exact):
+    monkeypatch.setattr(vectors, "CELL", 100)
+    units = planted(64, 2400, 7, 0.05)
+    rows = [(n, x.tolist()) for n, x in enumerate(units)] + [(5000, None), (5001, [0.0] * 64)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = {r.vec_id: r for r in vectors.link_vectors(df, exact=exact).collect()}
+    links = units @ units.T >= 0.9
+    counts = links.sum(axis=1) - 1
+    total = sum(found[n].n_links for n in range(len(units)))
+    assert counts.sum() >= 2000 and all(found[n].n_links <= counts[n] for n in range(len(units)))
+    assert total >= 0.99 * counts.sum() and (not exact or total == counts.sum())
+    assert found[5000].n_links == found[5001].n_links == 0 and found[5001].kept
