@@ -1,7 +1,7 @@
 """Token ids in files of compressed blocks: a range coder driven by mixed id predictions.
 
 A block is coded on its own: the model starts afresh, and the block carries
-checksums. Its ids are laid out as up to 1024 lanes that are coded side by
+checksums. Its ids are laid out as up to 4096 lanes that are coded side by
 side, each by its own 64-bit range coder, under one model that all lanes teach.
 For each id the model mixes three predictions with whole-number weights:
 
@@ -30,8 +30,8 @@ from corbel.llm.common import column, quoted, settle
 from corbel.llm.tokens import byte_encoder
 
 MAGIC = b"CMR1"
-BLOCK_IDS = 1 << 18
-LANES = 1 << 10
+BLOCK_IDS = 1 << 20
+LANES = 1 << 12
 LANE_IDS = 1 << 8
 
 #: Frequency added per id; frequencies are halved when their sum passes the limit.
@@ -245,13 +245,17 @@ def unpack_block(block: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray
 
 
 def write_ids(
-    df: DataFrame, path: str, end: int = 0, text: str = "text", key: str = "doc_id"
+    df: DataFrame, path: str, end: int = 0, text: str = "text", key: str = "doc_id",
+    target: str | None = None,
 ) -> DataFrame:
     """Write the token ids of every text, in ascending order of ``key``, as coded blocks.
 
+    The files go to the folder ``target``, which must not exist yet, and stay there; without
+    one they go to the shared scratch folder and are gone when the application ends.
+
     Rows are dealt out by ranges of the key, null first; rows with equal keys
     follow by a hash of the text. Each text's ids end with ``end``; a null or empty text is
-    that one id. A block holds whole documents, 2**18 ids and what the last one
+    that one id. A block holds whole documents, 2**20 ids and what the last one
     adds. Returns the written table: ``part`` (its place among the ranges),
     ``part_start`` (ids before the block within the part), ``n_ids``, ``block``.
     """
@@ -289,7 +293,11 @@ def write_ids(
             yield flush()
 
     schema = "part bigint, part_start bigint, n_ids bigint, block binary"
-    return settle(ordered.mapInArrow(run, schema), "token-ids")
+    coded = ordered.mapInArrow(run, schema)
+    if target is None:
+        return settle(coded, "token-ids")
+    coded.write.mode("error").parquet(target)
+    return df.sparkSession.read.schema(schema).parquet(target)
 
 
 def _symbols(path: str) -> int:

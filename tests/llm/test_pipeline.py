@@ -59,7 +59,8 @@ def test_stages_one_after_another(spark, docs):
 
     single = stages[2](spark, sound, SF_DIR)
     found = single.collect()
-    component = groups_of(dict(enumerate(row.text for row in kept)))
+    plain = groups_of(dict(enumerate(row.text for row in kept)))
+    component = {number: group for number, (_, group) in plain.items()}
     groups = defaultdict(set)
     for number, row in enumerate(kept):
         groups[component[number]].add(tuple(row))

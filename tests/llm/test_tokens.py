@@ -183,3 +183,27 @@ def test_words_are_merged_as_the_library_merges_them():
     encoded = tokenizer(path).encode_batch(words, add_special_tokens=False)
     for word, want in zip(words, encoded):
         assert np.frombuffer(encoder.encode(word), "<u2").tolist() == want.ids, word
+
+
+def test_a_full_block_comes_back():
+    """A block of the size that files hold, with its last lane short."""
+    chance = np.random.default_rng(8)
+    ids = np.minimum(chance.zipf(1.3, rangecoder.BLOCK_IDS + 77), 50_000).astype("<u2")
+    docs = [(n, x.tobytes()) for n, x in enumerate(np.array_split(ids, 300))]
+    names, sizes, found = rangecoder.unpack_block(rangecoder.pack_block(docs, 50_257))
+    assert names == list(range(300)) and sizes.sum() == len(ids) and (found == ids).all()
+
+
+def test_files_at_a_target(spark, tmp_path, monkeypatch):
+    """Blocks written to a folder of the caller's are read from there, several to a part."""
+    monkeypatch.setattr(rangecoder, "BLOCK_IDS", 50)
+    rows = [(n % 40, f"some words of text {n} " * (n % 9)) for n in range(120)] + [(None, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    target = str(tmp_path / "ids")
+    written = rangecoder.write_ids(df, BYTES, target=target)
+    assert written.count() > written.select("part").distinct().count()
+    found = rangecoder.read_ids(spark.read.parquet(target)).orderBy("start").collect()
+    assert [r.key for r in found] == sorted([k for k, _ in rows], key=lambda k: (k is not None, k))
+    assert [r.start for r in found] == [0, *np.cumsum([r.n_tokens for r in found])[:-1]]
+    with pytest.raises(Exception, match="already exists"):
+        rangecoder.write_ids(df, BYTES, target=target)
