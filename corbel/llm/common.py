@@ -16,6 +16,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from corbel.sources.scratch import scratch_path
 
+#: Rows of an Arrow batch that are worked on at a time.
+ROWS = 1024
 #: A document's words are runs of anything but these bytes.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -65,7 +67,7 @@ def map_batches(
     fields: list[T.StructField],
     compute: Callable[[pa.RecordBatch], list[pa.Array]],
 ) -> DataFrame:
-    """All columns of ``df`` and those that ``compute`` makes of each Arrow batch.
+    """All columns of ``df`` and those that ``compute`` makes of each Arrow batch, in slices.
 
     A column of ``df`` named like a new one is replaced.
     """
@@ -73,8 +75,9 @@ def map_batches(
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
+        for whole in batches:
+            for first in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(first, ROWS)
                 made = [
                     array.cast(field.type)
                     for array, field in zip(compute(batch), list(arrow)[batch.num_columns :])

@@ -144,10 +144,10 @@ def token_table(
     last = np.uint16(end).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part = word_encoder(path).encode, TaskContext.get().partitionId()
+        encoder, part = word_encoder(path), TaskContext.get().partitionId()
         filled: dict[str, int] = {}
         for batch in slices(batches, text):
-            ids = [encode(x.as_py()) + last for x in column(batch, text)]
+            ids = [encoder.encode(x.as_py()) + last for x in column(batch, text)]
             sizes, places = [len(x) // 2 for x in ids], []
             for name, size in zip(column(batch, "queue").to_pylist(), sizes):
                 places.append(filled.get(name, 0))
@@ -160,6 +160,7 @@ def token_table(
             ]
             kept_columns = batch.select(carried).columns
             yield pa.RecordBatch.from_arrays([*kept_columns, *made], names=schema.names)
+        encoder.forget()
 
     return settle(kept.mapInArrow(run, schema), "tokens")
 

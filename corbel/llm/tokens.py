@@ -26,7 +26,7 @@ BYTE_PATTERN = r" ?\p{L}+|'(?:s|t|re|ve|m|ll|d)| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(
 WORD_PATTERN = r"\p{L}+|'s|'t|'re|'ve|'m|'ll|'d|\p{N}|[^\s\p{L}\p{N}]+"
 
 #: Pieces and chunks a worker remembers, and the longest it does; they bound memory only.
-CACHED_PIECES, CACHED_CHUNKS = 200_000, 200_000
+CACHED_PIECES, CACHED_CHUNKS = 100_000, 100_000
 CACHED_LENGTH = 64
 
 
@@ -72,9 +72,9 @@ def _merger(library) -> Callable[[bytes], list[int]]:
     """
     import tiktoken
 
-    ranks = {}
+    ranks, added = {}, library.get_added_tokens_decoder()
     for unit, rank in library.get_vocab().items():
-        if rank not in library.get_added_tokens_decoder():
+        if rank not in added:
             body = unit.removesuffix(_WORD_END)
             end = _END if body != unit else b""
             ranks[bytes(_LETTERS[x] for x in body) + end] = rank
@@ -153,6 +153,11 @@ class PieceEncoder:
     def _segment(self, text: str) -> bytes:
         return b"".join(map(self._chunk, self._cut(text)))
 
+    def forget(self) -> None:
+        """Free what is remembered; a worker may have other work next."""
+        for call in (self._piece, self._chunk):
+            call.__self__.clear()
+
     def _of_chunk(self, chunk: str) -> bytes:
         return b"".join(map(self._piece, self._find(self._prepare(chunk))))
 

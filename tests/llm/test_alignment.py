@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections import Counter
 
@@ -14,7 +15,7 @@ from corbel.llm import alignment
 from corbel.llm.queries import BYTE_VOCABULARY, PIECE_VOCABULARY, op11_token_alignment
 from corbel.llm.tokens import vocabulary_path
 
-SF_DIR = "/root/testdata/sf0.01"
+SF_DIR = "/root/testdata/sf0.001"
 A, B = vocabulary_path(BYTE_VOCABULARY), vocabulary_path(PIECE_VOCABULARY)
 ODD = [
     None, "", " ", "a", "x▁y", "\0", "日本語 テスト", "=" * 3000 + "a", "é́", "<|endoftext|> a",
@@ -23,8 +24,8 @@ ODD = [
 ]
 
 
-@pytest.fixture(scope="module")
-def libraries():
+@functools.cache
+def both_libraries():
     import sentencepiece
     from tokenizers import Tokenizer
 
@@ -33,27 +34,37 @@ def libraries():
     return bytewise, sentencepiece.SentencePieceProcessor(model_file=B)
 
 
+@functools.cache
+def units():
+    return [side.units.to_pylist() for side in (alignment.byte_side(A), alignment.piece_side(B))]
+
+
+@pytest.fixture(scope="module")
+def libraries():
+    return both_libraries()
+
+
 def plain(texts, libraries):
     """Counts, digest and sums of each text, one text and one group at a time."""
     bytewise, pieces = libraries
-    units = [side.units.to_pylist() for side in (alignment.byte_side(A), alignment.piece_side(B))]
     found = []
     for text in texts:
         ids = ([], [])
         if text:
             ids = (bytewise.encode(" " + text, add_special_tokens=False).ids, pieces.encode(text))
-        tokens = [[unit[i] for i in x] for unit, x in zip(units, ids)]
+        tokens = [[unit[i] for i in x] for unit, x in zip(units(), ids)]
         if not text or any(b"".join(x) != (" " + text).encode() for x in tokens):
             found.append((0, 0, 0, 0, "", Counter()))
             continue
         ends = [np.cumsum([len(x) for x in y]).tolist() for y in tokens]
-        groups, links = [], Counter()
+        groups, links, done = [], Counter(), [0, 0]
         for cut in sorted(set(ends[0]) & set(ends[1])):
-            begin = groups[-1][0] if groups else 0
-            own = [[i for i, e in zip(x, end) if begin < e <= cut] for x, end in zip(ids, ends)]
-            groups.append((cut, "|".join(",".join(map(str, x)) for x in own)))
+            upto = [end.index(cut, first) + 1 for end, first in zip(ends, done)]
+            own = [x[first:last] for x, first, last in zip(ids, done, upto)]
+            groups.append("|".join(",".join(map(str, x)) for x in own))
             links.update((x, y) for x in own[0] for y in own[1])
-        line = ";".join(x for _, x in groups)
+            done = upto
+        line = ";".join(groups)
         digest = hashlib.sha256(line.encode()).hexdigest()
         found.append((len(ids[0]), len(ids[1]), len(groups), links.total(), digest, links))
     documents = Counter(pair for *_, links in found for pair in links)
@@ -134,12 +145,7 @@ def test_ids_are_the_librarys_on_all_characters(libraries):
 @given(st.lists(st.text(max_size=30) | st.sampled_from([None, "aaaa" * 9, "  "]), max_size=6))
 def test_any_texts(texts):
     """Sums over one slice by kinds of groups equal those over all links."""
-    import sentencepiece
-    from tokenizers import Tokenizer
-
-    bytewise = Tokenizer.from_file(A)
-    bytewise.encode_special_tokens = True
-    want = plain(texts, (bytewise, sentencepiece.SentencePieceProcessor(model_file=B)))
+    want = plain(texts, both_libraries())
     aligned = alignment.Aligned(texts, alignment.byte_side(A), alignment.piece_side(B))
     tally, made = alignment.measured(aligned, len(texts))
     assert list(zip(*(x.to_pylist() for x in made))) == [x[:5] for x in want]
