@@ -287,8 +287,13 @@ def _three_digits(number):
     return F.lpad(number.cast("string"), 3, "0")
 
 
-def _principal(line, number):
-    words = F.split(line, " ")
+def _line(line):
+    """A line and its words, so that the line is split once for all that is made of them."""
+    return F.struct(line.alias("line"), F.split(line, " ").alias("words"))
+
+
+def _principal(entry, number):
+    line, words = entry["line"], entry["words"]
 
     def association(text, position):
         size = F.length(text)
@@ -332,7 +337,7 @@ def principal_documents(spark, sf_dir):
         F.col("doc_id").cast("string").alias("duns"),
         F.col("source").alias("primaryName"),
         F.col("lang").alias("countryISOAlpha2Code"),
-        F.transform(F.split("text", "\n"), _principal).alias("currentPrincipals"),
+        F.transform(F.transform(F.split("text", "\n"), _line), _principal).alias("currentPrincipals"),
     )
     return rebalanced(texts(spark, sf_dir, "doc_id", "source", "lang", "text")).select(
         F.struct(F.col("text").alias("source_text"), organization.alias("organization")).alias("enriched")

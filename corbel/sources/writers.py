@@ -5,6 +5,7 @@ Save modes are Spark's: ``overwrite``, ``append``, ``ignore``, ``error``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +13,9 @@ from pyspark.sql import functions as F
 
 from corbel.operators.layout import rebalanced
 
+#: Bytes of JSON in a file that holds one array.
+ARRAY_BYTES = 16 << 20
+
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite", **options) -> None:
     """JSON lines."""
@@ -28,16 +32,22 @@ def write_text(df: DataFrame, path: str, mode: str = "overwrite", **options) ->
     df.write.mode(mode).options(**options).text(path)
 
 
-def write_json_arrays(df: DataFrame, path: str, pretty: bool = False) -> None:
+def write_json_arrays(
+    df: DataFrame, path: str, pretty: bool = False, array_bytes: int = ARRAY_BYTES
+) -> None:
     """JSON arrays, one for each file: what ``multiLine`` reads.
 
-    A file cannot be split when it is read, so it holds what one partition does once the
-    rows' JSON is dealt out by bytes (``advisoryPartitionSizeInBytes``).
+    Such a file is written and read whole, so its size is bounded: the rows' JSON is measured
+    first and dealt out to as many files as hold about ``array_bytes`` each, or one row.
     """
-    items = F.to_json(F.struct(*df.columns), {"pretty": str(pretty).lower()}).alias("item")
+    items = df.select(F.to_json(F.struct(*df.columns), {"pretty": str(pretty).lower()}).alias("item"))
+    total = items.agg(F.sum(F.octet_length("item"))).first()[0] or 0
+    files = max(1, math.ceil(total / array_bytes))
+    # Dealt by place: equal rows must not meet in one file.
+    file = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(files))
     arrays = (
-        rebalanced(df.select(items))
-        .withColumn("file", F.spark_partition_id())
+        items.withColumn("file", file)
+        .repartition(files, "file")
         .groupBy("file")
         .agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("item"), ",\n"), F.lit("\n]")).alias("value"))
         .select("value")

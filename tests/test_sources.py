@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corbel.sources import scratch
@@ -168,6 +169,18 @@ def test_json_arrays(spark, tmp_path):
         assert rows(read_json(spark, path, df.schema, multiLine=True)) == rows(df)
 
 
+def test_json_arrays_are_bounded(spark, tmp_path):
+    """Files hold about as many bytes as asked for, also of equal rows from one partition."""
+    df = spark.range(0, 4000, 1, 1).select(F.repeat(F.lit("x"), 1000).alias("text"))
+    path = tmp_path / "bounded"
+    write_json_arrays(df, str(path), array_bytes=100_000)
+    sizes = [part.stat().st_size for part in path.glob("part-*")]
+    assert max(sizes) < 200_000 and sum(sizes) > 4_000_000
+    assert rows(read_json(spark, str(path), df.schema, multiLine=True)) == rows(df)
+    write_json_arrays(df.limit(0), str(path))
+    assert read_json(spark, str(path), df.schema, multiLine=True).count() == 0
+
+
 def test_stored_once(spark, tmp_path):
     """A fixture is written once, again when its source changes or it is gone."""
     import shutil
