@@ -274,9 +274,10 @@ def sink_tsv(spark, sf_dir):
 
 @query(
     "sink_partitioned",
-    """SELECT layout, files, count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS keys
+    """SELECT o_orderkey, o_totalprice, layout, files, count(*) OVER (PARTITION BY layout) AS rows,
+         CAST(sum(o_orderkey) OVER (PARTITION BY layout) AS BIGINT) AS keys
        FROM orders, (VALUES ('shuffled', 30::BIGINT), ('merged', 15::BIGINT), ('measured', 1::BIGINT))
-         AS layouts(layout, files) GROUP BY ALL""",
+         AS layouts(layout, files)""",
 )
 def sink_partitioned(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
@@ -296,7 +297,9 @@ def sink_partitioned(spark, sf_dir):
         totals = files.agg(
             F.count("*").alias("files"), F.sum("rows").alias("rows"), F.sum("keys").alias("keys")
         )
-        parts.append(totals.withColumn("layout", F.lit(name)))
+        stored = spark.read.schema(orders.schema).parquet(path).withColumn("layout", F.lit(name))
+        # One row of totals beside every row that was written.
+        parts.append(stored.crossJoin(totals))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 

@@ -38,6 +38,8 @@ from corbel.sources.writers import (
     write_text,
     written_files,
 )
+from corbel.plans.catalogue import QUERIES
+from corbel.plans.tables import table
 from tests.conftest import plan_of, rows
 
 CAR = T.StructType(
@@ -335,3 +337,14 @@ def test_scratch_without_a_shared_folder(spark, monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch.scratch_path(Session, "x")
+
+
+def test_partitioned_sink_gives_all_rows(spark):
+    """Every order comes back from each layout, beside what was counted in its files."""
+    sf_dir = "/root/testdata/sf0.001"
+    df = QUERIES["sink_partitioned"](spark, sf_dir)
+    keys = [row.o_orderkey for row in table(spark, sf_dir, "orders").collect()]
+    for layout, files in (("shuffled", 30), ("merged", 15), ("measured", 1)):
+        found = df.filter(F.col("layout") == layout).collect()
+        assert sorted(row.o_orderkey for row in found) == sorted(keys)
+        assert {(row.files, row.rows, row["keys"]) for row in found} == {(files, len(keys), sum(keys))}
