@@ -144,4 +144,5 @@ def sort_structs(column: Column, order: Order, item: T.StructType | None = None)
     ranked = _ranked(present, lambda entry: entry, *last)
     for run in reversed(earlier):
         ranked = _ranked(ranked, lambda entry: entry["item"], *run)
-    return F.transform(ranked, lambda entry: entry["item"])
+    # A field of all elements, not a lambda: around one, the sort would be interpreted too.
+    return ranked["item"]

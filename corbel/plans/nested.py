@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corbel.functions.arrays import sort_structs
-from corbel.operators.layout import rebalanced
 from corbel.operators.nested import (
     ArraySpec,
     explode_array,
@@ -61,11 +60,21 @@ def _paragraph(line, number):
     )
 
 
+def dealt_texts(spark, sf_dir):
+    """Texts in as many tasks as the session shuffles to.
+
+    Taking them apart costs far more than their bytes tell: partitions of the advisory
+    size are hardly more than there are cores, and most cores wait for the last ones.
+    """
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return texts(spark, sf_dir, "doc_id", "source", "lang", "text").repartition(tasks)
+
+
 def nested_documents(spark, sf_dir):
     """``enriched.document`` structs with an array of paragraphs."""
     paragraphs = F.transform(F.split("text", "\n"), _paragraph)
     document = F.struct("doc_id", "source", "lang", paragraphs.alias("paragraphs"))
-    return rebalanced(texts(spark, sf_dir, "doc_id", "source", "lang", "text")).select(
+    return dealt_texts(spark, sf_dir).select(
         F.struct(document.alias("document")).alias("enriched")
     )
 
@@ -181,7 +190,7 @@ def nest_array_sort(spark, sf_dir):
     base = exploded(spark, sf_dir, "number", "words.size", "words.word", header=["doc_id"])
     item = base.schema["paragraph"].dataType["words"].dataType.elementType
     ordered = sort_structs(F.col("paragraph.words"), [("size", "ASC"), ("word", "ASC")], item)
-    words = F.array_join(F.transform(ordered, lambda item: item["word"]), " ", "?")
+    words = F.array_join(ordered["word"], " ", "?")
     return base.select("doc_id", "paragraph.number", words.alias("words"))
 
 
@@ -210,7 +219,7 @@ def nest_array_comparator(spark, sf_dir):
     )
     order = [("initial", "ASC"), ("word", "DESC")]
     ordered = sort_structs(F.col("words"), order, named.schema["words"].dataType.elementType)
-    words = F.array_join(F.transform(ordered, lambda item: item["word"]), " ", "?")
+    words = F.array_join(ordered["word"], " ", "?")
     return named.select("doc_id", "number", words.alias("words"))
 
 
@@ -339,7 +348,7 @@ def principal_documents(spark, sf_dir):
         F.col("lang").alias("countryISOAlpha2Code"),
         F.transform(F.transform(F.split("text", "\n"), _line), _principal).alias("currentPrincipals"),
     )
-    return rebalanced(texts(spark, sf_dir, "doc_id", "source", "lang", "text")).select(
+    return dealt_texts(spark, sf_dir).select(
         F.struct(F.col("text").alias("source_text"), organization.alias("organization")).alias("enriched")
     )
 
