@@ -31,11 +31,12 @@ from corbel.llm.tokens import byte_encoder
 
 MAGIC = b"CMR1"
 BLOCK_IDS = 1 << 20
-LANES = 1 << 12
+LANE_BITS = 12
+LANES = 1 << LANE_BITS
 LANE_IDS = 1 << 8
 
 #: Frequency added per id; frequencies are halved when their sum passes the limit.
-STEP, LIMIT = 32, 1 << 22
+STEP, LIMIT = np.int32(32), 1 << 22
 #: Frequencies are summed anew at each of the first steps, then at every eighth.
 FRESH, EVERY = 16, 8
 CONTEXTS = 1 << 16
@@ -53,76 +54,126 @@ def lanes_of(ids: int) -> tuple[int, int]:
     return -(-ids // steps), steps
 
 
+#: A table's entry holds an id above its confidence.
+ID_BITS, CONFIDENCES = 3, SURE + 2
+#: The confidence that follows, by the one before and whether the id came true.
+NEXT = np.array(
+    [
+        min(sure + 1, SURE + 1) if right and sure else max(sure - 1, 1)
+        for sure in range(CONFIDENCES)
+        for right in (False, True)
+    ],
+    np.int32,
+)
+#: For each pair of confidences, whether order 2 and order 1 hold an id.
+HELD2, HELD1 = (np.divmod(np.arange(CONFIDENCES**2), CONFIDENCES)[i] > 0 for i in (0, 1))
+
+
+def _at(table: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The table's entries at places that it has; the mode spares a check of each."""
+    return table.take(places, mode="clip")
+
+
 class Model:
-    """Mixed predictions for all lanes of one block; coder and decoder run it alike."""
+    """Mixed predictions for all lanes of one block; coder and decoder run it alike.
+
+    Shares of the total stay below 2**30 (at most 256 times :data:`LIMIT` or the symbols), so
+    they are 32-bit numbers, and weights depend on the pair of confidences alone.
+    """
 
     def __init__(self, symbols: int, lanes: int):
-        self.symbols = symbols
-        self.counts = np.ones(symbols, np.int64)
-        self.first = np.full((2, symbols), 0, np.int64)
-        self.second = np.full((2, CONTEXTS), 0, np.int64)
+        self.counts = np.ones(symbols, np.int32)
+        self.below = np.zeros(symbols + 1, np.int32)
+        self.first = np.zeros(symbols, np.int32)
+        self.second = np.zeros(CONTEXTS, np.int32)
         # Per pair of confidences: times seen, order 2 right, order 1 alone right.
-        self.seen = np.full((3, (SURE + 2) ** 2), 1, np.int64)
+        self.seen = np.ones((3, CONFIDENCES**2), np.int64)
         self.seen[0] = 4
-        self.before = np.zeros((2, lanes), np.int64)
+        self.last, self.earlier = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
         self.step = 0
 
+    def _weights(self) -> tuple[np.ndarray, np.ndarray]:
+        """Weights of order 1 and order 2 for each pair of confidences."""
+        seen, right2, right1 = self.seen
+        weight2 = SHARE * right2 // seen * HELD2
+        weight1 = (SHARE - weight2) * right1 // seen * HELD1
+        return weight1.astype(np.int32), weight2.astype(np.int32)
+
     def predict(self, lanes: int) -> None:
         if self.step < FRESH or self.step % EVERY == 0:
-            if self.counts.sum() > LIMIT:
+            np.cumsum(self.counts, out=self.below[1:])
+            if self.below[-1] > LIMIT:
                 self.counts = (self.counts + 1) >> 1
+                np.cumsum(self.counts, out=self.below[1:])
             self.freq = self.counts.copy()
-            self.below = np.concatenate([[0], np.cumsum(self.freq)])
-        last, earlier = self.before[0, :lanes], self.before[1, :lanes]
-        self.one = last
-        self.two = ((earlier * 0x9E3779B1 + last * 0x85EBCA77) >> 8) & (CONTEXTS - 1)
-        self.id1, self.sure1 = self.first[:, self.one]
-        self.id2, self.sure2 = self.second[:, self.two]
-        self.state = self.sure2 * (SURE + 2) + self.sure1
-        seen, right2, right1 = self.seen[:, self.state]
-        weight2 = np.where(self.sure2 > 0, SHARE * right2 // seen, 0)
-        weight1 = np.where(self.sure1 > 0, (SHARE - weight2) * right1 // seen, 0)
-        whole = int(self.below[-1])
-        self.rest = 256 - weight1 - weight2
-        self.mass1, self.mass2 = weight1 * whole, weight2 * whole
-        self.total = np.uint64(whole * 256)
+        self.one, earlier = self.last[:lanes], self.earlier[:lanes]
+        self.two = ((earlier * 0x9E3779B1 + self.one * 0x85EBCA77) >> 8) & (CONTEXTS - 1)
+        held1, held2 = _at(self.first, self.one), _at(self.second, self.two)
+        self.id1, self.sure1 = held1 >> ID_BITS, held1 & (2**ID_BITS - 1)
+        self.id2, self.sure2 = held2 >> ID_BITS, held2 & (2**ID_BITS - 1)
+        self.state = (self.sure2 * CONFIDENCES + self.sure1).astype(np.intp)
+        whole = self.below[-1]
+        weight1, weight2 = self._weights()
+        self.rest = _at(256 - weight1 - weight2, self.state)
+        self.mass1 = _at(weight1 * whole, self.state)
+        self.mass2 = _at(weight2 * whole, self.state)
+        self.total = np.uint64(int(whole) * 256)
 
     def span(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where each id's share of the total begins, and its size."""
-        start = self.rest * self.below[ids]
-        start += self.mass1 * (self.id1 < ids) + self.mass2 * (self.id2 < ids)
-        size = self.rest * self.freq[ids]
-        size += self.mass1 * (self.id1 == ids) + self.mass2 * (self.id2 == ids)
+        small = ids.astype(np.int32)
+        start, size = self.rest * _at(self.below, ids), self.rest * _at(self.freq, ids)
+        start += self.mass1 * (self.id1 < small)
+        start += self.mass2 * (self.id2 < small)
+        size += self.mass1 * (self.id1 == small)
+        size += self.mass2 * (self.id2 == small)
         return start, size
 
-    def find(self, at: np.ndarray) -> np.ndarray:
-        """The id whose share holds each point."""
+    def find(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The id whose share holds each point, where that share begins, and its size.
+
+        Only points outside of the shares of both predicted ids are searched for, in
+        ascending order, which keeps to the same part of the frequencies.
+        """
         start1, size1 = self.span(self.id1)
         start2, size2 = self.span(self.id2)
-        left = at - self.mass1 * (at >= start1 + size1) - self.mass2 * (at >= start2 + size2)
-        ids = np.searchsorted(self.below, left // self.rest, side="right") - 1
-        ids = np.where((at >= start1) & (at < start1 + size1), self.id1, ids)
-        return np.where((at >= start2) & (at < start2 + size2), self.id2, ids)
+        past1, past2 = at >= start1 + size1, at >= start2 + size2
+        hit2 = (at >= start2) & ~past2
+        ids = np.where(hit2, self.id2, self.id1).astype(np.intp)
+        start, size = np.where(hit2, start2, start1), np.where(hit2, size2, size1)
+        missed = np.flatnonzero(~(hit2 | (at >= start1) & ~past1))
+        if len(missed):
+            moved = _at(self.mass1 * past1 + self.mass2 * past2, missed)
+            rest = _at(self.rest, missed)
+            place = ((_at(at, missed) - moved) // rest).astype(np.int64)
+            # The places in order, each with its lane below it.
+            place = np.sort(place << LANE_BITS | np.arange(len(missed)))
+            found = np.empty(len(missed), np.intp)
+            found[place & (LANES - 1)] = (
+                np.searchsorted(self.below, (place >> LANE_BITS).astype(np.int32), side="right") - 1
+            )
+            ids[missed] = found
+            start[missed] = rest * _at(self.below, found) + moved
+            size[missed] = rest * _at(self.freq, found)
+        return ids, start, size
 
     def learn(self, ids: np.ndarray) -> None:
-        right1, right2 = self.id1 == ids, self.id2 == ids
+        small = ids.astype(np.int32)
+        right1, right2 = self.id1 == small, self.id2 == small
         np.add.at(self.counts, ids, STEP)
-        np.add.at(self.seen[0], self.state, 1)
-        np.add.at(self.seen[1], self.state[right2], 1)
-        np.add.at(self.seen[2], self.state[right1 & ~right2], 1)
+        pairs = CONFIDENCES**2
+        outcome = np.where(right2, pairs, right1 * np.int64(2 * pairs))
+        came = np.bincount(self.state + outcome, minlength=3 * pairs).reshape(3, pairs)
+        self.seen[0] += came.sum(axis=0)
+        self.seen[1:] += came[1:]
         for table, where, held, sure, right in (
             (self.first, self.one, self.id1, self.sure1, right1),
             (self.second, self.two, self.id2, self.sure2, right2),
         ):
             # Confidence 0: nothing held yet; 1: held, and lost at the next miss.
-            keep = right & (sure > 0) | (sure > 1)
-            table[0, where] = np.where(keep, held, ids)
-            table[1, where] = np.where(
-                right & (sure > 0), np.minimum(sure + 1, SURE + 1), np.maximum(sure - 1, 1)
-            )
-        lanes = len(ids)
-        self.before[1, :lanes] = self.before[0, :lanes]
-        self.before[0, :lanes] = ids
+            kept = np.where(sure > 1, held, small)
+            table[where] = kept << ID_BITS | _at(NEXT, sure * 2 + right)
+        self.last, self.earlier = ids, self.one
         self.step += 1
 
 
@@ -142,71 +193,81 @@ def _shifting(low: np.ndarray, span: np.ndarray) -> np.ndarray:
     return np.flatnonzero(settled | narrow)
 
 
+def _shift(low: np.ndarray, span: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Move lanes on by 16 bits until none has settled ones: the lanes, and what their low was."""
+    moved = _shifting(low, span)
+    lows, spans = _at(low, moved), _at(span, moved)
+    while len(moved):
+        yield moved, lows
+        lows, spans = lows << UNIT, spans << UNIT
+        again = _shifting(lows, spans)
+        low[moved], span[moved] = lows, spans
+        moved, lows, spans = _at(moved, again), _at(lows, again), _at(spans, again)
+
+
 def encode_ids(ids: np.ndarray, symbols: int) -> bytes:
     """Compressed ids, with the lane sizes in front."""
     lanes, steps = lanes_of(len(ids))
     if not lanes:
         return b""
-    ids = ids.astype(np.int64)
+    # A row for each step; the places that the last lane lacks are not coded.
+    laid = np.zeros(lanes * steps, np.int64)
+    laid[: len(ids)] = ids
+    laid = np.ascontiguousarray(laid.reshape(lanes, steps).T)
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
-    out, filled = np.zeros((lanes, steps + 16), np.uint16), np.zeros(lanes, np.int64)
-    model, begins = Model(symbols, lanes), np.arange(lanes) * steps
+    owners, units = [], []
+    model = Model(symbols, lanes)
 
-    def emit(moved: np.ndarray) -> None:
-        nonlocal out
-        if filled[moved].max() >= out.shape[1]:
-            out = np.pad(out, ((0, 0), (0, out.shape[1])))
-        out[moved, filled[moved]] = (low[moved] >> np.uint64(48)).astype(np.uint16)
-        filled[moved] += 1
-        low[moved] <<= UNIT
+    def emit(moved: np.ndarray, lows: np.ndarray) -> None:
+        owners.append(moved.astype(np.uint16))
+        units.append((lows >> np.uint64(48)).astype("<u2"))
 
     for step, active in enumerate(_active(len(ids), lanes, steps)):
-        now = ids[begins[:active] + step]
+        now = laid[step, :active]
         model.predict(active)
         start, size = model.span(now)
         part = span[:active] // model.total
         low[:active] += part * start.astype(np.uint64)
         span[:active] = part * size.astype(np.uint64)
-        while len(moved := _shifting(low[:active], span[:active])):
-            emit(moved)
-            span[moved] <<= UNIT
+        for moved, lows in _shift(low[:active], span[:active]):
+            emit(moved, lows)
         model.learn(now)
     for _ in range(4):
-        emit(np.arange(lanes))
-    streams = b"".join(out[i, : filled[i]].astype("<u2").tobytes() for i in range(lanes))
-    return filled.astype("<u4").tobytes() + streams
+        emit(np.arange(lanes), low)
+        low <<= UNIT
+    owner = np.concatenate(owners)
+    # Stable, so each lane's units stay in their order.
+    streams = np.concatenate(units)[np.argsort(owner, kind="stable")]
+    return np.bincount(owner, minlength=lanes).astype("<u4").tobytes() + streams.tobytes()
 
 
 def decode_ids(data: bytes, count: int, symbols: int) -> np.ndarray:
     lanes, steps = lanes_of(count)
-    ids = np.zeros(lanes * steps, np.int64)
     if not lanes:
-        return ids
+        return np.zeros(0, np.int64)
     sizes = np.frombuffer(data, "<u4", lanes).astype(np.int64)
-    stream = np.frombuffer(data, "<u2", offset=4 * lanes).astype(np.uint64)
+    stream = np.frombuffer(data, "<u2", offset=4 * lanes)
     at = np.cumsum(sizes) - sizes
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
     code = np.zeros(lanes, np.uint64)
     for _ in range(4):
         code = code << UNIT | stream[at]
         at += 1
-    model, begins = Model(symbols, lanes), np.arange(lanes) * steps
+    model, laid = Model(symbols, lanes), np.zeros((steps, lanes), np.int64)
     for step, active in enumerate(_active(count, lanes, steps)):
         model.predict(active)
         part = span[:active] // model.total
         point = np.minimum((code[:active] - low[:active]) // part, model.total - np.uint64(1))
-        now = model.find(point.astype(np.int64))
-        start, size = model.span(now)
+        now, start, size = model.find(point.astype(np.int32))
         low[:active] += part * start.astype(np.uint64)
         span[:active] = part * size.astype(np.uint64)
-        while len(moved := _shifting(low[:active], span[:active])):
-            code[moved] = code[moved] << UNIT | stream[at[moved]]
-            at[moved] += 1
-            low[moved] <<= UNIT
-            span[moved] <<= UNIT
-        ids[begins[:active] + step] = now
+        for moved, _ in _shift(low[:active], span[:active]):
+            place = _at(at, moved)
+            code[moved] = _at(code, moved) << UNIT | stream.take(place)
+            at[moved] = place + 1
+        laid[step, :active] = now
         model.learn(now)
-    return ids[:count]
+    return laid.T.reshape(-1)[:count]
 
 
 _HEAD = struct.Struct("<4sIQQI")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corbel.llm import queries, rangecoder, tokencount
-from corbel.llm.tokens import byte_encoder, tokenizer, vocabulary_path, word_encoder
+from corbel.llm.tokens import ByteEncoder, byte_encoder, tokenizer, vocabulary_path, word_encoder
 
 BYTES, WORDS = (vocabulary_path(x) for x in (queries.BYTE_VOCABULARY, queries.WORD_VOCABULARY))
 SF_DIR = "/root/testdata/sf0.001"
@@ -207,3 +207,38 @@ def test_files_at_a_target(spark, tmp_path, monkeypatch):
     assert [r.start for r in found] == [0, *np.cumsum([r.n_tokens for r in found])[:-1]]
     with pytest.raises(Exception, match="already exists"):
         rangecoder.write_ids(df, BYTES, target=target)
+
+
+def test_blocks_are_coded_as_before():
+    """Files that an earlier version wrote stay readable: the same bytes for the same ids."""
+    at = np.arange(70_001)
+    ids = at * at // 7 % 911 * (at % 3)
+    assert zlib.crc32(rangecoder.encode_ids(ids, 50_257)) == 1464646868
+
+
+def test_only_ids_that_no_order_predicts_are_searched(monkeypatch):
+    """Decoding looks up few ids among the frequencies where most are predicted."""
+    ids = np.tile(np.arange(300), 700)
+    data, search, asked = rangecoder.encode_ids(ids, 50_257), np.searchsorted, []
+
+    def counted(table, points, **rest):
+        asked.append(len(points))
+        return search(table, points, **rest)
+
+    monkeypatch.setattr(np, "searchsorted", counted)
+    assert (rangecoder.decode_ids(data, len(ids), 50_257) == ids).all()
+    assert sum(asked) < len(ids) / 4
+
+
+def test_white_space_that_meets_is_looked_ahead_of():
+    """Only where two characters of white space meet is the slower pattern used; ids are the same."""
+    own, asked = ByteEncoder(BYTES), []
+    ahead = own._ahead
+    own._ahead = lambda text: asked.append(text) or ahead(text)
+    blanks = [chr(c) for c in range(0x3100) if chr(c).isspace()] + ["\u180e", "\u200b", "\0"]
+    texts = [f"{y}a{x}b {x}c{x}\nd{x}{y}{x}e{x}" for x in blanks for y in blanks]
+    single = [f"one{x}two{x}" for x in blanks] + ["a b c.\nd, e\tf"]
+    library = tokenizer(BYTES).encode_batch_fast(texts + single, add_special_tokens=False)
+    found = [np.frombuffer(own.encode(x), "<u2").tolist() for x in texts + single]
+    assert found == [x.ids for x in library]
+    assert asked and not {*asked} & {*single}
