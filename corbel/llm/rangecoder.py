@@ -31,14 +31,15 @@ from corbel.llm.tokens import byte_encoder
 
 MAGIC = b"CMR1"
 BLOCK_IDS = 1 << 20
-LANE_BITS = 12
-LANES = 1 << LANE_BITS
+LANES = 1 << 12
 LANE_IDS = 1 << 8
 
 #: Frequency added per id; frequencies are halved when their sum passes the limit.
 STEP, LIMIT = np.int32(32), 1 << 22
 #: Frequencies are summed anew at each of the first steps, then at every eighth.
 FRESH, EVERY = 16, 8
+#: Steps of the guide to the frequencies, as a power of two, and the lookups that are worth one.
+GUIDE_BITS, GUIDED = 15, 1 << 9
 CONTEXTS = 1 << 16
 SURE = 3
 SHARE = 248
@@ -105,7 +106,7 @@ class Model:
             if self.below[-1] > LIMIT:
                 self.counts = (self.counts + 1) >> 1
                 np.cumsum(self.counts, out=self.below[1:])
-            self.freq = self.counts.copy()
+            self.freq, self.guide = self.counts.copy(), None
         self.one, earlier = self.last[:lanes], self.earlier[:lanes]
         self.two = ((earlier * 0x9E3779B1 + self.one * 0x85EBCA77) >> 8) & (CONTEXTS - 1)
         held1, held2 = _at(self.first, self.one), _at(self.second, self.two)
@@ -129,14 +130,33 @@ class Model:
         size += self.mass2 * (self.id2 == small)
         return start, size
 
+    def _holding(self, places: np.ndarray) -> np.ndarray:
+        """The id whose frequencies hold each place.
+
+        A guide knows the id that holds the first place of each of many even steps; where the
+        place lies past that id's frequencies it is searched for.
+        """
+        if len(places) < GUIDED:
+            return np.searchsorted(self.below, places, side="right") - 1
+        shift = max(0, int(self.below[-1]).bit_length() - GUIDE_BITS)
+        if self.guide is None:
+            steps = (self.below + ((1 << shift) - 1)) >> shift
+            self.guide = np.cumsum(np.bincount(steps)) - 1
+        ids = _at(self.guide, places >> shift)
+        past = np.flatnonzero(places >= _at(self.below, ids + 1))
+        ids[past] = np.searchsorted(self.below, _at(places, past), side="right") - 1
+        return ids
+
     def find(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The id whose share holds each point, where that share begins, and its size.
 
-        Only points outside of the shares of both predicted ids are searched for, in
-        ascending order, which keeps to the same part of the frequencies.
+        Only points outside of the shares of both predicted ids are looked up.
         """
-        start1, size1 = self.span(self.id1)
-        start2, size2 = self.span(self.id2)
+        same = self.id1 == self.id2
+        start1 = self.rest * _at(self.below, self.id1) + self.mass2 * (self.id2 < self.id1)
+        start2 = self.rest * _at(self.below, self.id2) + self.mass1 * (self.id1 < self.id2)
+        size1 = self.rest * _at(self.freq, self.id1) + self.mass1 + self.mass2 * same
+        size2 = self.rest * _at(self.freq, self.id2) + self.mass2 + self.mass1 * same
         past1, past2 = at >= start1 + size1, at >= start2 + size2
         hit2 = (at >= start2) & ~past2
         ids = np.where(hit2, self.id2, self.id1).astype(np.intp)
@@ -145,13 +165,7 @@ class Model:
         if len(missed):
             moved = _at(self.mass1 * past1 + self.mass2 * past2, missed)
             rest = _at(self.rest, missed)
-            place = ((_at(at, missed) - moved) // rest).astype(np.int64)
-            # The places in order, each with its lane below it.
-            place = np.sort(place << LANE_BITS | np.arange(len(missed)))
-            found = np.empty(len(missed), np.intp)
-            found[place & (LANES - 1)] = (
-                np.searchsorted(self.below, (place >> LANE_BITS).astype(np.int32), side="right") - 1
-            )
+            found = self._holding((_at(at, missed) - moved) // rest)
             ids[missed] = found
             start[missed] = rest * _at(self.below, found) + moved
             size[missed] = rest * _at(self.freq, found)

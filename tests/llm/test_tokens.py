@@ -230,6 +230,18 @@ def test_only_ids_that_no_order_predicts_are_searched(monkeypatch):
     assert sum(asked) < len(ids) / 4
 
 
+@pytest.mark.parametrize("most", [1, 3, 2_000])
+def test_guided_lookups_are_searches(most):
+    """Each place of the frequencies, few and many to an id, also past the guide's last step."""
+    model = rangecoder.Model(2_000, 1)
+    model.counts += np.random.default_rng(most).integers(0, most, 2_000, dtype=np.int32)
+    model.predict(1)
+    places = np.arange(model.below[-1], dtype=np.int32)
+    assert (model._holding(places) == np.repeat(np.arange(2_000), model.freq)).all()
+    few = places[-100:]
+    assert (model._holding(few) == np.searchsorted(model.below, few, side="right") - 1).all()
+
+
 def test_white_space_that_meets_is_looked_ahead_of():
     """Only where two characters of white space meet is the slower pattern used; ids are the same."""
     own, asked = ByteEncoder(BYTES), []
