@@ -281,6 +281,8 @@ PRINCIPALS_DDL = """enriched struct<
       disqualifications: array<struct<endDate: string, actText: string, startDate: string>>,
       disqualifications_actType: array<struct<description: string, dnbCode: int>>>>>>"""
 LONG_WORD = 9
+#: About what a word takes as JSON, without its text.
+WORD_BYTES = 64
 
 
 def _three_digits(number):
@@ -292,32 +294,40 @@ def _line(line):
     return F.struct(line.alias("line"), F.split(line, " ").alias("words"))
 
 
+def _if(condition, value, other=None):
+    """A choice of two values: within a lambda, Spark looks up the branches of a CASE one by one."""
+    return F.call_function("if", condition, value, F.lit(None) if other is None else other)
+
+
 def _principal(entry, number):
     line, words = entry["line"], entry["words"]
 
     def association(text, position):
         size = F.length(text)
-        person = F.when(
-            size >= LONG_WORD, F.struct(F.left(text, F.lit(1)).alias("name"), size.alias("age"))
-        )
-        return F.when(
-            size > 0,
+        person = F.struct(F.left(text, F.lit(1)).alias("name"), size.alias("age"))
+        return _if(
+            text != "",
             F.struct(
-                F.when(size > 1, text).alias("primaryName"),
+                _if(size > 1, text).alias("primaryName"),
                 position.cast("string").alias("duns"),
                 _three_digits(size).alias("startDate"),
-                person.alias("person"),
+                _if(size >= LONG_WORD, person).alias("person"),
             ),
         )
 
-    def disqualification(text, position):
+    def disqualified(text, position):
+        # The pattern is dear, and most words hold neither sign.
+        return _if(_if(text.contains(",") | text.contains("."), text.rlike("[,.]$"), F.lit(False)), position)
+
+    def disqualification(position):
+        text = F.get(words, position)
         return F.struct(
             _three_digits(F.length(text)).alias("endDate"),
             text.alias("actText"),
             position.cast("string").alias("startDate"),
         )
 
-    acts = F.filter(F.transform(words, disqualification), lambda x: x["actText"].rlike("[,.]$"))
+    acts = F.transform(F.array_compact(F.transform(words, disqualified)), disqualification)
     kinds = F.transform(
         F.filter(words, lambda x: F.length(x) >= LONG_WORD),
         lambda x: F.struct(x.alias("description"), F.length(x).alias("dnbCode")),
@@ -332,15 +342,28 @@ def _principal(entry, number):
     )
 
 
-def principal_documents(spark, sf_dir):
+def _principals_document():
+    """The struct made of a row of ``documents``."""
     organization = F.struct(
         F.col("doc_id").cast("string").alias("duns"),
         F.col("source").alias("primaryName"),
         F.col("lang").alias("countryISOAlpha2Code"),
         F.transform(F.transform(F.split("text", "\n"), _line), _principal).alias("currentPrincipals"),
     )
-    return rebalanced(texts(spark, sf_dir, "doc_id", "source", "lang", "text")).select(
-        F.struct(F.col("text").alias("source_text"), organization.alias("organization")).alias("enriched")
+    return F.struct(F.col("text").alias("source_text"), organization.alias("organization"))
+
+
+def store_principals(spark, sf_dir, path):
+    """The documents as compressed JSON arrays: the names of the fields recur with each word."""
+    spaces = F.octet_length("text") - F.octet_length(F.replace("text", F.lit(" "), F.lit("")))
+    write_json_arrays(
+        texts(spark, sf_dir, "doc_id", "source", "lang", "text"),
+        path,
+        item=F.struct(_principals_document().alias("enriched")),
+        item_bytes=3 * F.octet_length("text") + WORD_BYTES * (spaces + 1),
+        rounds=4,
+        compression="gzip",
+        **{"zlib.compress.level": "FIVE"},
     )
 
 
@@ -391,7 +414,7 @@ def nest_documents(spark, sf_dir):
         spark,
         f"{sf_dir.rstrip('/')}/documents.parquet",
         "principals",
-        lambda path: write_json_arrays(principal_documents(spark, sf_dir), path),
+        lambda path: store_principals(spark, sf_dir, path),
     )
     specs = principals.simple_specs()
     declared = T.StructType.fromDDL(PRINCIPALS_DDL)

@@ -6,6 +6,9 @@ number of executors.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -28,3 +31,17 @@ def configure(builder: SparkSession.Builder, **extra: str) -> SparkSession.Build
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder
+
+
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A setting of the session for the time of a block."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)

@@ -8,13 +8,16 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corbel.operators.layout import rebalanced
+from corbel.session import setting
 
 #: Bytes of JSON in a file that holds one array.
 ARRAY_BYTES = 16 << 20
+#: Files that a round of writing them has at least.
+ROUND_FILES = 64
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite", **options) -> None:
@@ -33,26 +36,54 @@ def write_text(df: DataFrame, path: str, mode: str = "overwrite", **options) ->
 
 
 def write_json_arrays(
-    df: DataFrame, path: str, pretty: bool = False, array_bytes: int = ARRAY_BYTES
+    df: DataFrame,
+    path: str,
+    pretty: bool = False,
+    array_bytes: int = ARRAY_BYTES,
+    item: Column | None = None,
+    item_bytes: Column | None = None,
+    rounds: int = 1,
+    **options,
 ) -> None:
     """JSON arrays, one for each file: what ``multiLine`` reads.
 
-    Such a file is written and read whole, so its size is bounded: the rows' JSON is measured
-    first and dealt out to as many files as hold about ``array_bytes`` each, or one row.
+    Such a file is read whole, so its size is bounded: the rows are dealt out to as many files
+    as hold about ``array_bytes`` of JSON each, or one row. They are dealt out before their JSON
+    is made, which is then written row by row: no JSON is shuffled and no task holds an array.
+
+    ``item`` is the struct written for a row, all columns if not given: a large one is best made
+    here from the columns of a small ``df``. ``item_bytes`` is about the length of a row's JSON;
+    without it the JSON is made once more to be measured. ``options`` are those of text files.
+
+    Up to so many ``rounds`` read ``df`` one after the other, each the rows with its share of
+    hashes. Only a round's rows lie in a shuffle then, beside the files written so far.
     """
-    items = df.select(F.to_json(F.struct(*df.columns), {"pretty": str(pretty).lower()}).alias("item"))
-    total = items.agg(F.sum(F.octet_length("item"))).first()[0] or 0
-    files = max(1, math.ceil(total / array_bytes))
-    # Dealt by place: equal rows must not meet in one file.
-    file = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(files))
-    arrays = (
-        items.withColumn("file", file)
-        .repartition(files, "file")
-        .groupBy("file")
-        .agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("item"), ",\n"), F.lit("\n]")).alias("value"))
-        .select("value")
-    )
-    write_text(arrays, path, maxRecordsPerFile=1)
+    spark = df.sparkSession
+    item = F.struct(*df.columns) if item is None else item
+    json = F.to_json(item, {"pretty": str(pretty).lower()})
+    share = F.pmod(F.xxhash64(*df.columns), F.lit(rounds)) if rounds > 1 else F.lit(0)
+    size = F.octet_length(json) if item_bytes is None else item_bytes
+    measured = df.groupBy(share.alias("share")).agg(F.sum(size).alias("bytes")).collect()
+    sizes = {row["share"]: row["bytes"] or 0 for row in measured}
+    rounds = max(1, min(rounds, int(sum(sizes.values()) / array_bytes / ROUND_FILES)))
+    # Dealt by place: equal rows must not meet in one file. A partition is a file.
+    place, file = "__place", "__file"
+    beside = Window.partitionBy(file).orderBy(place)
+    ends = {"__first": F.lag(place).over(beside).isNull(), "__last": F.lead(place).over(beside).isNull()}
+    before = F.when(F.col("__first"), "[\n").otherwise("")
+    after = F.when(F.col("__last"), "\n]").otherwise(",")
+    for turn in range(rounds):
+        total = sum(size for part, size in sizes.items() if part % rounds == turn)
+        files = max(1, math.ceil(total / array_bytes))
+        dealt = (
+            (df.filter(share % rounds == turn) if rounds > 1 else df)
+            .withColumn(place, F.monotonically_increasing_id())
+            .withColumn(file, F.pmod(F.xxhash64(place), F.lit(files)).cast("int"))
+            .repartitionById(files, file)
+        )
+        lines = dealt.withColumns(ends).select(F.concat(before, json, after).alias("value"))
+        with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+            write_text(lines, path, "append" if turn else "overwrite", **options)
 
 
 def write_parquet(

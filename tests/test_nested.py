@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import os
 import random
 import re
 from functools import cmp_to_key
@@ -429,6 +430,35 @@ def test_scans_read_only_the_fields_used(spark, name, read, skipped):
     assert fields >= set(read) and not fields & set(skipped)
 
 
+def test_stored_principals_are_small(spark, tmp_path):
+    """The JSON takes many times the disk of the texts unless it is compressed."""
+    chance = random.Random(4)
+
+    def word():
+        return "".join(chance.choices("etaoinshr", k=chance.randint(1, 11))) + chance.choice(["", "", ",", ".", ".\r"])
+
+    texts = [None, "", " ", "a. \n, b"]
+    texts += ["\n".join(" ".join(word() for _ in range(40)) for _ in range(9)) for _ in range(200)]
+    df = spark.createDataFrame(
+        [(n, text, "en", f"s{n % 3}") for n, text in enumerate(texts)], "doc_id long, text string, lang string, source string"
+    )
+    folder = tmp_path / "documents.parquet"
+    df.coalesce(1).write.parquet(str(folder))
+    found = QUERIES["nest_documents"](spark, str(tmp_path))
+    files = [file.removeprefix("file://") for file in found.inputFiles()]
+    taken = sum(part.stat().st_size for part in folder.glob("part-*"))
+    assert files and sum(map(os.path.getsize, files)) < 4 * taken
+    lines = [(str(n), i, line) for n, text in enumerate(texts) if text is not None for i, line in enumerate(text.split("\n"))]
+    kept = found.select("duns", "currentPrincipals_number", "currentPrincipals_gender_dnbCode").collect()
+    assert sorted(map(tuple, kept)) == sorted((n, i, len(line.split(" "))) for n, i, line in lines)
+    # A line break of another kind after a full stop does not hide it.
+    acts = found.select(*[f"currentprincipals_disqualifications_acttext_{n}" for n in (1, 2, 3)], "duns", "currentPrincipals_number")
+    ends = {(row[3], row[4]): [text for text in row[:3] if text] for row in acts.collect()}
+    for n, i, line in lines:
+        signed = sorted((w for w in line.split(" ") if w.rstrip("\r").endswith((",", "."))), key=lambda w: f"{len(w):03}")
+        assert ends[n, i] == signed[:3]
+
+
 def test_opposite_text_keys_need_no_comparator(spark):
     plan = plan_of(QUERIES["nest_array_comparator"](spark, SF_DIR))
     assert "array_sort(" not in plan and plan.count("sort_array(") == 2

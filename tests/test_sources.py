@@ -183,6 +183,44 @@ def test_json_arrays_are_bounded(spark, tmp_path):
     assert read_json(spark, str(path), df.schema, multiLine=True).count() == 0
 
 
+def test_json_arrays_are_made_behind_the_shuffle(spark, tmp_path, monkeypatch):
+    """Rows are dealt out, not their JSON, and no array is gathered in one row."""
+    from corbel.sources import writers
+
+    plans = []
+    monkeypatch.setattr(writers, "write_text", lambda lines, *args, **options: plans.append(plan_of(lines)))
+    write_json_arrays(spark.range(9).select(F.col("id"), F.array("id").alias("ids")), str(tmp_path / "plan"))
+    above, below = plans[0].split("Exchange", 1)
+    assert "StructsToJson" in above and "StructsToJson" not in below and "collect_list" not in plans[0]
+
+
+def test_json_arrays_in_rounds(spark, tmp_path, monkeypatch):
+    """Each row is written in one of the rounds, also equal rows, and shuffles are cleared after it."""
+    from corbel.sources import writers
+
+    monkeypatch.setattr(writers, "ROUND_FILES", 1)
+    modes = []
+    write = writers.write_text
+    monkeypatch.setattr(
+        writers, "write_text", lambda df, path, mode, **options: modes.append(mode) or write(df, path, mode, **options)
+    )
+    df = spark.range(0, 3000, 1, 3).select(
+        F.when(F.col("id") % 5 > 0, F.col("id") % 40).alias("n"), F.repeat(F.lit("ab "), 9).alias("text")
+    )
+    path = tmp_path / "rounds"
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(cleanup, None)
+    write_json_arrays(
+        df, str(path), array_bytes=5000, item=F.struct("n", F.upper("text").alias("text")),
+        item_bytes=F.lit(50), rounds=3, compression="gzip",
+    )
+    assert modes == ["overwrite", "append", "append"] and spark.conf.get(cleanup, None) == before
+    parts = list(path.glob("part-*"))
+    assert len(parts) > 20 and all(part.suffix == ".gz" for part in parts)
+    found = read_json(spark, str(path), "n LONG, text STRING", multiLine=True, mode="FAILFAST")
+    assert rows(found) == rows(df.select("n", F.upper("text")))
+
+
 def test_stored_once(spark, tmp_path):
     """A fixture is written once, again when its source changes or it is gone."""
     import shutil
