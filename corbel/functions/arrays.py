@@ -123,6 +123,35 @@ def _ranked(
     return F.sort_array(F.transform(entries, keyed), asc=not downwards)
 
 
+def _zipped(entries: Column, run: Order, downwards: bool) -> Column:
+    """What :func:`_ranked` gives, for keys that need no turning round; ``entries`` is a column.
+
+    Only the places are made by a lambda, so no element is copied for the sort. That one
+    also keeps the projection out of whole-stage code, whose methods get too long to be compiled.
+    """
+    keys = [field_at(entries, path).alias(f"key{n}") for n, (path, _) in enumerate(run)]
+    # Equal keys keep their input order, in either direction.
+    places = F.transform(entries, lambda _, position: -position if downwards else position)
+    return F.sort_array(F.arrays_zip(*keys, places.alias("place"), entries.alias("item")), asc=not downwards)
+
+
+def sort_steps(order: Order, item: T.StructType) -> list[Callable[[Column], Column]]:
+    """The sort of :func:`sort_structs` in steps, each to be a projection of its own.
+
+    A step takes the column that the step before it made; the first takes the array.
+    """
+    kinds = [_field_type(item, path) for path, _ in order]
+    if not order or not _orderable(item):
+        return [lambda column: sort_structs(column, order, item)]
+
+    def step(run: Order, types: Sequence[T.DataType], downwards: bool) -> Callable[[Column], Column]:
+        if all(descending(way) == downwards for _, way in run):
+            return lambda entries: _zipped(entries, run, downwards)["item"]
+        return lambda entries: _ranked(entries, lambda entry: entry, run, types, downwards)["item"]
+
+    return [F.array_compact, *(step(*run) for run in reversed(_runs(order, kinds)))]
+
+
 def sort_structs(column: Column, order: Order, item: T.StructType | None = None) -> Column:
     """Stable sort of an array of structs; null elements are removed.
 

@@ -8,14 +8,14 @@ column objects would each take several calls to the JVM.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corbel.functions.arrays import Order, sort_structs
+from corbel.functions.arrays import Order, sort_steps
 from corbel.functions.paths import column_at, path_sql, quoted, require_distinct
 
 
@@ -185,13 +185,14 @@ def pivot_arrays(df: DataFrame, specs: Iterable[ArraySpec]) -> DataFrame:
 
     Positions past the end give null. An absent column is skipped, an array
     without struct elements or without slots is dropped, and a column that is no
-    array is an error. All slots are produced by one projection over another
-    that holds the sorted arrays, so each array is sorted once per row and the
+    array is an error. All slots are produced by one projection over others, few,
+    that sort the arrays, so each array is sorted once per row and the
     plan does not grow by one step per slot.
     """
     kinds = {item.name: item.dataType for item in df.schema.fields}
     consumed: set[str] = set()
-    helpers: list[Column] = []
+    # Of each array: its column, that of what is sorted, the steps of the sort and the last slot.
+    sorts: list[tuple[str, str, list[Callable[[Column], Column]], int]] = []
     slots: list[str] = []
     names: list[str] = []
     for spec in specs:
@@ -208,10 +209,8 @@ def pivot_arrays(df: DataFrame, specs: Iterable[ArraySpec]) -> DataFrame:
         helper = f"{spec.column}__sorted"
         while helper in kinds:
             helper += "_"
-        ordered = sort_structs(column_at([spec.column]), spec.order, kind.elementType)
-        # No element past the last slot is carried to the next projection.
         last = max(position for places in spec.slots.values() for position in places)
-        helpers.append(F.slice(ordered, 1, last + 1).alias(helper))
+        sorts.append((spec.column, helper, sort_steps(spec.order, kind.elementType), last))
         names += spec.names()
         # get() is null past the end, also under ANSI mode.
         slots += [
@@ -222,7 +221,18 @@ def pivot_arrays(df: DataFrame, specs: Iterable[ArraySpec]) -> DataFrame:
     kept = [name for name in df.columns if name not in consumed]
     require_distinct([*kept, *names])
     carried = [quoted(name) for name in kept]
-    return df.select(*carried, *helpers).selectExpr(*carried, *slots)
+    for turn in range(max((len(steps) for _, _, steps, _ in sorts), default=0)):
+        helpers: list[Column] = []
+        for column, helper, steps, last in sorts:
+            entries = column_at([helper if turn else column])
+            if turn < len(steps):
+                entries = steps[turn](entries)
+            if turn == len(steps) - 1:
+                # No element past the last slot is carried to the next projection.
+                entries = F.slice(entries, 1, last + 1)
+            helpers.append(entries.alias(helper))
+        df = df.select(*carried, *helpers)
+    return df.selectExpr(*carried, *slots)
 
 
 def flatten_documents(

@@ -281,8 +281,8 @@ PRINCIPALS_DDL = """enriched struct<
       disqualifications: array<struct<endDate: string, actText: string, startDate: string>>,
       disqualifications_actType: array<struct<description: string, dnbCode: int>>>>>>"""
 LONG_WORD = 9
-#: About what a word takes as JSON, without its text.
-WORD_BYTES = 64
+#: About what a word and a line take as JSON, without their text.
+WORD_BYTES, LINE_BYTES = 64, 128
 
 
 def _three_digits(number):
@@ -353,14 +353,22 @@ def _principals_document():
     return F.struct(F.col("text").alias("source_text"), organization.alias("organization"))
 
 
+def _principals_bytes():
+    """About the length of a document's JSON, from the words and lines that its text falls into."""
+
+    def pieces(separator):
+        return F.octet_length("text") - F.octet_length(F.replace("text", F.lit(separator), F.lit(""))) + 1
+
+    return 3 * F.octet_length("text") + WORD_BYTES * pieces(" ") + LINE_BYTES * pieces("\n")
+
+
 def store_principals(spark, sf_dir, path):
     """The documents as compressed JSON arrays: the names of the fields recur with each word."""
-    spaces = F.octet_length("text") - F.octet_length(F.replace("text", F.lit(" "), F.lit("")))
     write_json_arrays(
         texts(spark, sf_dir, "doc_id", "source", "lang", "text"),
         path,
         item=F.struct(_principals_document().alias("enriched")),
-        item_bytes=3 * F.octet_length("text") + WORD_BYTES * (spaces + 1),
+        item_bytes=_principals_bytes(),
         rounds=4,
         compression="gzip",
         **{"zlib.compress.level": "FIVE"},

@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corbel.functions.arrays import sort_structs
+from corbel.functions.arrays import sort_steps, sort_structs
 from corbel.operators.nested import (
     ArraySpec,
     explode_array,
@@ -28,6 +28,7 @@ from corbel.operators.nested import (
     specs_from_maps,
     used_paths,
 )
+from corbel.plans import nested
 from corbel.plans.catalogue import QUERIES
 from corbel.plans.nested import PRINCIPALS_DDL
 from corbel.plans.principals import (
@@ -111,6 +112,27 @@ def test_large_arrays_sort_without_error(spark, size):
     assert [r.asDict() for r in found] == python_order(items, order)
 
 
+@pytest.mark.parametrize("ways", [("ASC", "ASC"), ("ASC", "DESC"), ("DESC", "ASC"), ("DESC", "DESC")])
+def test_steps_sort_alike(spark, ways):
+    """Projections one after the other sort as the one expression does, and none of texts by a lambda."""
+    chance = random.Random(7)
+    items = [
+        None if chance.random() < 0.2 else {"k": chance.choice([None, "a", "b"]), "d": chance.choice([None, "", "1"]), "n": n, "day": None}
+        for n in range(60)
+    ]
+    df = spark.createDataFrame([(1, items), (2, []), (3, None), (4, [None])], f"id int, items {ITEMS}")
+    kind = df.schema["items"].dataType.elementType
+    order = [("k", ways[0]), ("d", ways[1])]
+    found = df
+    for step in sort_steps(order, kind):
+        found = found.select("id", step(F.col("items")).alias("items"))
+    plan = plan_of(found)
+    assert plan.count("sort_array(") == len(set(ways)) and "sort_array(transform(" not in plan
+    expected = df.select("id", sort_structs(F.col("items"), order, kind).alias("items"))
+    assert rows(found) == rows(expected)
+    assert [r.asDict() for r in rows(found)[0][1]] == python_order([i for i in items if i], order)
+
+
 def test_unknown_sort_field_is_refused(spark):
     df = spark.createDataFrame([(1, [])], f"id int, items {ITEMS}")
     with pytest.raises(ValueError, match="no field 'x.y'"):
@@ -459,6 +481,15 @@ def test_stored_principals_are_small(spark, tmp_path):
         assert ends[n, i] == signed[:3]
 
 
+@pytest.mark.parametrize("text", ["\n" * 500, "a " * 500, "abcdefghijkl. " * 500, "Of the. And words, more\n" * 90])
+def test_length_of_principals_is_about_known(spark, text):
+    """Files are bounded by it, whatever words and lines the texts hold."""
+    df = spark.createDataFrame([(1, text, "en", "s")], "doc_id long, text string, lang string, source string")
+    length = F.octet_length(F.to_json(F.struct(nested._principals_document().alias("enriched"))))
+    found = df.select(length.alias("real"), nested._principals_bytes().alias("about")).first()
+    assert found.about / 3 < found.real < found.about * 3
+
+
 def test_opposite_text_keys_need_no_comparator(spark):
     plan = plan_of(QUERIES["nest_array_comparator"](spark, SF_DIR))
     assert "array_sort(" not in plan and plan.count("sort_array(") == 2
