@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import uuid
 from contextlib import contextmanager
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -289,7 +291,7 @@ def sink_partitioned(spark, sf_dir):
         "merged": (orders.repartition(many), {"partitions": fewer, "shuffle": False}),
         "measured": (orders, {}),
     }
-    parts = []
+    parts, counted = [], []
     for name, (frame, settings) in layouts.items():
         path = scratch_path(spark, name)
         write_partitions(frame, path, **settings)
@@ -297,10 +299,13 @@ def sink_partitioned(spark, sf_dir):
         totals = files.agg(
             F.count("*").alias("files"), F.sum("rows").alias("rows"), F.sum("keys").alias("keys")
         )
-        stored = spark.read.schema(orders.schema).parquet(path).withColumn("layout", F.lit(name))
-        # One row of totals beside every row that was written.
-        parts.append(stored.crossJoin(totals))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+        parts.append(spark.read.schema(orders.schema).parquet(path).withColumn("layout", F.lit(name)))
+        counted.append(totals.withColumn("layout", F.lit(name)))
+    stored, totals = reduce(DataFrame.unionByName, parts), reduce(DataFrame.unionByName, counted)
+    # A layout's row of totals beside every row that was written.
+    return stored.join(F.broadcast(totals), "layout").select(
+        *orders.columns, "layout", "files", "rows", "keys"
+    )
 
 
 @query(
